@@ -29,8 +29,7 @@ def write_category_table(df: DataFrame, columns: Sequence[str], path: str) -> Da
     task sees more than its own partition.
     """
     counts = category_counts(df, columns)
-    # Big-endian UTF-16 bytes compare like strings do in the JVM.
-    in_order = counts.orderBy("column", F.desc("n"), F.encode("value", "UTF-16BE"))
+    in_order = counts.orderBy("column", F.desc("n"), "value")
     with staged(in_order.withColumn("id", F.monotonically_increasing_id())) as numbered:
         part = F.shiftright("id", _OFFSET_BITS)
         placed = numbered.withColumn("part", part).withColumn(

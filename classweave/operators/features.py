@@ -130,12 +130,6 @@ def column_report(
     return known.join(F.broadcast(sizes), "column", "left")
 
 
-def _label_order(row: tuple[str, int]) -> tuple[int, bytes]:
-    """Most frequent first, then by value as the JVM compares strings."""
-    value, n = row
-    return -n, value.encode("utf-16-be", "surrogatepass")
-
-
 def collect_bounded(counts: DataFrame, bound: int) -> list[Row]:
     """All rows of a category table, or ValueError when there are more than `bound`."""
     rows = counts.take(bound + 1)
@@ -153,7 +147,7 @@ def ordered_labels(rows: Iterable[tuple[str, str, int]], columns: Sequence[str])
     for column, value, n in rows:
         if n > 0:
             found[column].append((value, n))
-    return {c: [value for value, _ in sorted(pairs, key=_label_order)] for c, pairs in found.items()}
+    return {c: [value for value, _ in sorted(pairs, key=lambda pair: (-pair[1], pair[0]))] for c, pairs in found.items()}
 
 
 def category_labels(
@@ -181,7 +175,9 @@ def string_index(
     columns = list(columns)
     outputs = list(outputs or [_index_name(c, df.columns) for c in columns])
     labels = labels or category_labels(df, columns, max_categories)
-    return _indexer(columns, outputs, labels, invalid).transform(df)
+    for column, output in zip(columns, outputs):
+        df = _indexer(column, output, labels[column], invalid).transform(df)
+    return df
 
 
 def label_index(df: DataFrame, target: str = TARGET, label: str = LABEL) -> DataFrame:
@@ -189,30 +185,19 @@ def label_index(df: DataFrame, target: str = TARGET, label: str = LABEL) -> Data
     return string_index(df, [target], [label], invalid="error")
 
 
-def _indexer(
-    columns: Sequence[str], outputs: Sequence[str], labels: Mapping[str, list[str]], invalid: str
-) -> StringIndexerModel:
-    return StringIndexerModel.from_arrays_of_labels(
-        [labels[c] for c in columns], inputCols=list(columns), outputCols=list(outputs), handleInvalid=invalid
-    )
+def _indexer(column: str, output: str, labels: list[str], invalid: str) -> StringIndexerModel:
+    # One model per column: the constructor for many columns pads shorter label
+    # lists with NULL, which moves the index of unseen values.
+    return StringIndexerModel.from_labels(labels, inputCol=column, outputCol=output, handleInvalid=invalid)
 
 
-def feature_stages(
-    roles: Roles, labels: Mapping[str, list[str]], invalid: str = "keep", target: bool = True
-) -> list:
+def feature_stages(roles: Roles, labels: Mapping[str, list[str]], invalid: str = "keep") -> list:
     """Category indices, label index and vector assembly, ready to transform.
 
-    All strings go through one indexer. The label has a stage of its own that
-    raises on NULL; a table to be scored needs no target.
+    The label stage raises on NULL; a table to be scored needs no target.
     """
-    stages: list = []
-    if roles.strings:
-        stages.append(_indexer(roles.strings, roles.indexed, labels, invalid))
-    if target:
-        label_stage = StringIndexerModel.from_labels(
-            labels[roles.target], inputCol=roles.target, outputCol=LABEL, handleInvalid="error"
-        )
-        stages.append(label_stage)
+    stages: list = [_indexer(s, i, labels[s], invalid) for s, i in zip(roles.strings, roles.indexed)]
+    stages.append(_indexer(roles.target, LABEL, labels[roles.target], "error"))
     stages.append(VectorAssembler(inputCols=list(roles.slots), outputCol=FEATURES))
     return stages
 
@@ -276,7 +261,7 @@ def fit_pipeline(df: DataFrame, estimator: Estimator, **options) -> PipelineMode
 def label_stage(model: PipelineModel) -> StringIndexerModel:
     """The fitted stage that turns the target into the label."""
     for stage in model.stages:
-        if isinstance(stage, StringIndexerModel) and stage.isSet("outputCol") and stage.getOutputCol() == LABEL:
+        if isinstance(stage, StringIndexerModel) and stage.getOutputCol() == LABEL:
             return stage
     raise ValueError("the model has no label stage")
 

@@ -14,14 +14,17 @@ from classweave.operators.estimators import ranking_forest
 from classweave.operators.features import build_pipeline, column_roles
 
 
-def stable_layout(df: DataFrame, key: str | Sequence[str], partitions: int) -> DataFrame:
-    """The same rows in the same partitions, however `df` was laid out before.
+def stable_layout(df: DataFrame, key: str | Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Spread the rows by key and sort each partition by it, at the price of one shuffle.
 
-    Seeded forests draw per partition, so this makes them repeatable across
-    layouts. It shuffles the table once.
+    Seeded forests draw per partition, so a table read from other files gives
+    another forest. With a fixed number of `partitions` the layout, and so the
+    forest, depends on the rows alone. Without it Spark picks the number, which
+    still spreads a table that sits in too few files to keep the cores busy.
     """
     keys = [F.col(quoted(k)) for k in ([key] if isinstance(key, str) else key)]
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    spread = df.repartition(*keys) if partitions is None else df.repartition(partitions, *keys)
+    return spread.sortWithinPartitions(*keys)
 
 
 def rank_features(

@@ -169,24 +169,27 @@ def assemble(spark, sf_dir):
 # Feature selection
 
 
+def _ranking(rows, estimator=None):
+    # A fit reads its input several times, so it gets a written table.
+    with cw.staged(cw.stable_layout(rows, KEY)) as table:
+        return cw.rank_features(table, TARGET, exclude=[KEY], estimator=estimator)
+
+
 @query
 def rank_features(spark, sf_dir):
     tree = cw.ranking_forest(numTrees=1, maxDepth=2, bootstrap=False)
-    ranking = cw.rank_features(t.three_bands(spark, sf_dir), TARGET, exclude=[KEY], estimator=tree)
-    return ranking.select("rank", "feature", *_rounded("score"))
+    return _ranking(t.three_bands(spark, sf_dir), tree).select("rank", "feature", *_rounded("score"))
 
 
 @query
 def top_features(spark, sf_dir):
-    ranking = cw.rank_features(t.weighted(spark, sf_dir), TARGET, exclude=[KEY])
-    return cw.top_features(ranking, 2).select("feature")
+    return cw.top_features(_ranking(t.weighted(spark, sf_dir)), 2).select("feature")
 
 
 @query
 def project_top(spark, sf_dir):
     rows = t.weighted(spark, sf_dir)
-    names = cw.top_names(cw.rank_features(rows, TARGET, exclude=[KEY]), 2)
-    best = cw.project_top(rows, names, TARGET, keep_cols=[KEY])
+    best = cw.project_top(rows, cw.top_names(_ranking(rows), 2), TARGET, keep_cols=[KEY])
     return best.withColumn("classWeight", F.round("classWeight", 6))
 
 
@@ -206,7 +209,8 @@ def _small_boosted():
 
 
 def _fit(rows, estimator):
-    return cw.fit_pipeline(rows, estimator, target=TARGET, exclude=[KEY])
+    with cw.staged(rows) as table:
+        return cw.fit_pipeline(table, estimator, target=TARGET, exclude=[KEY])
 
 
 def _probabilities(scored):
