@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -22,8 +24,25 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace the Parquet table at `path`.
+    """Replace the Parquet table at `path`, which `df` must not read from.
 
-    Spark itself refuses to overwrite a path that `df` reads from.
+    Spark would delete the old files before reading them.
     """
+    if _reads_from(df, path):
+        raise ValueError(f"{path} is read by the table to be written; write it elsewhere")
     df.write.mode("overwrite").parquet(path)
+
+
+def _reads_from(df: DataFrame, path: str) -> bool:
+    context = df.sparkSession.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return False
+    uri = files.makeQualified(target).toUri()
+    folder = (uri.getScheme(), uri.getAuthority() or "", uri.getPath().rstrip("/") + "/")
+    for name in df.inputFiles():
+        file = urlparse(name)
+        if (file.scheme, file.netloc) == folder[:2] and unquote(file.path).startswith(folder[2]):
+            return True
+    return False

@@ -1,7 +1,7 @@
 import os
+from types import SimpleNamespace
 
 import pytest
-from pyspark.errors import AnalysisException
 
 import classweave as cw
 from classweave.sources import staging
@@ -18,13 +18,15 @@ def test_csv_types_are_inferred_or_given(spark, tmp_path):
 
 
 def test_parquet_is_replaced_but_never_over_its_own_input(spark, tmp_path):
-    path = str(tmp_path / "t")
+    path = str(tmp_path / "a table")
     cw.write_parquet(spark.range(5), path)
     cw.write_parquet(spark.range(3), path)
     assert cw.read_parquet(spark, path).count() == 3
-    with pytest.raises(AnalysisException):
-        cw.write_parquet(cw.read_parquet(spark, path).filter("id > 0"), path)
+    for other in (path, path + "/", "file://" + path):
+        with pytest.raises(ValueError, match="elsewhere"):
+            cw.write_parquet(cw.read_parquet(spark, path).join(spark.range(9), "id"), other)
     assert cw.read_parquet(spark, path).count() == 3
+    cw.write_parquet(cw.read_parquet(spark, path), path + "2")
 
 
 def test_staged_table_lives_as_long_as_its_block(spark):
@@ -44,12 +46,13 @@ def test_staging_keeps_category_metadata(spark):
         assert table.schema["s_idx"].metadata == df.schema["s_idx"].metadata != {}
 
 
-def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
+def test_shared_folder_is_the_one_the_session_names(spark):
+    def session(folder, master):
+        conf = SimpleNamespace(get=lambda name, default: {"spark.checkpoint.dir": folder}.get(name, default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert staging.shared_folder(session("hdfs://shared/folder/", "yarn")) == "hdfs://shared/folder"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(session(None, "yarn"))
     assert staging.shared_folder(spark) == staging.shared_folder(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path) + "/")
-    try:
-        assert staging.shared_folder(spark) == str(tmp_path)
-        with cw.staged(spark.range(3)) as table:
-            assert str(tmp_path) in table.inputFiles()[0]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert spark.sparkContext.getCheckpointDir()
