@@ -26,6 +26,8 @@ from classweave.operators.metrics import (
 )
 from classweave.operators.profile import (
     class_balance,
+    class_counts,
+    column_profile,
     dataset_shape,
     imbalance_flag,
     missing_columns,

@@ -26,14 +26,15 @@ def is_missing(field: T.StructField) -> Column:
     """True where the field is NULL, NaN, or text that reads as NaN.
 
     `isnan` only applies to numbers. Text goes through `try_cast`, so that
-    ANSI mode does not raise on ordinary words; all other types can only be
-    NULL.
+    ANSI mode does not raise on ordinary words; as a failed cast is slow, only
+    text that contains "nan" is cast. All other types can only be NULL.
     """
     value = F.col(quoted(field.name))
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
         return F.isnan(value) | value.isNull()
     if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.isnan(value.try_cast("double")), F.lit(False)) | value.isNull()
+        reads_as_nan = F.lower(value).contains("nan") & F.coalesce(F.isnan(value.try_cast("double")), F.lit(False))
+        return value.isNull() | reads_as_nan
     return value.isNull()
 
 

@@ -101,9 +101,11 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fold_category_counts(df: DataFrame, columns: Sequence[str], fold: str, k: int) -> DataFrame:
-    """(column, value, n0 .. n{k-1}): the counts of every fold in one scan."""
+    """(column, value, n, n0 .. n{k-1}): the counts of all rows and of every fold in one scan."""
     values = _long_values(df, columns, {"fold": F.col(quoted(fold))})
-    return values.groupBy("column", "value").agg(*[F.count_if(F.col("fold") == i).alias(f"n{i}") for i in range(k)])
+    return values.groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("fold") == i).alias(f"n{i}") for i in range(k)]
+    )
 
 
 def column_report(
@@ -266,13 +268,13 @@ def label_stage(model: PipelineModel) -> StringIndexerModel:
     raise ValueError("the model has no label stage")
 
 
-def positive_index(model: PipelineModel, positive: str = "Yes") -> int:
+def positive_index(model: PipelineModel, positive="Yes") -> int:
     """Position of the positive class in the probability vector.
 
     Index 0 is the most frequent class, so this is 1 only while positives are
     the rarer class.
     """
     labels = list(label_stage(model).labels)
-    if positive not in labels:
+    if str(positive) not in labels:
         raise ValueError(f"class {positive!r} is unknown to the model, which has {labels}")
-    return labels.index(positive)
+    return labels.index(str(positive))

@@ -11,19 +11,36 @@ from pyspark.sql import functions as F
 from classweave.functions import is_missing, quoted, require_columns
 
 
-def _one_row_per_column(df: DataFrame, counts: list[Column], fixed: list[list], names: list[str]) -> DataFrame:
-    """Aggregate `df` to one row, then turn it into one row per column.
+def _per_column(df: DataFrame, fixed: dict[str, list], counts: dict[str, list[Column]]) -> DataFrame:
+    """One row per column of `df`: literals and aggregates by result name, all from one aggregate."""
+    n_columns = len(df.columns)
+    totals = df.agg(*[c.alias(f"{name}{i}") for name, columns in counts.items() for i, c in enumerate(columns)])
+    rows = [
+        F.struct(
+            *[F.lit(values[i]).alias(name) for name, values in fixed.items()],
+            *[F.col(f"{name}{i}").alias(name) for name in counts],
+        )
+        for i in range(n_columns)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def _schema(df: DataFrame) -> dict[str, list]:
+    fields = df.schema.fields
+    return {
+        "position": list(range(len(fields))),
+        "column": [f.name for f in fields],
+        "type": [f.dataType.simpleString() for f in fields],
+        "nullable": [f.nullable for f in fields],
+    }
 
-    `counts[i]` is the aggregate of column i; `fixed[i]` holds its literals.
-    """
-    totals = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)])
-    rows = F.array(
-        *[
-            F.struct(*[F.lit(v).alias(n) for n, v in zip(names, literals)], F.col(f"n{i}").alias(names[-1]))
-            for i, literals in enumerate(fixed)
-        ]
-    )
-    return totals.select(F.inline(rows))
+
+def _n_values(df: DataFrame) -> list[Column]:
+    return [F.count(F.col(quoted(name))) for name in df.columns]
+
+
+def _n_missing(df: DataFrame) -> list[Column]:
+    return [F.count_if(is_missing(f)) for f in df.schema.fields]
 
 
 def dataset_shape(df: DataFrame) -> DataFrame:
@@ -33,24 +50,22 @@ def dataset_shape(df: DataFrame) -> DataFrame:
 
 def schema_report(df: DataFrame) -> DataFrame:
     """(position, column, type, nullable, n_values): n_values counts the non-NULL rows."""
-    fields = df.schema.fields
-    return _one_row_per_column(
-        df,
-        [F.count(F.col(quoted(f.name))) for f in fields],
-        [[i, f.name, f.dataType.simpleString(), f.nullable] for i, f in enumerate(fields)],
-        ["position", "column", "type", "nullable", "n_values"],
-    )
+    return _per_column(df, _schema(df), {"n_values": _n_values(df)})
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, n_missing) for every column, from a single aggregate."""
-    fields = df.schema.fields
-    return _one_row_per_column(
-        df,
-        [F.count_if(is_missing(f)) for f in fields],
-        [[f.name] for f in fields],
-        ["column", "n_missing"],
-    )
+    return _per_column(df, {"column": df.columns}, {"n_missing": _n_missing(df)})
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """(position, column, type, nullable, n_rows, n_values, n_missing): all column reports in one scan."""
+    counts = {
+        "n_rows": [F.count(F.lit(1)) for _ in df.columns],
+        "n_values": _n_values(df),
+        "n_missing": _n_missing(df),
+    }
+    return _per_column(df, _schema(df), counts)
 
 
 def missing_columns(df: DataFrame) -> DataFrame:
@@ -58,27 +73,35 @@ def missing_columns(df: DataFrame) -> DataFrame:
     return missing_counts(df).filter("n_missing > 0")
 
 
-def _class_counts(df: DataFrame, target: str) -> DataFrame:
+def class_counts(df: DataFrame, target: str = "HadHeartAttack") -> DataFrame:
+    """(target, count): rows per class, NULL is a class."""
     require_columns(df, target)
     return df.groupBy(F.col(quoted(target)).alias(target)).agg(F.count(F.lit(1)).alias("count"))
 
 
 def class_balance(df: DataFrame, target: str = "HadHeartAttack") -> DataFrame:
-    """(target, count, percent) by rising count; percent is of all rows, NULL is a class.
+    """(target, count, percent) by rising count; percent is of all rows, NULL is a class."""
+    return balance_of(class_counts(df, target))
+
+
+def balance_of(counts: DataFrame) -> DataFrame:
+    """`class_balance` of a table of class counts.
 
     The total is a scalar subquery over the same counts, so the table is
     grouped once and no group passes through a single task.
     """
-    counts = _class_counts(df, target)
     total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("percent", F.col("count") * 100.0 / total).orderBy("count", quoted(target))
+    return counts.withColumn("percent", F.col("count") * 100.0 / total).orderBy("count", quoted(counts.columns[0]))
 
 
 def imbalance_flag(df: DataFrame, target: str = "HadHeartAttack", threshold: float = 15.0) -> DataFrame:
     """(minority_percent, severe): severe when the rarest class is below the threshold."""
+    return imbalance_of(class_counts(df, target), threshold)
+
+
+def imbalance_of(counts: DataFrame, threshold: float = 15.0) -> DataFrame:
+    """`imbalance_flag` of a table of class counts."""
     smallest = F.min("count") * 100.0 / F.sum("count")
-    return (
-        _class_counts(df, target)
-        .agg(smallest.alias("minority_percent"))
-        .withColumn("severe", F.col("minority_percent") < threshold)
+    return counts.agg(smallest.alias("minority_percent")).withColumn(
+        "severe", F.col("minority_percent") < threshold
     )

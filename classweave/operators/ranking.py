@@ -39,7 +39,8 @@ def rank_features(
 
     Scores sum to 1. Rows with a NULL category are left out of the fit. The
     importances have one number per feature, and are paired with the source
-    columns by slot, not by name.
+    columns by slot, not by name. The ranking has seen every row of `df`, which
+    a later cross-validation over the same rows cannot undo.
     """
     roles = column_roles(df, target, weight, exclude)
     estimator = estimator or ranking_forest(weight)

@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from classweave.functions import class_score, quoted, require_columns
+from classweave.functions import class_score, quoted
 from classweave.operators.balance import TARGET, WEIGHT
 from classweave.operators.features import (
     LABEL,
@@ -29,6 +29,8 @@ from classweave.operators.folds import FOLD, fold_assembly, hash_folds, random_f
 from classweave.operators.metrics import METRICS, metrics_table
 from classweave.sources.staging import staged
 
+CV_FOLD = "cv_fold"
+
 # A task below this many rows costs more to schedule than to run. Only merges
 # partitions; on large tables every partition holds more than this already.
 ROWS_PER_TASK = 20_000
@@ -65,22 +67,22 @@ def cross_validate(
     A fold without rows has NULL metrics, one with a single class has NULL
     AUC. With `auc_bins` the AUC is MLlib's binned one.
     """
+    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    given = [] if fold is None else [fold]
+    roles = column_roles(df, target, weight, [*exclude, *keys, *given])
     if fold is not None:
-        require_columns(df, fold)
-        with_folds = df.withColumnRenamed(fold, FOLD) if fold != FOLD else df
+        with_folds = df.withColumn(CV_FOLD, F.col(quoted(fold)).cast("int"))
     elif key is not None:
-        with_folds = hash_folds(df, key, k, seed)
+        with_folds = hash_folds(df, key, k, seed, CV_FOLD)
     else:
-        with_folds = random_folds(df, k, seed)
-    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
-    roles = column_roles(with_folds, target, weight, [*exclude, *keys, FOLD])
-    needed = [*roles.features, target, *([weight] if weight else []), FOLD]
+        with_folds = random_folds(df, k, seed, CV_FOLD)
+    needed = [*roles.features, target, *([weight] if weight else []), CV_FOLD]
     spark = df.sparkSession
-    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed]), [FOLD]) as table:
+    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed]), [CV_FOLD]) as table:
         pipelines, train_rows, test_rows = _fold_pipelines(table, roles, estimator, k, invalid, max_categories)
 
         def fit(i: int) -> PipelineModel:
-            train, _ = fold_assembly(table, i)
+            train, _ = fold_assembly(table, i, CV_FOLD)
             return pipelines[i].fit(_merge_small(train, train_rows[i]))
 
         models = _run_parallel(spark, fit, [i for i in range(k) if test_rows[i]], parallelism)
@@ -101,13 +103,15 @@ def _fold_pipelines(
     of k training sets take one scan instead of k.
     """
     columns = [*roles.strings, roles.target]
-    counts = collect_bounded(fold_category_counts(table, columns, FOLD, k), max_categories)
+    counts = collect_bounded(fold_category_counts(table, columns, CV_FOLD, k), max_categories)
     classes = [row for row in counts if row.column == roles.target]
     test_rows = [sum(row[f"n{i}"] for row in classes) for i in range(k)]
     train_rows = [sum(test_rows) - n for n in test_rows]
+    if sum(test_rows) != sum(row.n for row in classes):
+        raise ValueError(f"fold numbers must be 0 to {k - 1}, and not NULL")
     pipelines = {}
     for i in range(k):
-        train_counts = [(row.column, row.value, sum(row[f"n{j}"] for j in range(k) if j != i)) for row in counts]
+        train_counts = [(row.column, row.value, row.n - row[f"n{i}"]) for row in counts]
         labels = ordered_labels(train_counts, columns)
         unseen = {row.value for row in classes if row[f"n{i}"]} - set(labels[roles.target])
         if unseen:
@@ -139,7 +143,7 @@ def _measure(
     """Metrics per fold; the folds are scored side by side, each by its own model."""
     scored, binned = None, {}
     for i, model in models.items():
-        _, test = fold_assembly(table, i)
+        _, test = fold_assembly(table, i, CV_FOLD)
         predictions = model.transform(_merge_small(test, test_rows[i]))
         part = predictions.select(
             F.lit(i).alias(FOLD), LABEL, "prediction", class_score("rawPrediction").alias("score")

@@ -6,17 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from classweave.operators import estimators, scoring
 from classweave.operators.balance import TARGET, WEIGHT, with_class_weight
-from classweave.operators.features import fit_pipeline, positive_index
-from classweave.operators.profile import (
-    class_balance,
-    dataset_shape,
-    imbalance_flag,
-    missing_columns,
-    schema_report,
-)
+from classweave.operators.features import MAX_CATEGORIES, collect_bounded, fit_pipeline, positive_index
+from classweave.operators.profile import balance_of, class_counts, column_profile, imbalance_of
 from classweave.operators.ranking import project_top, rank_features, top_names
 from classweave.operators.validation import cross_validate, cv_summary
 from classweave.sources import load_model, read_parquet, save_model, write_parquet
@@ -25,13 +20,22 @@ ESTIMATORS = {"lr": estimators.logistic, "rf": estimators.forest, "gbt": estimat
 
 
 def audit(df: DataFrame, target: str = TARGET, threshold: float = 15.0) -> dict[str, DataFrame]:
-    """The reports on a raw table; each is lazy."""
+    """The reports on a raw table.
+
+    The table is scanned twice, once for its columns and once for its classes.
+    What comes back is one row per column and per class, and the reports are
+    taken from those.
+    """
+    spark = df.sparkSession
+    by_column, by_class = column_profile(df), class_counts(df, target)
+    columns = spark.createDataFrame(by_column.collect(), by_column.schema)
+    classes = spark.createDataFrame(collect_bounded(by_class, MAX_CATEGORIES), by_class.schema)
     return {
-        "shape": dataset_shape(df),
-        "schema": schema_report(df),
-        "missing": missing_columns(df),
-        "balance": class_balance(df, target),
-        "imbalance": imbalance_flag(df, target, threshold),
+        "shape": columns.agg(F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_columns")),
+        "schema": columns.select("position", "column", "type", "nullable", "n_values"),
+        "missing": columns.filter("n_missing > 0").select("column", "n_missing"),
+        "balance": balance_of(classes),
+        "imbalance": imbalance_of(classes, threshold),
     }
 
 

@@ -57,11 +57,13 @@ def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFram
     Parquet's column pruning. With `partition_by` a filter on those columns
     reads only the matching folders. Rebalancing lets adaptive execution pick
     the file sizes and split a folder that is larger than the rest; without it
-    every task would write one small file per folder.
+    every task would write one small file per folder. Where adaptive execution
+    is off nothing would split a folder, so rows then stay where they are.
     """
     spark = df.sparkSession
     path = fresh_path(spark)
-    laid_out = df.hint("rebalance", *partition_by) if partition_by else df
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    laid_out = df.hint("rebalance", *partition_by) if partition_by and adaptive else df
     try:
         laid_out.write.partitionBy(*partition_by).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)

@@ -30,6 +30,13 @@ def test_missing_is_null_nan_and_text_that_reads_as_nan(gaps):
     }
 
 
+def test_every_spelling_that_casts_to_nan_is_missing(spark):
+    words = ["NaN", "nan", " NAN ", "+NaN", "-NaN", "\tnan\n", "nano", "n a n", "banana", "1", "", "inf", "-nan"]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    expected = df.filter("isnan(try_cast(s AS double))").count()
+    assert _dict(cw.missing_counts(df)) == {"s": expected} and expected >= 5
+
+
 def test_missing_columns_is_empty_for_a_complete_table(spark, gaps):
     assert "id" not in _dict(cw.missing_columns(gaps))
     assert cw.missing_columns(gaps.select("id")).count() == 0
@@ -49,6 +56,15 @@ def test_shape_and_schema(gaps):
     assert report["a.b"].position == 4 and report["a.b"].n_values == 3
 
 
+def test_column_profile_holds_all_column_reports(gaps):
+    profile = {r.column: r for r in cw.column_profile(gaps).collect()}
+    assert {c: r.n_missing for c, r in profile.items()} == _dict(cw.missing_counts(gaps))
+    assert {c: r.n_values for c, r in profile.items()} == {
+        r.column: r.n_values for r in cw.schema_report(gaps).collect()
+    }
+    assert {r.n_rows for r in profile.values()} == {4}
+
+
 def test_shape_of_an_empty_table(gaps):
     assert cw.dataset_shape(gaps.filter("id < 0")).first().n_rows == 0
     assert _dict(cw.missing_counts(gaps.filter("id < 0")))["x"] == 0

@@ -110,6 +110,19 @@ def test_class_that_only_one_fold_has_is_an_error(uneven):
         cw.cross_validate(only, cw.logistic(), "lr", TARGET, fold="fold", k=4)
 
 
+def test_fold_numbers_out_of_range_are_refused(uneven):
+    for fold in (F.col("fold") + 1, F.nullif("fold", F.lit(1))):
+        with pytest.raises(ValueError, match="0 to 3"):
+            cw.cross_validate(uneven.withColumn("fold", fold), cw.logistic(), "lr", TARGET, fold="fold", k=4)
+
+
+def test_a_feature_may_be_called_fold(uneven):
+    plain = uneven.withColumnRenamed("fold", "f")
+    named = plain.withColumn("fold", F.col("x") * 2)
+    found = _wide(cw.cross_validate(named.drop("x"), cw.logistic(), "lr", TARGET, fold="f", k=4))
+    assert found == _wide(cw.cross_validate(plain, cw.logistic(), "lr", TARGET, fold="f", k=4))
+
+
 def test_null_labels_raise(uneven):
     nulls = uneven.withColumn("target", F.when(F.col("x") > 1, F.col("target")))
     with pytest.raises(Exception):
