@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -17,10 +15,10 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 
-    Where the setting is absent and the master is local, as in tests, one
-    temporary folder per application stands in, and becomes the checkpoint
-    folder too: boosting cuts its lineage only if there is one. On a cluster a
-    machine-local folder would be wrong, so the setting is required there.
+    Where the setting is absent and the master is local, as in tests, a
+    temporary folder stands in, and becomes the checkpoint folder too: boosting
+    cuts its lineage only if there is one. On a cluster a machine-local folder
+    would be wrong, so the setting is required there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -30,28 +28,40 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
     if app not in _LOCAL_FOLDERS:
-        folder = tempfile.mkdtemp(prefix="classweave-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        _LOCAL_FOLDERS[app] = folder
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="classweave-")
         if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
+            context.setCheckpointDir(_LOCAL_FOLDERS[app])
     return _LOCAL_FOLDERS[app]
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+
 def fresh_path(spark: SparkSession, name: str = "table") -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/classweave-{name}-{uuid4().hex}"
+    """A path in the shared folder that nothing else uses, deleted when the driver ends.
+
+    All paths of an application lie in one folder of its own.
+    """
+    folder = f"{shared_folder(spark)}/classweave-{spark.sparkContext.applicationId}"
+    files, hadoop_path = _hadoop_path(spark, folder)
+    if not files.exists(hadoop_path):
+        files.mkdirs(hadoop_path)
+        files.deleteOnExit(hadoop_path)
+    return f"{folder}/{name}-{uuid4().hex}"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, hadoop_path = _hadoop_path(spark, path)
     files.delete(hadoop_path, True)
 
 
 @contextmanager
 def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
-    """Write `df` once, read it back many times, and delete it at the end.
+    """Write `df` once, read it back many times, and delete it at the end of the block.
 
     The written table cuts the lineage, survives lost executors, and keeps
     Parquet's column pruning. With `partition_by` a filter on those columns

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -5,6 +7,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 import classweave as cw
+from classweave.sources.staging import fresh_path
 from workload import tables
 
 KEY, TARGET = "o_orderkey", "target"
@@ -137,13 +140,10 @@ def test_values_seen_in_one_fold_only_are_scored(spark):
 
 
 def test_staged_tables_are_removed(spark, planted):
-    import os
-
-    folder = cw.sources.shared_folder(spark)
-    before = {n for n in os.listdir(folder) if n.startswith("classweave-table")}
+    folder = Path(fresh_path(spark)).parent
+    before = set(folder.glob("table-*"))
     cw.cross_validate(planted, cw.logistic(maxIter=2), "lr", TARGET, key=KEY, k=2)
-    after = {n for n in os.listdir(folder) if n.startswith("classweave-table")}
-    assert after == before
+    assert set(folder.glob("table-*")) == before
 
 
 def test_test_folds_read_only_their_own_folder(planted):
