@@ -19,7 +19,7 @@ FEATURES = "features"
 
 # Category labels live in the fitted model, hence on the driver and in every
 # task. Beyond this many, index the columns with `operators.categories`.
-MAX_CATEGORIES = 1_000_000
+MAX_CATEGORIES = 200_000
 
 
 @dataclass(frozen=True)

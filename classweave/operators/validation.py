@@ -151,7 +151,10 @@ def _measure(
         scored = part if scored is None else scored.unionAll(part)
         if auc_bins is not None:
             evaluator = BinaryClassificationEvaluator(labelCol=LABEL, numBins=auc_bins)
-            binned[i] = evaluator.evaluate(predictions)
+            # The evaluator reads its input several times.
+            kept = predictions.select(LABEL, "rawPrediction").persist()
+            binned[i] = evaluator.evaluate(kept)
+            kept.unpersist()
     if scored is None:
         return {}
     measured = {row[FOLD]: row.asDict() for row in metrics_table(scored, by=[FOLD]).collect()}

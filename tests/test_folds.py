@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def test_hash_folds_ignore_the_layout(numbers):
     assert folds(numbers) == folds(numbers.repartition(9, "r")) == folds(numbers.coalesce(1).orderBy("r"))
 
 
+def test_hash_folds_are_the_digest_of_seed_and_key(numbers):
+    for row in cw.hash_folds(numbers.limit(200), "id", 7, seed=5).collect():
+        assert row.fold == int(hashlib.md5(f"5:{row.id}".encode()).hexdigest()[:8], 16) % 7
+
+
 def test_hash_folds_depend_on_seed_and_on_every_key(numbers):
     base = cw.hash_folds(numbers, "id", 10)
     other = cw.hash_folds(numbers, "id", 10, seed=7).withColumnRenamed("fold", "other")

@@ -39,6 +39,9 @@ def test_every_query_has_an_oracle():
 def test_query_equals_sql(spark, duck, sf_dir, name):
     result = QUERIES[name](spark, sf_dir)
     found = _canonical(result.columns, [tuple(row) for row in result.collect()])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert node not in plan
     expected_relation = duck.sql(SQL[name])
     expected = _canonical(expected_relation.columns, expected_relation.fetchall())
     assert found[0] == expected[0]

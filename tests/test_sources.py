@@ -56,3 +56,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
         staging.shared_folder(session(None, "yarn"))
     assert staging.shared_folder(spark) == staging.shared_folder(spark)
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_staging_by_folder_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with cw.staged(spark.range(40).selectExpr("id", "id % 4 AS part"), ["part"]) as table:
+            assert table.filter("part = 3").count() == 10
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
