@@ -7,6 +7,7 @@ With spark-submit, pass this file as the application and the package as
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--kind", choices=sorted(ESTIMATORS), required=True)
     train.add_argument("--folds", type=int, default=10)
     train.add_argument("--parallelism", type=int, default=1)
+    train.add_argument("--set", nargs="*", default=[], metavar="PARAM=VALUE", help="e.g. maxBins=64 maxIter=20")
     stage("score", "score a table", "--model", "--output")
     stage("view", "show scored rows").add_argument("--model")
     return result
@@ -66,8 +68,9 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.stage == "select":
         _show({"ranking": select_features(df, args.output, args.target, args.k, args.key).orderBy("rank")})
     elif args.stage == "train":
+        params = {name: json.loads(value) for name, value in (pair.split("=", 1) for pair in args.set)}
         _, metrics, summary = train_model(
-            df, args.kind, args.model, args.target, args.key, args.folds, parallelism=args.parallelism
+            df, args.kind, args.model, args.target, args.key, args.folds, parallelism=args.parallelism, **params
         )
         _show({"folds": metrics, "summary": summary})
     else:

@@ -7,8 +7,10 @@ path that the caller owns, as it is also needed to index later tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from classweave.functions import quoted
@@ -62,33 +64,61 @@ def index_by_table(
 ) -> DataFrame:
     """Add index columns by joining with a category table.
 
-    The few frequent values, and NULL, are settled by broadcast and never
-    shuffled, so a value that fills a third of the table does not meet in one
-    task. Only rows with rare values are shuffled by value; should a value that
-    the table lacks be frequent, adaptive execution splits its partition.
+    Frequent values are settled by broadcast. Rows that hold only those, or
+    NULL, are never shuffled, so a value that fills a third of the table does
+    not meet in one task. The other rows are shuffled once per column by their
+    rare value; where a column is settled already, by a hash over all indexed
+    columns, of which at least one is rare. Should a value that the table lacks
+    be frequent, adaptive execution splits its partition.
     """
     if invalid not in ("keep", "skip", "error"):
         raise ValueError(f"invalid must be keep, skip or error, not {invalid!r}")
-    for column, output in zip(columns, outputs or [f"{c}_idx" for c in columns]):
-        df = _index_one(df, table, column, output, invalid)
-    return df
+    outputs = list(outputs or [f"{c}_idx" for c in columns])
+    values = [F.col(quoted(c)).cast("string") for c in columns]
+    tables = [table.filter(F.col("column") == c) for c in columns]
 
+    marked = df
+    for i, (value, mine) in enumerate(zip(values, tables)):
+        heavy = _lookup(mine.filter(_is_heavy()), i)
+        marked = marked.join(F.broadcast(heavy), value == F.col(f"_value{i}"), "left").drop(f"_value{i}")
+    pending = [value.isNotNull() & F.col(f"_index{i}").isNull() for i, value in enumerate(values)]
+    any_pending = reduce(or_, pending)
+
+    rare_rows = marked.filter(any_pending)
+    spread = 1 + F.pmod(F.xxhash64(*values), F.lit(2**30)).cast("int")
+    for i, (value, mine) in enumerate(zip(values, tables)):
+        rare = _lookup(mine.filter(~_is_heavy()), i, "_found").withColumn(f"_zero{i}", F.lit(0))
+        key = F.when(pending[i], value).otherwise("")
+        salt = F.when(pending[i], 0).otherwise(spread)
+        rare_rows = rare_rows.join(rare, (key == F.col(f"_value{i}")) & (salt == F.col(f"_zero{i}")), "left").drop(
+            f"_value{i}", f"_zero{i}"
+        )
+
+    def indices(found: bool) -> list[Column]:
+        result = []
+        for i, (column, mine, output) in enumerate(zip(columns, tables, outputs)):
+            index = F.coalesce(f"_index{i}", f"_found{i}") if found else F.col(f"_index{i}")
+            if invalid == "keep":
+                index = F.coalesce(index, mine.agg(F.count(F.lit(1)).cast("double")).scalar())
+            elif invalid == "error":
+                unseen = F.raise_error(F.lit(f"{column} holds NULL or an unseen value"))
+                index = F.coalesce(index, unseen.cast("double"))
+            result.append(index.alias(output))
+        return result
 
-def _index_one(df: DataFrame, table: DataFrame, column: str, output: str, invalid: str) -> DataFrame:
-    # Plain doubles: unlike a fitted indexer, a join adds no category metadata.
-    mine = table.filter(F.col("column") == column).select("value", "n", "total", "index")
-    is_heavy = F.col("n") * HEAVY_SHARE > F.col("total")
-    heavy = F.broadcast(mine.filter(is_heavy).select(F.col("value").alias("_value"), F.col("index").alias("_index")))
-    rare = mine.filter(~is_heavy).select(F.col("value").alias("_value"), F.col("index").alias("_index"))
-    value = F.col(quoted(column)).cast("string")
-    same = value == F.col("_value")
-    frequent_or_null = df.join(heavy, same, "left").filter(F.col("_index").isNotNull() | value.isNull())
-    others = df.filter(value.isNotNull()).join(heavy, same, "left_anti").join(rare, same, "left")
-    index = F.col("_index")
-    if invalid == "keep":
-        index = F.coalesce(index, mine.agg(F.count(F.lit(1)).cast("double")).scalar())
-    elif invalid == "error":
-        index = F.coalesce(index, F.raise_error(F.lit(f"{column} holds NULL or an unseen value")).cast("double"))
     names = [F.col(quoted(c)) for c in df.columns]
-    result = frequent_or_null.unionAll(others).select(*names, index.alias(output))
-    return result.filter(F.col(quoted(output)).isNotNull()) if invalid == "skip" else result
+    settled = marked.filter(~any_pending).select(*names, *indices(False))
+    result = settled.unionAll(rare_rows.select(*names, *indices(True)))
+    if invalid == "skip":
+        result = result.dropna(subset=[quoted(o) for o in outputs])
+    return result
+
+
+def _is_heavy() -> Column:
+    """True for the rows of a category table that are joined by broadcast."""
+    return F.col("n") * HEAVY_SHARE > F.col("total")
+
+
+def _lookup(rows: DataFrame, i: int, index: str = "_index") -> DataFrame:
+    # Plain doubles: unlike a fitted indexer, a join adds no category metadata.
+    return rows.select(F.col("value").alias(f"_value{i}"), F.col("index").alias(f"{index}{i}"))

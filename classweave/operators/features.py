@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,12 +81,11 @@ def column_roles(
     return Roles(tuple(numeric), tuple(strings), target, indexed)
 
 
-def _long_values(df: DataFrame, columns: Sequence[str], extra: Mapping[str, object] = {}) -> DataFrame:
-    """(extra..., column, value): one row per non-NULL cell of the given columns."""
+def _long_values(df: DataFrame, columns: Sequence[str], kept: Sequence[Column] = ()) -> DataFrame:
+    """(kept..., column, value): one row per non-NULL cell of the given columns."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("value")) for c in columns]
     )
-    kept = [expr.alias(name) for name, expr in extra.items()]
     return df.select(*kept, F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
@@ -102,7 +101,7 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fold_category_counts(df: DataFrame, columns: Sequence[str], fold: str, k: int) -> DataFrame:
     """(column, value, n, n0 .. n{k-1}): the counts of all rows and of every fold in one scan."""
-    values = _long_values(df, columns, {"fold": F.col(quoted(fold))})
+    values = _long_values(df, columns, [F.col(quoted(fold)).alias("fold")])
     return values.groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("fold") == i).alias(f"n{i}") for i in range(k)]
     )
@@ -149,7 +148,9 @@ def ordered_labels(rows: Iterable[tuple[str, str, int]], columns: Sequence[str])
     for column, value, n in rows:
         if n > 0:
             found[column].append((value, n))
-    return {c: [value for value, _ in sorted(pairs, key=lambda pair: (-pair[1], pair[0]))] for c, pairs in found.items()}
+    for pairs in found.values():
+        pairs.sort(key=lambda pair: (-pair[1], pair[0]))
+    return {column: [value for value, _ in pairs] for column, pairs in found.items()}
 
 
 def category_labels(

@@ -70,15 +70,16 @@ def cross_validate(
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
     given = [] if fold is None else [fold]
     roles = column_roles(df, target, weight, [*exclude, *keys, *given])
+    needed = [*roles.features, target, *([weight] if weight else [])]
     if fold is not None:
         with_folds = df.withColumn(CV_FOLD, F.col(quoted(fold)).cast("int"))
     elif key is not None:
         with_folds = hash_folds(df, key, k, seed, CV_FOLD)
     else:
-        with_folds = random_folds(df, k, seed, CV_FOLD)
-    needed = [*roles.features, target, *([weight] if weight else []), CV_FOLD]
+        # The draw sorts by every column, so the others go first.
+        with_folds = random_folds(df.select(*[F.col(quoted(c)) for c in needed]), k, seed, CV_FOLD)
     spark = df.sparkSession
-    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed]), [CV_FOLD]) as table:
+    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed], CV_FOLD), [CV_FOLD]) as table:
         pipelines, train_rows, test_rows = _fold_pipelines(table, roles, estimator, k, invalid, max_categories)
 
         def fit(i: int) -> PipelineModel:

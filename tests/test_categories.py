@@ -51,9 +51,21 @@ def test_unseen_values(spark, skewed, table):
         cw.index_by_table(later, table, ["w"], invalid="drop")
 
 
-def test_frequent_values_are_not_shuffled(spark, skewed, table, tmp_path):
+def test_rows_of_frequent_values_are_not_shuffled(spark, skewed, table, tmp_path):
     path = str(tmp_path / "rows")
     skewed.write.parquet(path)
-    found = cw.index_by_table(spark.read.parquet(path), table, ["w"])
+    rows = spark.read.parquet(path)
+    found = cw.index_by_table(rows, table, ["w", "c"])
+    # Two scans of the rows whatever the number of columns, each with one broadcast per column.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("strategy=broadcast") == 2
+    assert plan.count("strategy=broadcast") == 4
+    assert plan.count("Relation [id") == 2
+    settled = found.filter("w = 'hot'")
+    assert settled.count() == 10_000 and settled.select("w_idx").distinct().count() == 1
+
+
+def test_columns_that_need_quoting(spark, skewed, tmp_path):
+    rows = skewed.withColumnRenamed("w", "a.b").withColumnRenamed("c", "d`e")
+    table = cw.write_category_table(rows, ["a.b", "d`e"], str(tmp_path / "t"))
+    found = cw.index_by_table(rows, table, ["a.b", "d`e"], ["i", "j"], invalid="skip")
+    assert found.columns == ["id", "a.b", "d`e", "i", "j"] and found.count() == 18_000

@@ -47,7 +47,8 @@ def test_metrics_equal_their_definitions(spark, drawn):
     for g, group in enumerate(drawn):
         assert found[g].n_rows == len(group)
         for metric, value in brute_force(group).items():
-            assert found[g][metric] == pytest.approx(value, abs=1e-12) if value is not None else found[g][metric] is None
+            assert (found[g][metric] is None) == (value is None)
+            assert value is None or found[g][metric] == pytest.approx(value, abs=1e-12)
 
 
 @pytest.fixture(scope="module")

@@ -61,7 +61,8 @@ def test_command_line(spark, raw, tmp_path, capsys):
     main(["weigh", "--input", raw, "--output", weighted])
     main(["select", "--input", weighted, "--output", final, "-k", "2", "--key", KEY])
     assert "o_totalprice" in capsys.readouterr().out
-    main(["train", "--input", final, "--model", model, "--kind", "lr", "--folds", "2", "--key", KEY])
+    main(["train", "--input", final, "--model", model, "--kind", "lr", "--folds", "2", "--key", KEY,
+          "--set", "maxIter=20", "regParam=0.1"])
     assert "accuracy" in capsys.readouterr().out
     main(["score", "--input", final, "--model", model, "--output", scored, "--key", KEY])
     main(["view", "--input", scored, "--model", model, "--key", KEY])

@@ -29,7 +29,8 @@ def _wide(metrics):
 def one_by_one(df, estimator, k):
     """Fold by fold with plain stages and one evaluator per metric."""
     roles = cw.column_roles(df, TARGET, exclude=[KEY, "fold"])
-    stages = [StringIndexer(inputCol=s, outputCol=i, handleInvalid="keep") for s, i in zip(roles.strings, roles.indexed)]
+    names = zip(roles.strings, roles.indexed)
+    stages = [StringIndexer(inputCol=s, outputCol=i, handleInvalid="keep") for s, i in names]
     stages += [
         StringIndexer(inputCol=TARGET, outputCol="label"),
         VectorAssembler(inputCols=list(roles.slots), outputCol="features"),
