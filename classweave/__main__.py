@@ -47,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--kind", choices=sorted(ESTIMATORS), required=True)
     train.add_argument("--folds", type=int, default=10)
     train.add_argument("--parallelism", type=int, default=1)
+    train.add_argument("--auc-bins", type=int, help="binned instead of exact AUC, e.g. 1000")
     train.add_argument("--set", nargs="*", default=[], metavar="PARAM=VALUE", help="e.g. maxBins=64 maxIter=20")
     stage("score", "score a table", "--model", "--output")
     stage("view", "show scored rows").add_argument("--model")
@@ -70,7 +71,15 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.stage == "train":
         params = {name: json.loads(value) for name, value in (pair.split("=", 1) for pair in args.set)}
         _, metrics, summary = train_model(
-            df, args.kind, args.model, args.target, args.key, args.folds, parallelism=args.parallelism, **params
+            df,
+            args.kind,
+            args.model,
+            args.target,
+            args.key,
+            args.folds,
+            parallelism=args.parallelism,
+            auc_bins=args.auc_bins,
+            **params,
         )
         _show({"folds": metrics, "summary": summary})
     else:

@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from classweave.functions import class_score, quoted
@@ -64,8 +64,9 @@ def cross_validate(
     scored and measured in one further job. `parallelism` fits that many folds
     at a time, each of which holds its own training data in memory and on disk.
 
-    A fold without rows has NULL metrics, one with a single class has NULL
-    AUC. With `auc_bins` the AUC is MLlib's binned one.
+    `n_rows` counts the rows that were scored, which "skip" lessens by those
+    with a NULL or unseen category. A fold without rows has NULL metrics, one
+    with a single class has NULL AUC. With `auc_bins` the AUC is MLlib's binned one.
     """
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
     given = [] if fold is None else [fold]
@@ -88,10 +89,11 @@ def cross_validate(
 
         models = _run_parallel(spark, fit, [i for i in range(k) if test_rows[i]], parallelism)
         measured = _measure(table, models, test_rows, auc_bins)
+    nothing = {"n_rows": 0, **dict.fromkeys(METRICS)}
     rows = []
     for i in range(k):
-        for metric in METRICS:
-            rows.append((model, i, test_rows[i], metric, measured[i][metric] if i in measured else None))
+        found = measured.get(i, nothing)
+        rows += [(model, i, found["n_rows"], metric, found[metric]) for metric in METRICS]
     return spark.createDataFrame(rows, "model string, fold int, n_rows bigint, metric string, value double")
 
 
@@ -140,7 +142,7 @@ def _run_parallel(
 
 def _measure(
     table: DataFrame, models: dict[int, PipelineModel], test_rows: list[int], auc_bins: int | None
-) -> dict[int, Row]:
+) -> dict[int, dict]:
     """Metrics per fold; the folds are scored side by side, each by its own model."""
     scored, binned = None, {}
     for i, model in models.items():
@@ -160,7 +162,7 @@ def _measure(
         return {}
     measured = {row[FOLD]: row.asDict() for row in metrics_table(scored, by=[FOLD]).collect()}
     for i, auc in binned.items():
-        if measured[i]["auc"] is not None:
+        if i in measured and measured[i]["auc"] is not None:
             measured[i]["auc"] = auc
     return measured
 

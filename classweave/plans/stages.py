@@ -66,6 +66,7 @@ def train_model(
     k: int = 10,
     seed: int = 42,
     parallelism: int = 1,
+    auc_bins: int | None = None,
     **params,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Cross-validate, refit on all rows, save; return (model, fold metrics, their summary).
@@ -74,7 +75,15 @@ def train_model(
     """
     estimator = ESTIMATORS[kind](**params)
     metrics = cross_validate(
-        df, estimator, kind, target, key=list(key) or None, k=k, seed=seed, parallelism=parallelism
+        df,
+        estimator,
+        kind,
+        target,
+        key=list(key) or None,
+        k=k,
+        seed=seed,
+        parallelism=parallelism,
+        auc_bins=auc_bins,
     )
     model = fit_pipeline(df, estimator, target=target, exclude=key)
     save_model(model, model_path)

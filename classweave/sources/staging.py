@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
+# Spark cuts scans into one part per core, but no finer than row groups. Small
+# ones let a fit, which costs much more than its scan, use all cores.
+_ROW_GROUP_BYTES = 8 * 1024 * 1024
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
@@ -75,7 +79,7 @@ def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFram
     adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
     laid_out = df.hint("rebalance", *partition_by) if partition_by and adaptive else df
     try:
-        laid_out.write.partitionBy(*partition_by).parquet(path)
+        laid_out.write.option("parquet.block.size", _ROW_GROUP_BYTES).partitionBy(*partition_by).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         delete_path(spark, path)

@@ -137,6 +137,16 @@ def test_pipeline_equals_one_of_plain_stages(mixed):
         assert a.id == b.id and a.probability.toArray() == pytest.approx(b.probability.toArray(), abs=1e-9)
 
 
+@pytest.mark.parametrize("estimator", [cw.logistic, cw.forest, cw.boosted])
+def test_column_without_any_value_does_no_harm(spark, estimator):
+    rows = [(None, float(i), "Yes" if i > 20 else "No") for i in range(40)]
+    df = spark.createDataFrame(rows, "s string, x double, t string")
+    small = {"maxIter": 2} if estimator is not cw.forest else {"numTrees": 2}
+    model = cw.fit_pipeline(df, estimator(weight=None, **small), target="t", weight=None)
+    assert model.transform(df).filter("s_idx = 0").count() == 40
+    assert cw.string_index(df, ["s"], invalid="skip").count() == 0
+
+
 def test_column_report_counts_categories(mixed):
     report = {r.column: (r.role, r.slot, r.n_categories) for r in cw.column_report(mixed, exclude=["id"]).collect()}
     assert report["s"] == ("string", 2, 2) and report["flag"] == ("numeric", 1, None)

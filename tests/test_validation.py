@@ -140,6 +140,16 @@ def test_values_seen_in_one_fold_only_are_scored(spark):
     assert all(found[i]["auc"] > 0.99 for i in range(2))
 
 
+def test_skipped_rows_are_not_counted(spark):
+    rows = [(i % 2, "a" if i % 3 else None, float(i % 7), "Yes" if i % 7 > 4 else "No", 1.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "fold int, s string, x double, target string, classWeight double")
+    options = {"target": TARGET, "fold": "fold", "k": 2}
+    skipped = _wide(cw.cross_validate(df, cw.logistic(), "lr", invalid="skip", auc_bins=1000, **options))
+    kept = _wide(cw.cross_validate(df, cw.logistic(), "lr", **options))
+    assert [skipped[i]["n_rows"] for i in range(2)] == [40, 40]
+    assert [kept[i]["n_rows"] for i in range(2)] == [60, 60]
+
+
 def test_staged_tables_are_removed(spark, planted):
     folder = Path(fresh_path(spark)).parent
     before = set(folder.glob("table-*"))

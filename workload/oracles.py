@@ -90,6 +90,12 @@ FROM information_schema.columns JOIN present ON column_name = "column"
 WHERE table_name = 'customer'""",
     "missing_counts": f"WITH {t.MISSING_SQL}{_GAPS}",
     "missing_columns": f"WITH {t.MISSING_SQL}, gaps AS ({_GAPS}) SELECT * FROM gaps WHERE n_missing > 0",
+    "column_profile": f"""
+WITH {t.MISSING_SQL}, gaps AS ({_GAPS}),
+present AS (
+  UNPIVOT (SELECT count(COLUMNS(*)) FROM with_missing) ON COLUMNS(*) INTO NAME "column" VALUE n_values)
+SELECT "column", (SELECT count(*) FROM with_missing) AS n_rows, n_values, n_missing
+FROM present JOIN gaps USING ("column")""",
     "class_balance": f"""
 WITH {t.MISSING_SQL}
 SELECT toxic, count(*) AS count, round(count(*) * 100.0 / (SELECT count(*) FROM with_missing), 6)::DOUBLE AS percent

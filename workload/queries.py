@@ -51,6 +51,12 @@ def missing_columns(spark, sf_dir):
     return cw.missing_columns(t.with_missing(spark, sf_dir))
 
 
+@query
+def column_profile(spark, sf_dir):
+    profile = cw.column_profile(t.with_missing(spark, sf_dir))
+    return profile.select("column", "n_rows", "n_values", "n_missing")
+
+
 @query
 def class_balance(spark, sf_dir):
     balance = cw.class_balance(t.with_missing(spark, sf_dir), "toxic")
