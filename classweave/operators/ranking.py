@@ -15,7 +15,7 @@ from classweave.operators.features import build_pipeline, column_roles
 
 
 def stable_layout(df: DataFrame, key: str | Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Spread the rows by key and sort each partition by it, at the price of one shuffle.
+    """Spread the rows by a unique key and sort each partition by it, at the price of one shuffle.
 
     Seeded forests draw per partition, so a table read from other files gives
     another forest. With a fixed number of `partitions` the layout, and so the

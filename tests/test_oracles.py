@@ -24,7 +24,7 @@ def _canonical(columns, rows):
 
     def plain(value):
         if isinstance(value, float):
-            return "nan" if math.isnan(value) else round(value, 6) + 0.0
+            return "nan" if math.isnan(value) else value + 0.0
         return value
 
     table = [tuple(plain(row[i]) for i in order) for row in rows]

@@ -203,7 +203,7 @@ def project_top(spark, sf_dir):
 
 
 def _small_logistic():
-    return cw.logistic(regParam=0.0, tol=1e-10)
+    return cw.logistic(regParam=0.0, tol=1e-7)
 
 
 def _small_forest():
