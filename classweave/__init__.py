@@ -36,7 +36,7 @@ from classweave.operators.profile import (
 )
 from classweave.operators.ranking import project_top, rank_features, stable_layout, top_features, top_names
 from classweave.operators.scoring import batch_score, prediction_distribution, prediction_sample, prediction_view
-from classweave.operators.validation import cross_validate, cv_summary, leaderboard
+from classweave.operators.validation import compare_models, cross_validate, cv_summary, leaderboard
 from classweave import sources
 from classweave.sources import load_model, read_csv, read_parquet, save_model, staged, write_parquet
 

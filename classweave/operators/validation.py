@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 from multiprocessing.pool import ThreadPool
 
@@ -37,9 +39,15 @@ ROWS_PER_TASK = 20_000
 
 
 def cross_validate(
+    df: DataFrame, estimator: Estimator, model: str, target: str = TARGET, **options
+) -> DataFrame:
+    """`compare_models` for one estimator, called `model` in the result."""
+    return compare_models(df, {model: estimator}, target, **options)
+
+
+def compare_models(
     df: DataFrame,
-    estimator: Estimator,
-    model: str,
+    estimators: Mapping[str, Estimator],
     target: str = TARGET,
     weight: str | None = WEIGHT,
     key: str | Sequence[str] | None = None,
@@ -52,7 +60,7 @@ def cross_validate(
     auc_bins: int | None = None,
     max_categories: int = MAX_CATEGORIES,
 ) -> DataFrame:
-    """(model, fold, n_rows, metric, value) for every fold and metric.
+    """(model, fold, n_rows, metric, value): k-fold cross-validation of every estimator on the same folds.
 
     Folds come from `key` (by hash), from an existing column `fold` with
     numbers 0 to k-1, or else at random. Every fold is scored by a pipeline
@@ -60,13 +68,15 @@ def cross_validate(
     weights are those of `df`, so by default they were taken over all rows.
 
     The features are written once, split by fold, so that each fit reads only
-    its own part. One scan counts the categories of all folds; all folds are
-    scored and measured in one further job. `parallelism` fits that many folds
-    at a time, each of which holds its own training data in memory and on disk.
+    its own part. One scan counts the categories of all folds; all folds of a
+    model are scored and measured in one further job. `parallelism` fits that
+    many folds at a time, each of which holds its own training data in memory
+    and on disk.
 
     `n_rows` counts the rows that were scored, which "skip" lessens by those
     with a NULL or unseen category. A fold without rows has NULL metrics, one
-    with a single class has NULL AUC. With `auc_bins` the AUC is MLlib's binned one.
+    with a single class has NULL AUC. With `auc_bins` the AUC is MLlib's
+    binned one.
     """
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
     given = [] if fold is None else [fold]
@@ -80,27 +90,40 @@ def cross_validate(
         # The draw sorts by every column, so the others go first.
         with_folds = random_folds(df.select(*[F.col(quoted(c)) for c in needed]), k, seed, CV_FOLD)
     spark = df.sparkSession
-    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed], CV_FOLD), [CV_FOLD]) as table:
-        pipelines, train_rows, test_rows = _fold_pipelines(table, roles, estimator, k, invalid, max_categories)
-
-        def fit(i: int) -> PipelineModel:
-            train, _ = fold_assembly(table, i, CV_FOLD)
-            return pipelines[i].fit(_merge_small(train, train_rows[i]))
-
-        models = _run_parallel(spark, fit, [i for i in range(k) if test_rows[i]], parallelism)
-        measured = _measure(table, models, test_rows, auc_bins)
     nothing = {"n_rows": 0, **dict.fromkeys(METRICS)}
     rows = []
-    for i in range(k):
-        found = measured.get(i, nothing)
-        rows += [(model, i, found["n_rows"], metric, found[metric]) for metric in METRICS]
+    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed], CV_FOLD), [CV_FOLD]) as table:
+        folds = _read_folds(table, roles, k, max_categories)
+        for estimator in estimators.values():
+            for each in folds:
+                check_trainable(estimator, roles, each.labels, invalid)
+        for model, estimator in estimators.items():
+
+            def fit(each: _Fold, estimator: Estimator = estimator) -> PipelineModel:
+                train, _ = fold_assembly(table, each.number, CV_FOLD)
+                stages = [*feature_stages(roles, each.labels, invalid), estimator.copy()]
+                return Pipeline(stages=stages).fit(_merge_small(train, each.train_rows))
+
+            models = _run_parallel(spark, fit, folds, parallelism)
+            measured = _measure(table, folds, models, auc_bins)
+            for i in range(k):
+                found = measured.get(i, nothing)
+                rows += [(model, i, found["n_rows"], metric, found[metric]) for metric in METRICS]
     return spark.createDataFrame(rows, "model string, fold int, n_rows bigint, metric string, value double")
 
 
-def _fold_pipelines(
-    table: DataFrame, roles: Roles, estimator: Estimator, k: int, invalid: str, max_categories: int
-) -> tuple[dict[int, Pipeline], list[int], list[int]]:
-    """Unfitted pipelines per fold, with the rows each trains on and is tested on.
+@dataclass(frozen=True)
+class _Fold:
+    """A fold with rows: its sizes, and the category labels of the rows outside it."""
+
+    number: int
+    train_rows: int
+    test_rows: int
+    labels: dict[str, list[str]]
+
+
+def _read_folds(table: DataFrame, roles: Roles, k: int, max_categories: int) -> list[_Fold]:
+    """The folds that have rows.
 
     A fold's training counts are all counts minus its own, so the categories
     of k training sets take one scan instead of k.
@@ -108,22 +131,20 @@ def _fold_pipelines(
     columns = [*roles.strings, roles.target]
     counts = collect_bounded(fold_category_counts(table, columns, CV_FOLD, k), max_categories)
     classes = [row for row in counts if row.column == roles.target]
-    test_rows = [sum(row[f"n{i}"] for row in classes) for i in range(k)]
-    train_rows = [sum(test_rows) - n for n in test_rows]
-    if sum(test_rows) != sum(row.n for row in classes):
+    sizes = [sum(row[f"n{i}"] for row in classes) for i in range(k)]
+    if sum(sizes) != sum(row.n for row in classes):
         raise ValueError(f"fold numbers must be 0 to {k - 1}, and not NULL")
-    pipelines = {}
+    folds = []
     for i in range(k):
+        if not sizes[i]:
+            continue
         train_counts = [(row.column, row.value, row.n - row[f"n{i}"]) for row in counts]
         labels = ordered_labels(train_counts, columns)
         unseen = {row.value for row in classes if row[f"n{i}"]} - set(labels[roles.target])
         if unseen:
             raise ValueError(f"class {unseen.pop()!r} occurs in fold {i} only: no other fold can teach it")
-        if not test_rows[i]:
-            continue
-        check_trainable(estimator, roles, labels, invalid)
-        pipelines[i] = Pipeline(stages=[*feature_stages(roles, labels, invalid), estimator.copy()])
-    return pipelines, train_rows, test_rows
+        folds.append(_Fold(i, sum(sizes) - sizes[i], sizes[i], labels))
+    return folds
 
 
 def _merge_small(df: DataFrame, rows: int) -> DataFrame:
@@ -131,39 +152,38 @@ def _merge_small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _run_parallel(
-    spark: SparkSession, fit: Callable[[int], PipelineModel], folds: list[int], parallelism: int
-) -> dict[int, PipelineModel]:
+    spark: SparkSession, fit: Callable[[_Fold], PipelineModel], folds: list[_Fold], parallelism: int
+) -> list[PipelineModel]:
     """Fit the folds from `parallelism` driver threads; Spark schedules their jobs."""
-    if parallelism == 1:
-        return {i: fit(i) for i in folds}
-    with ThreadPool(min(parallelism, max(1, len(folds)))) as pool:
-        return dict(zip(folds, pool.map(inheritable_thread_target(spark)(fit), folds)))
+    if parallelism == 1 or len(folds) < 2:
+        return [fit(each) for each in folds]
+    with ThreadPool(min(parallelism, len(folds))) as pool:
+        return pool.map(inheritable_thread_target(spark)(fit), folds)
 
 
 def _measure(
-    table: DataFrame, models: dict[int, PipelineModel], test_rows: list[int], auc_bins: int | None
+    table: DataFrame, folds: list[_Fold], models: list[PipelineModel], auc_bins: int | None
 ) -> dict[int, dict]:
-    """Metrics per fold; the folds are scored side by side, each by its own model."""
-    scored, binned = None, {}
-    for i, model in models.items():
-        _, test = fold_assembly(table, i, CV_FOLD)
-        predictions = model.transform(_merge_small(test, test_rows[i]))
-        part = predictions.select(
-            F.lit(i).alias(FOLD), LABEL, "prediction", class_score("rawPrediction").alias("score")
-        )
-        scored = part if scored is None else scored.unionAll(part)
+    """Metrics per fold number; the folds are scored side by side, each by its own model."""
+    parts, binned = [], {}
+    for each, model in zip(folds, models):
+        _, test = fold_assembly(table, each.number, CV_FOLD)
+        predictions = model.transform(_merge_small(test, each.test_rows))
+        score = class_score("rawPrediction").alias("score")
+        parts.append(predictions.select(F.lit(each.number).alias(FOLD), LABEL, "prediction", score))
         if auc_bins is not None:
             evaluator = BinaryClassificationEvaluator(labelCol=LABEL, numBins=auc_bins)
             # The evaluator reads its input several times.
             kept = predictions.select(LABEL, "rawPrediction").persist()
-            binned[i] = evaluator.evaluate(kept)
+            binned[each.number] = evaluator.evaluate(kept)
             kept.unpersist()
-    if scored is None:
+    if not parts:
         return {}
+    scored = reduce(DataFrame.unionAll, parts)
     measured = {row[FOLD]: row.asDict() for row in metrics_table(scored, by=[FOLD]).collect()}
-    for i, auc in binned.items():
-        if i in measured and measured[i]["auc"] is not None:
-            measured[i]["auc"] = auc
+    for number, auc in binned.items():
+        if number in measured and measured[number]["auc"] is not None:
+            measured[number]["auc"] = auc
     return measured
 
 

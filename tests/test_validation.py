@@ -166,6 +166,25 @@ def test_test_folds_read_only_their_own_folder(planted):
         assert train.count() + test.count() == 1_500
 
 
+def test_models_are_compared_on_the_same_folds(planted):
+    estimators = {"lr": cw.logistic(), "gbt": cw.boosted(maxIter=2, maxDepth=2)}
+    options = {"key": KEY, "k": 3, "parallelism": 3}
+    together = cw.compare_models(planted, estimators, TARGET, **options)
+    for name, estimator in estimators.items():
+        alone = _wide(cw.cross_validate(planted, estimator, name, TARGET, **options))
+        found = _wide(together.filter(F.col("model") == name))
+        assert found.keys() == alone.keys()
+        assert all(found[i] == pytest.approx(alone[i], abs=1e-9) for i in alone)
+    board = cw.leaderboard(cw.cv_summary(together)).orderBy("rank").collect()
+    assert [r.model for r in board] == ["gbt", "lr"]
+
+
+def test_a_bad_estimator_is_found_before_any_training(planted):
+    bad = {"lr": cw.logistic(), "gbt": cw.boosted(max_bins=3)}
+    with pytest.raises(ValueError, match="bins"):
+        cw.compare_models(planted, bad, TARGET, key=KEY, k=2)
+
+
 def test_leaderboard_ranks_by_mean(spark):
     rows = [
         (m, i, 10, metric, base + i / 100)
