@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate
+from classweave.llm import decontaminate, secrets, urls
 from classweave.llm.frames import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of each document, with how many of them look live."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    scanned = secrets.scan_secrets(docs)
+    spans = F.col("spans")
+    kind = lambda k: F.size(F.filter(spans, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = F.filter(spans, lambda x: x["kind"].isin(*secrets.BASE))
+    return scanned.select(
+        "doc_id", *[kind(k) for k in secrets.BASE], F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"), "n_live", "n_example",
+    )
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page's address."""
+    return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of each document stands in a test item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -22,5 +40,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op3_url_filter": op3_url_filter,
     "op10_decontamination": op10_decontamination,
 }
