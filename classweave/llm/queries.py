@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, secrets, urls
+from classweave.llm import decontaminate, packing, secrets, tokens, urls
 from classweave.llm.frames import table
 
 
@@ -24,11 +24,26 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The public tokenizer whose ids are stored and packed.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each document, as read back from directly addressable codes."""
+    path = tokens.store_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+    return tokens.token_digests(spark, path)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on each page's address."""
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of each document in sequences along the curve."""
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of each document stands in a test item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +56,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_token_codes": op2_token_codes,
     "op3_url_filter": op3_url_filter,
+    "op4_packing": op4_packing,
     "op10_decontamination": op10_decontamination,
 }
