@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, packing, secrets, tokens, urls
+from classweave.llm import decontaminate, html, language, packing, secrets, tokens, urls
 from classweave.llm.frames import table
 
 
@@ -44,6 +44,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_language(docs, may_learn=~language.held_out())
+    judged = language.identify(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    extracted = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of each document stands in a test item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,5 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_codes": op2_token_codes,
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
+    "op7_main_text": op7_main_text,
     "op10_decontamination": op10_decontamination,
 }
