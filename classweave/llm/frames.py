@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -55,3 +56,26 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def runs_of_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Cut a stream of batches that is sorted by its first `keys` columns into one table per group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, dtype=bool)
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        for values in columns:
+            change[1:] |= values[1:] != values[:-1]
+        first = tuple(values[0] for values in columns)
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            if held and (k or first != last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+        last = tuple(values[-1] for values in columns)
+    if held:
+        yield pa.Table.from_batches(held)

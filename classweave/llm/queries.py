@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, html, language, packing, secrets, tokens, urls
+from classweave.llm import decontaminate, html, jaccard, language, packing, secrets, tokens, urls
 from classweave.llm.frames import table
 
 
@@ -58,6 +58,11 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class, number of links and component under five-word shingles and a similarity of 0.8."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of each document stands in a test item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op7_main_text": op7_main_text,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
