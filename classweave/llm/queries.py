@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, html, jaccard, language, packing, secrets, tokens, urls
+from classweave.llm import decontaminate, html, jaccard, language, packing, repeats, secrets, tokens, urls
 from classweave.llm.frames import table
 
 
@@ -63,6 +63,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without its repeated passages."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of each document stands in a test item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op7_main_text": op7_main_text,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
 }
