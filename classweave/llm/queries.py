@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, html, jaccard, language, packing, repeats, secrets, tokens, urls
+from classweave.llm import decontaminate, html, jaccard, language, neighbours, packing, repeats, secrets, tokens, urls
 from classweave.llm.frames import table
 
 
@@ -52,6 +52,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's links, component and whether it stays, at a cosine of 0.95."""
+    found = neighbours.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of each page."""
     extracted = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_main_text": op7_main_text,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeats": op9_repeats,
