@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,60 +18,113 @@ from classweave.llm.frames import free_name
 from classweave.sources.staging import fresh_path
 
 #: Distinct pieces of text whose ids a worker keeps.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 #: Bytes of text that are tokenized together.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 8 << 20
 #: Tokens in one block of the file; a longer document has a block of its own.
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
 
 
+#: Signs that may follow a word without belonging to it; the apostrophe is not among them.
+_TAIL = ".,;:!?)]}*#%&$"
+
+
+class _Pieces(dict):
+    """The ids of pieces, each encoded when it is first asked for; when full, a new piece is encoded and not kept.
+
+    None for a piece that begins or ends with white space: there the text can't be cut.
+    """
+
+    def __init__(self, encoder: Encoder, prefix: str):
+        super().__init__()
+        self.encoder, self.prefix = encoder, prefix
+
+    def __missing__(self, piece: str) -> bytes | None:
+        stem = piece.rstrip(_TAIL)
+        if stem != piece and stem and stem[-1].isalpha() and stem[-1] < "\u0250":
+            # A letter and a sign behind it are in different parts.
+            tail = piece[len(stem) :]
+            tails = self.encoder.tails
+            if tail not in tails:
+                tails[tail] = self.encoder.ids(tail)
+            before = self[stem]
+            ids = None if before is None else before + tails[tail]
+            if len(self) > CACHE_PIECES // 2:
+                return ids
+        elif not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        elif piece.isalpha() and max(piece) < "\u0250":
+            ids = self.encoder.word(self.prefix + piece)
+        else:
+            ids = self.encoder.ids(self.prefix + piece)
+        if len(self) < CACHE_PIECES:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """The ids of texts as little-endian unsigned 32-bit integers.
 
     A byte-level tokenizer of this kind splits a text first, and each line feed between two visible characters, and each
-    space between two visible characters, begins a new part. So a text may be cut there, and each distinct piece is
-    encoded once. Where a piece begins or ends with any white space the text is encoded whole.
+    space between two visible characters, begins a new part. So texts may be cut there, and of the pieces of many texts
+    each distinct one is encoded once. A text is encoded whole where a piece begins or ends with any white space.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes | None] = {}  # pieces at the start of a line
-        self.later: dict[str, bytes | None] = {}  # pieces behind a space
-        self.feed = self._ids(["\n"])[0]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[str], known: dict[str, bytes | None], prefix: str) -> dict[str, bytes | None]:
-        """The ids of all pieces; None for one that can't be cut off."""
-        new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-            new = list(pieces)
-        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(plain, self._ids([prefix + p for p in plain])))
-        return known
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        lines = [t.split("\n") if t else [] for t in texts]
-        split = [[line.split(" ") for line in x] for x in lines]
-        first = self._learn({line[0] for x in split for line in x}, self.first, "")
-        later = self._learn({p for x in split for line in x for p in line[1:]}, self.later, " ")
-        out: list[bytes] = []
-        whole: list[int] = []
-        for k, x in enumerate(split):
-            try:
-                out.append(self.feed.join([first[line[0]] + b"".join([later[p] for p in line[1:]]) for line in x]))
-            except TypeError:  # a None
-                out.append(b"")
-                whole.append(k)
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
-            out[k] = ids
+        # For a piece of letters only, which the split would leave whole.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tails: dict[str, bytes] = {}
+        self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")  # at the start of a line, and behind a space
+        self.feed = self.ids("\n")
+
+    def ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, text: str) -> bytes:
+        return array("I", self.letters.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of every text of a column without nulls."""
+        lines = pc.split_pattern(column, "\n")
+        pieces = pc.split_pattern(lines.flatten(), " ")
+        line_of_text, piece_of_line = lines.offsets.to_numpy(), pieces.offsets.to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        # Three forms of a piece: behind a space, first of a text, and first of a later line, with the line feed before it.
+        form = np.zeros(len(code), dtype=np.int8)
+        form[piece_of_line[:-1]] = 2
+        form[piece_of_line[line_of_text[:-1]]] = 1
+        used = np.zeros((3, len(distinct)), dtype=bool)
+        used[form, code] = True
+        table: list[bytes] = []
+        place = np.zeros((3, len(distinct)), dtype=np.int64)
+        cuttable = np.ones((3, len(distinct)), dtype=bool)
+        for k, (known, before) in enumerate(((self.later, b""), (self.first, b""), (self.first, self.feed))):
+            for u in np.flatnonzero(used[k]).tolist():
+                ids = known[distinct[u]]
+                if ids is None:
+                    cuttable[k, u] = False
+                    ids = b""
+                place[k, u] = len(table)
+                table.append(before + ids)
+        size = np.array([len(x) >> 2 for x in table])
+        begin = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(table), dtype="<u4")
+        row = place[form, code]
+        count = size[row]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.repeat(begin[row] - ends[:-1], count) + np.arange(ends[-1])].tobytes()
+        text_end = ends[piece_of_line[line_of_text]] * 4
+        out = [ids[s:e] for s, e in zip(text_end[:-1].tolist(), text_end[1:].tolist())]
+        for k in np.unique(np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(~cuttable[form, code]), side="right") - 1).tolist():
+            out[k] = self.ids(column[k].as_py())
         return out
 
 
@@ -97,7 +151,7 @@ def encoded_runs(column: pa.Array, tokenizer: str):
     while first < len(column):
         done = sizes[first - 1] if first else 0
         stop = max(int(np.searchsorted(sizes, done + RUN_BYTES, side="right")), first + 1)
-        yield first, [ids + end for ids in codec.encode(column.slice(first, stop - first).to_pylist())]
+        yield first, [ids + end for ids in codec.encode(column.slice(first, stop - first))]
         first = stop
 
 
