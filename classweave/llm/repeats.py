@@ -1,4 +1,4 @@
-"""Removal of passages that stand elsewhere as well, byte for byte."""
+"""Removal of passages that stand elsewhere as well, byte for byte, by merging the transforms of anchored suffixes."""
 
 from __future__ import annotations
 
@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import free_name, map_batches, runs_of_groups, written
+from classweave.llm.frames import columns, free_name, map_batches, runs_of_groups, written
 
 #: Bytes of a repeated string, and of the grams among which each string's anchor is chosen.
 LENGTH, GRAM = 400, 100
 #: Window starts that are looked at together; a longer text is looked at in stretches of so many.
 RUN_STARTS = 1 << 21
 _PLACE_BITS = 22
-#: Groups of up to so many different surroundings of a gram are compared byte by byte, larger ones by window hashes.
-COMPARED, SALTS = 64, 16
+#: Up to so many different surroundings of a gram are merged byte by byte, more are compared by window hashes.
+COMPARED, SALTS = 128, 16
+#: Suffixes that are merged together.
+MERGED = 4096
 
 
 def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -97,42 +99,114 @@ def _runs(flags: np.ndarray) -> list[dict[str, int]]:
     return [{"s": int(s), "c": int(e - s)} for s, e in zip(edge[::2], edge[1::2])]
 
 
-def _common(rows: list[np.ndarray]) -> np.ndarray:
-    """Length of the common prefix of every two byte strings."""
-    width = max(map(len, rows)) + 1
-    grid = np.full((len(rows), width), -1, dtype=np.int16)
-    for k, row in enumerate(rows):
-        grid[k, : len(row)] = row
-        grid[k, len(row) :] = -1 - k  # beyond its end a string equals no other
-    return (grid[:, None, :] != grid[None, :, :]).argmax(axis=2)
+def _interleaved(contexts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merged order of suffixes within each group, and the common prefix of each with the one before it (-1 in a new group).
 
-
-def _compare(length: int):
+    The interleave starts as the groups and is refined four bytes a round: only intervals that still hold several
+    suffixes are ordered by their next bytes, and where two part, the round and the first byte that differs give their
+    common prefix. Bytes count from 1, and 0 stands behind the end of a suffix, so it equals nothing within another.
+    """
+    words = contexts.view(">u8")
+    order = np.arange(len(group))
+    interval = group.copy()
+    common = np.where(np.concatenate([[True], group[1:] != group[:-1]]), -1, contexts.shape[1])
+    for h in range(words.shape[1]):
+        open_ = common > 4 * h  # with the one before
+        some = np.flatnonzero(open_ | np.append(open_[1:], False))
+        if not len(some):
+            break
+        word = words[order[some], h].astype(np.uint64)
+        new = np.lexsort((word, interval[some]))
+        order[some], word = order[some][new], word[new]
+        parted = np.flatnonzero(open_[some][1:] & (word[1:] != word[:-1])) + 1
+        differ = word[parted] ^ word[parted - 1]
+        common[some[parted]] = 4 * h + sum((differ < np.uint64(1 << bits)).astype(np.int64) for bits in (48, 32, 16))
+        # Whatever follows a parting is an interval of its own.
+        cut = np.zeros(len(group), dtype=np.int64)
+        cut[some[parted]] = 1
+        interval = interval + np.cumsum(cut)
+    common = np.minimum(common, ends[order])
+    common[1:] = np.minimum(common[1:], ends[order][:-1])
+    return order, common
+
+
+def _repeated_windows(texts: list[np.ndarray], lead: np.ndarray, n: np.ndarray, group: np.ndarray, length: int) -> list[np.ndarray]:
+    """For each anchored stretch of its group: which of its windows lie in another one too.
+
+    The suffixes that begin at the anchors are merged by refining their interleave. Then the intervals are extended to
+    the left, as a Burrows-Wheeler transform does it: the byte before each suffix parts its interval, stably, and the
+    common prefix of new neighbours is the least over what stood between them. With d bytes before the anchor equal
+    within an interval, a window that begins there is repeated if a neighbour shares the other `length` - d bytes.
+    """
+    m = len(texts)
+    ends = np.array([len(t) for t in texts]) - lead
+    right = np.zeros((m, -(-length // 4) * 4), dtype=">u2")
+    left = np.zeros((m, int(lead.max()) + 1), dtype=np.uint8)
+    for k, t in enumerate(texts):
+        right[k, : min(length, ends[k])] = t[lead[k] : lead[k] + length].astype(np.uint16) + 1
+        left[k, : lead[k]] = t[: lead[k]][::-1]
+    order, common = _interleaved(right, np.minimum(ends, length), group)
+    interval = group[order]
+    first = np.cumsum(n) - n
+    flags = np.zeros(int(n.sum()), dtype=bool)
+    for d in range(left.shape[1]):
+        # Whatever has no d bytes before it, or stands alone, is done.
+        keep = lead[order] >= d
+        same = interval[1:] == interval[:-1]
+        keep &= np.concatenate([[False], same]) | np.append(same, False)
+        if not keep.all():
+            order, interval, common = _picked(np.flatnonzero(keep), order, interval, common)
+        if not len(order):
+            break
+        best = np.maximum(common, np.append(common[1:], -1))
+        k = lead[order] - d
+        hit = (best >= length - d) & (k < n[order])
+        flags[first[order[hit]] + k[hit]] = True
+        byte = left[order, d]
+        same = interval[1:] == interval[:-1]
+        if (same & (byte[1:] != byte[:-1])).any():
+            new = np.lexsort((byte, interval))
+            byte = byte[new]
+            order, interval, common = _picked(new, order, interval, common)
+            interval = np.cumsum(np.concatenate([[0], (interval[1:] != interval[:-1]) | (byte[1:] != byte[:-1])]))
+            common[np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))] = -1
+    return np.split(flags, first[1:])
+
+
+def _picked(at: np.ndarray, order: np.ndarray, interval: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes at these places, in this order; the common prefix of neighbours is the least between their old places."""
+    if not len(at):
+        return order[:0], interval[:0], common[:0]
+    low, high = np.minimum(at[:-1], at[1:]) + 1, np.maximum(at[:-1], at[1:]) + 1
+    pairs = np.stack([low, high], 1).ravel()
+    least = np.minimum.reduceat(np.append(common, -1), pairs)[::2] if len(pairs) else np.zeros(0, dtype=common.dtype)
+    interval = interval[at]
+    return order[at], interval, np.where(np.concatenate([[False], interval[1:] == interval[:-1]]), np.concatenate([[-1], least]), -1)
+
+
+def _merge(length: int):
     """Of each gram's group: which windows of its single surroundings also lie in another of the group."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for group in runs_of_groups(batches, 1):
-            spans, cnt, n, lead = (group.column(c).to_pylist() for c in ("span", "cnt", "n", "lead"))
-            texts = [np.frombuffer(x, dtype=np.uint8) for x in group.column("bytes").to_pylist()]
-            left = _common([t[:k][::-1] for t, k in zip(texts, lead)])
-            right = _common([t[k:] for t, k in zip(texts, lead)])
-            for a in range(len(spans)):
-                if cnt[a] > 1:
-                    continue
-                flags = np.zeros(n[a], dtype=bool)
-                for b in range(len(spans)):
-                    if b != a:
-                        # A window that begins d bytes before the gram needs d common bytes before it, the rest from it on.
-                        flags[max(0, lead[a] - int(left[a, b])) : max(0, lead[a] - (length - int(right[a, b])) + 1)] = True
-                if flags.any():
-                    out.append((group.column("gram")[0].as_py(), spans[a], _runs(flags)))
-            if len(out) >= 1000:
-                yield _flag_batch(out)
-                out = []
+    def flagged(groups: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        table = pa.concat_tables(groups)
+        grams, spans, cnt = (table.column(c).to_pylist() for c in ("gram", "span", "cnt"))
+        texts = [np.frombuffer(x, dtype=np.uint8) for x in table.column("bytes").to_pylist()]
+        group = np.repeat(np.arange(len(groups)), [g.num_rows for g in groups])
+        flags = _repeated_windows(texts, table.column("lead").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(np.int64), group, length)
+        out = [(g, s, _runs(f)) for g, s, c, f in zip(grams, spans, cnt, flags) if c == 1 and f.any()]
         if out:
             yield _flag_batch(out)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: list[pa.Table] = []
+        for group in runs_of_groups(batches, 1):
+            groups.append(group)
+            if sum(g.num_rows for g in groups) >= MERGED:
+                yield from flagged(groups)
+                groups = []
+        if groups:
+            yield from flagged(groups)
+
     return run
 
 
@@ -178,7 +252,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every window of `length` bytes is represented by its anchor gram. Anchors whose gram occurs once are done; runs of
     windows whose whole surroundings occur twice are repeated throughout; only where one gram has different surroundings
-    are these compared: common bytes before and after the gram tell which windows two of them share.
+    are these, as suffixes that begin at the gram, merged like Burrows-Wheeler transforms: refining their interleave
+    gives their common prefixes, extending intervals to the left gives the windows that several of them hold.
     """
     slim = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("print"), F.col(text_col).alias("text"))
     schema = T.StructType([slim.schema["doc"], *T._parse_datatype_string(_ANCHOR).fields])
@@ -194,9 +269,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = reps.mapInArrow(_cut_spans(length), "gram bigint, span bigint, cnt bigint, n int, lead int, classes bigint, bytes binary")
     spans = written(spans, "spans")  # a document that stands twice cuts its spans twice
     small = spans.where(F.col("classes") <= COMPARED).dropDuplicates(["gram", "span"]).select("gram", "span", "cnt", "n", "lead", "bytes")
-    compared = small.repartition("gram").sortWithinPartitions("gram").mapInArrow(_compare(length), _FLAG)
+    merged = small.repartition("gram").sortWithinPartitions("gram").mapInArrow(_merge(length), _FLAG)
     counted = _flags_of_large(spans.where(F.col("classes") > COMPARED).dropDuplicates(["gram", "span"]), length)
-    flags = whole.unionByName(compared).unionByName(counted)
+    flags = whole.unionByName(merged).unionByName(counted)
     return found.join(flags, ["gram", "span"]).groupBy("doc", "print").agg(F.collect_list(F.struct("at", "runs")).alias("places"))
 
 
@@ -212,10 +287,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 8 <= gram <= length:
         raise ValueError("the gram must fit into the repeated string")
     names = {n: free_name(docs.columns, n) for n in ("n_bytes", "n_removed", "n_spans", "kept")}
-    key, places = free_name(docs.columns, "_print"), free_name(docs.columns, "_places")
-    found = repeated_spans(docs, id_col, text_col, length, gram).select(F.col("doc").alias("_doc"), F.col("print").alias("_found"), F.col("places").alias(places))
+    key, places, own_doc, own_print = (free_name(docs.columns, n) for n in ("_print", "_places", "_doc", "_found"))
+    found = repeated_spans(docs, id_col, text_col, length, gram).select(F.col("doc").alias(own_doc), F.col("print").alias(own_print), F.col("places").alias(places))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    both = keyed.join(found, F.col(id_col).eqNullSafe(F.col("_doc")) & (F.col(key) == F.col("_found")), "left").select(*docs.columns, places)
+    both = keyed.join(found, F.col(id_col).eqNullSafe(F.col(own_doc)) & (F.col(key) == F.col(own_print)), "left").select(*columns(docs.columns), places)
     at, where = docs.columns.index(text_col), len(docs.columns)
     fields = [T.StructField(names[n], T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(names["kept"], T.BinaryType())]
 
