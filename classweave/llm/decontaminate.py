@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import free_name, map_batches
+from classweave.llm.frames import columns, free_name, map_batches
 
 WINDOW = 13
 #: Share of hit words from which a document counts as contaminated, as a fraction.
@@ -152,8 +152,9 @@ def contamination(
         if cleaned:
             raise ValueError(f"the test set has {size} bytes; passages are cut only up to broadcast_bytes")
         found = _joined(docs, benchmark, id_col, text_col, item_col, item_text, window)
-        found = found.select(F.col(id_col).alias("_doc"), *[F.col(n).alias(names[n]) for n in ("n_words", "n_hit", "items")])
-        out = docs.join(found, F.col(id_col) == F.col("_doc")).drop("_doc")
+        key = free_name([*docs.columns, *names.values()], "_doc")
+        found = found.select(F.col(id_col).alias(key), *[F.col(n).alias(names[n]) for n in ("n_words", "n_hit", "items")])
+        out = docs.join(found, F.col(id_col) == F.col(key)).drop(key)
     else:
         grouped = item_windows(benchmark, item_col, item_text, window).groupBy("words").agg(F.collect_set("item"))
         index = docs.sparkSession.sparkContext.broadcast(_Index([(r[0], r[1]) for r in grouped.collect()]))
@@ -180,9 +181,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     judged = contamination(docs, benchmark, text_col, cleaned=mode == "spans", **options)
     flag = judged.columns[-1]
     if mode == "documents":
-        return judged.where(~F.col(flag)).select(*docs.columns)
+        return judged.where(~F.col(flag)).select(*columns(docs.columns))
     clean_text = F.when(F.col(flag), F.col(judged.columns[-2])).otherwise(F.col(text_col)).alias(text_col)
-    return judged.select(*[clean_text if c == text_col else F.col(c) for c in docs.columns])
+    return judged.select(*[clean_text if c == text_col else x for c, x in zip(docs.columns, columns(docs.columns))])
 
 
 def items_digest(items: Column) -> Column:

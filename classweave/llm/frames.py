@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from classweave.functions import quoted
 from classweave.sources.staging import fresh_path
 
 
@@ -20,6 +22,11 @@ def free_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """The columns of these names, whatever signs a name holds."""
+    return [F.col(quoted(name)) for name in names]
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write `df` once to the shared folder and read it back: this cuts the lineage and survives lost executors."""
     spark = df.sparkSession

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import free_name, map_batches
+from classweave.llm.frames import columns, free_name, map_batches
 
 #: Bound of the labelled sample: about so many documents of each language, and of each a passage of so many characters.
 SAMPLE_PER_LANGUAGE, PASSAGE_CHARS = 1500, 600
@@ -186,7 +186,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs` without the rejected documents."""
     judged = identify(docs, model, text_col)
-    return judged.where(~F.col(judged.columns[-1])).select(*docs.columns)
+    return judged.where(~F.col(judged.columns[-1])).select(*columns(docs.columns))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm.components import components
-from classweave.llm.frames import free_name, runs_of_groups, written
+from classweave.llm.frames import columns, free_name, runs_of_groups, written
 
 COSINE = 0.95
 #: Length of the neighbour lists, forest of first buckets, vectors per bucket, and the most that are compared in one group.
@@ -318,12 +318,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     judged = nodes.join(counts, "key", "left").join(groups, "key", "left")
     judged = judged.select("key", "first", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "key").alias("component"))
     smallest = judged.groupBy("component").agg(F.min("first").alias("smallest"))
-    judged = judged.join(smallest, "component").select("key", F.col("n").alias("_links"), "smallest")
-    per_row = rows.select("id", "mark", "key").distinct().join(judged, "key").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "_links", F.col("smallest").alias("_smallest"))
-    mark = free_name(vectors.columns, "_own")
-    out = vectors.withColumn(mark, _mark(vector_col)).join(per_row, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_mark")), "left")
-    component = F.coalesce("_smallest", id_col)
-    return out.select(*vectors.columns, F.coalesce("_links", F.lit(0)).cast("long").alias(names[0]), component.alias(names[1]), F.col(id_col).eqNullSafe(component).alias(names[2]))
+    judged = judged.join(smallest, "component").select("key", "n", "smallest")
+    mark, own_id, own_mark, count, smallest = (free_name(vectors.columns, n) for n in ("_own", "_id", "_mark", "_links", "_smallest"))
+    per_row = rows.select("id", "mark", "key").distinct().join(judged, "key").select(F.col("id").alias(own_id), F.col("mark").alias(own_mark), F.col("n").alias(count), F.col("smallest").alias(smallest))
+    out = vectors.withColumn(mark, _mark(vector_col)).join(per_row, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(mark) == F.col(own_mark)), "left")
+    component = F.coalesce(smallest, id_col)
+    return out.select(*columns(vectors.columns), F.coalesce(count, F.lit(0)).cast("long").alias(names[0]), component.alias(names[1]), F.col(id_col).eqNullSafe(component).alias(names[2]))
 
 
 def _mark(vector_col: str) -> Column:

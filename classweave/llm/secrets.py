@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classweave.llm.frames import free_name
+from classweave.llm.frames import columns, free_name
 
 # The agreed patterns, the least number of characters, and the group that is counted.
 BASE = {
@@ -105,7 +105,7 @@ def scan_secrets(
     owner = F.col("source") if owner is None else owner
     repository = F.struct("source", "lang") if repository is None else repository
     names = {n: free_name(docs.columns, n) for n in ("spans", "n_live", "n_example")}
-    raw, key = free_name(docs.columns, "_raw"), free_name(docs.columns, "_key")
+    raw, key, own_key, own_list = (free_name(docs.columns, n) for n in ("_raw", "_key", "_id", "_list"))
     found = find_spans(docs, text_col, raw)
     credentials = ownership(found, raw, owner, repository, max_owners, max_repositories).drop("occurrences")
 
@@ -120,14 +120,14 @@ def scan_secrets(
 
     base = F.array(*[F.lit(k) for k in BASE])
     spans = F.filter(F.transform("list", full), lambda x: F.array_contains(base, x["kind"]) | x["live"])
-    judged = judged.select(F.col("id").alias("_id"), F.col("list").alias("_list"), spans.alias(names["spans"]))
+    judged = judged.select(F.col("id").alias(own_key), F.col("list").alias(own_list), spans.alias(names["spans"]))
     counts = lambda live: F.size(F.filter(F.col(names["spans"]), lambda x: x["live"] == live)).cast("long")
 
     keyed = found.withColumn(key, F.when(F.size(raw) > 0, F.xxhash64(F.to_json(raw))))
     empty = F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string,owners:bigint,repositories:bigint,live:boolean>>)")
-    with_spans = keyed.where(F.size(raw) > 0).join(judged, (F.col(key) == F.col("_id")) & (F.col(raw) == F.col("_list")))
+    with_spans = keyed.where(F.size(raw) > 0).join(judged, (F.col(key) == F.col(own_key)) & (F.col(raw) == F.col(own_list)))
     without = keyed.where(F.size(raw) == 0).withColumn(names["spans"], empty)
-    out = with_spans.select(*docs.columns, names["spans"]).unionByName(without.select(*docs.columns, names["spans"]))
+    out = with_spans.select(*columns(docs.columns), names["spans"]).unionAll(without.select(*columns(docs.columns), names["spans"]))
     return out.withColumn(names["n_live"], counts(True)).withColumn(names["n_example"], counts(False))
 
 
@@ -147,7 +147,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[{}]", **option
 
     done = F.aggregate(F.col(spans), begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     clean = F.when(F.size(spans) > 0, done).otherwise(F.col(text_col)).alias(text_col)
-    return scanned.select(*[clean if c == text_col else F.col(c) for c in docs.columns])
+    return scanned.select(*[clean if c == text_col else x for c, x in zip(docs.columns, columns(docs.columns))])
 
 
 def spans_text(spans: Column) -> Column:

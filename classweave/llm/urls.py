@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from classweave.llm.frames import free_name
+from classweave.llm.frames import columns, free_name
 
 #: Rule sets up to this many rules are broadcast; the index of a larger one is joined by a shuffle.
 BROADCAST_RULES = 100_000
@@ -126,7 +126,7 @@ def filter_urls(pages: DataFrame, url_col: str = "url", rules: Sequence[Rule] =
     if no_tokens:
         raise ValueError(f"a rule needs a literal token: {no_tokens[0]}")
     parts = pages.withColumn(names["host"], host_of(F.col(url_col))).withColumn(names["path"], path_of(F.col(url_col)))
-    key = free_name(parts.columns, "_target")
+    key, found, decided = (free_name(parts.columns, n) for n in ("_target", "_found", "_verdict"))
     parts = parts.withColumn(key, F.concat(names["host"], names["path"]))
     if not rules:
         return parts.drop(key).withColumn(names["rule"], F.lit(None).cast("string")).withColumn(names["verdict"], F.lit(default))
@@ -138,8 +138,8 @@ def filter_urls(pages: DataFrame, url_col: str = "url", rules: Sequence[Rule] =
     blocked = F.max(F.col("name").isNull() & (F.col("verdict") == "block"))
     judged = fits.groupBy("target").agg(best.alias("best"), blocked.alias("blocked"))
     judged = judged.select(
-        F.col("target").alias(f"{key}_"), F.col("best.name").alias(names["rule"]),
-        F.coalesce("best.verdict", F.when(F.col("blocked"), "block"), F.lit(default)).alias("_verdict"),
+        F.col("target").alias(found), F.col("best.name").alias(names["rule"]),
+        F.coalesce("best.verdict", F.when(F.col("blocked"), "block"), F.lit(default)).alias(decided),
     )
-    out = parts.join(judged, F.col(key) == F.col(f"{key}_"), "left")
-    return out.select(*pages.columns, names["host"], names["path"], names["rule"], F.coalesce("_verdict", F.lit(default)).alias(names["verdict"]))
+    out = parts.join(judged, F.col(key) == F.col(found), "left")
+    return out.select(*columns(pages.columns), names["host"], names["path"], names["rule"], F.coalesce(decided, F.lit(default)).alias(names["verdict"]))
