@@ -13,19 +13,19 @@ from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
 from classweave.llm.components import components
-from classweave.llm.frames import free_name, runs_of_groups, written
+from classweave.llm.frames import columns, free_name, runs_of_groups, written
 
 SHINGLE_WORDS = 5
 #: The similarity as a fraction, so that the comparison is exact.
 SIMILARITY = (4, 5)
 #: Runs are repeated until a pair at the threshold is met with at least this probability.
-TARGET_RECALL = 0.9999
+TARGET_RECALL = 0.99999
 #: Sampled tokens per set (minima of as many hash functions); a bucket's path says which of them split it.
 TOKENS = 64
 #: Branches per split, deepest split, largest bucket that is compared whole, and the mean similarity from which splitting is no use.
 BRANCHES, DEPTH, BUCKET, DENSE = 3, 4, 128, 0.25
-#: Blocks of a larger bucket: at least 16 for it, with at most so many sets and tokens each.
-BLOCKS, BLOCK_SETS, BLOCK_TOKENS = 16, 2048, 1 << 21
+#: Blocks of a larger bucket: up to 7 of at least `BUCKET` sets, more only, with at most so many sets and tokens each.
+BLOCKS, BLOCK_SETS, BLOCK_TOKENS = 7, 2048, 1 << 21
 #: Standard deviations below the threshold at which the sampled tokens rule a pair out.
 SLACK = 4.5
 
@@ -327,15 +327,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     judged = judged.join(first, "component").select("key", "class", "links", "component", "first")
     # Of several rows with the first id, the one with the smallest fingerprint stays.
     per_doc = members.select("doc", "print", "key").distinct().join(judged, "key")
+    key, own_doc, own_print = (free_name(docs.columns, n) for n in ("_fingerprint", "_doc", "_print"))
     stays = per_doc.where(F.col("doc").eqNullSafe(F.col("first"))).groupBy("component").agg(F.min("print").alias("stays"))
     per_doc = per_doc.join(stays, "component").select(
-        F.col("doc").alias("_doc"), F.col("print").alias("_print"), F.col("class").alias(names[0]), F.col("links").alias(names[1]), F.col("first").alias(names[2]),
+        F.col("doc").alias(own_doc), F.col("print").alias(own_print), F.col("class").alias(names[0]), F.col("links").alias(names[1]), F.col("first").alias(names[2]),
         (F.col("doc").eqNullSafe(F.col("first")) & (F.col("print") == F.col("stays"))).alias(names[3]),
     )
-    key = free_name(docs.columns, "_fingerprint")
-    out = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).join(per_doc, (F.col(id_col).eqNullSafe(F.col("_doc"))) & (F.col(key) == F.col("_print")), "left")
+    out = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).join(per_doc, F.col(id_col).eqNullSafe(F.col(own_doc)) & (F.col(key) == F.col(own_print)), "left")
     return out.select(
-        *docs.columns, F.coalesce(names[0], id_col).alias(names[0]), F.coalesce(names[1], F.lit(0)).cast("long").alias(names[1]),
+        *columns(docs.columns), F.coalesce(names[0], id_col).alias(names[0]), F.coalesce(names[1], F.lit(0)).cast("long").alias(names[1]),
         F.coalesce(names[2], id_col).alias(names[2]), F.coalesce(names[3], F.lit(True)).alias(names[3]),
     )
 
@@ -343,4 +343,4 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`docs` with one document of each component. Same columns."""
     judged = similar_documents(docs, id_col, text_col, **options)
-    return judged.where(F.col(judged.columns[-1])).select(*docs.columns)
+    return judged.where(F.col(judged.columns[-1])).select(*columns(docs.columns))
