@@ -120,7 +120,8 @@ class Encoder:
         row = place[form, code]
         count = size[row]
         ends = np.concatenate([[0], np.cumsum(count)])
-        ids = flat[np.repeat(begin[row] - ends[:-1], count) + np.arange(ends[-1])].tobytes()
+        shift = (begin[row] - ends[:-1]).astype(np.int32)
+        ids = flat[np.repeat(shift, count) + np.arange(ends[-1], dtype=np.int32)].tobytes()
         text_end = ends[piece_of_line[line_of_text]] * 4
         out = [ids[s:e] for s, e in zip(text_end[:-1].tolist(), text_end[1:].tolist())]
         for k in np.unique(np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(~cuttable[form, code]), side="right") - 1).tolist():
