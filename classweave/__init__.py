@@ -28,6 +28,7 @@ from classweave.operators.profile import (
     class_balance,
     class_counts,
     column_profile,
+    columns_present,
     dataset_shape,
     imbalance_flag,
     missing_columns,

@@ -30,7 +30,11 @@ def write_category_table(df: DataFrame, columns: Sequence[str], path: str) -> Da
     plus the sizes of the partitions before it give the global position, so no
     task sees more than its own partition.
     """
-    counts = category_counts(df, columns)
+    return write_ranked_counts(category_counts(df, columns), path)
+
+
+def write_ranked_counts(counts: DataFrame, path: str) -> DataFrame:
+    """`write_category_table` for categories that are counted already: (column, value, n)."""
     in_order = counts.orderBy("column", F.desc("n"), "value")
     with staged(in_order.withColumn("id", F.monotonically_increasing_id())) as numbered:
         part = F.shiftright("id", _OFFSET_BITS)
@@ -52,7 +56,7 @@ def write_category_table(df: DataFrame, columns: Sequence[str], path: str) -> Da
         placed.join(F.broadcast(starts), ["part", "column"]).select(
             "column", "value", "n", "total", index.alias("index")
         ).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return counts.sparkSession.read.parquet(path)
 
 
 def index_by_table(

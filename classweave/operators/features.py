@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -17,9 +17,8 @@ from classweave.operators.balance import TARGET, WEIGHT
 LABEL = "label"
 FEATURES = "features"
 
-# Category labels live in the fitted model, hence on the driver and in every
-# task. Beyond this many, index the columns with `operators.categories`.
-MAX_CATEGORIES = 200_000
+# Names that a pipeline adds; a source column may not have them.
+ADDED = (LABEL, FEATURES, "rawPrediction", "probability", "prediction")
 
 
 @dataclass(frozen=True)
@@ -131,14 +130,13 @@ def column_report(
     return known.join(F.broadcast(sizes), "column", "left")
 
 
-def collect_bounded(counts: DataFrame, bound: int) -> list[Row]:
-    """All rows of a category table, or ValueError when there are more than `bound`."""
+def collect_bounded(counts: DataFrame, bound: int | None) -> list[Row]:
+    """All rows of a category table, or ValueError when there are more than `bound`, if one is given."""
+    if bound is None:
+        return counts.collect()
     rows = counts.take(bound + 1)
     if len(rows) > bound:
-        raise ValueError(
-            f"more than {bound} categories: their labels do not belong on the driver; "
-            "index the widest columns with operators.categories.write_category_table"
-        )
+        raise ValueError(f"more than {bound} categories: name the widest columns in `wide`, or raise max_categories")
     return rows
 
 
@@ -154,9 +152,12 @@ def ordered_labels(rows: Iterable[tuple[str, str, int]], columns: Sequence[str])
 
 
 def category_labels(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
+    df: DataFrame, columns: Sequence[str], max_categories: int | None = None
 ) -> dict[str, list[str]]:
-    """Labels of the given columns in index order, from one scan for all of them."""
+    """Labels of the given columns in index order, from one scan for all of them.
+
+    They come to the driver, as those of any fitted indexer do; `max_categories` bounds how many may.
+    """
     rows = collect_bounded(category_counts(df, columns).select("column", "value", "n"), max_categories)
     return ordered_labels(rows, columns)
 
@@ -167,7 +168,7 @@ def string_index(
     outputs: Sequence[str] | None = None,
     invalid: str = "keep",
     labels: Mapping[str, list[str]] | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
 ) -> DataFrame:
     """Add `<column>_idx`: 0.0 for the most frequent value, ties by value.
 
@@ -194,12 +195,17 @@ def _indexer(column: str, output: str, labels: list[str], invalid: str) -> Strin
     return StringIndexerModel.from_labels(labels, inputCol=column, outputCol=output, handleInvalid=invalid)
 
 
-def feature_stages(roles: Roles, labels: Mapping[str, list[str]], invalid: str = "keep") -> list:
+def feature_stages(
+    roles: Roles, labels: Mapping[str, list[str]], invalid: str = "keep", wide: Transformer | None = None
+) -> list:
     """Category indices, label index and vector assembly, ready to transform.
 
     The label stage raises on NULL; a table to be scored needs no target.
+    `wide` indexes the strings that have no labels.
     """
-    stages: list = [_indexer(s, i, labels[s], invalid) for s, i in zip(roles.strings, roles.indexed)]
+    stages: list = [_indexer(s, i, labels[s], invalid) for s, i in zip(roles.strings, roles.indexed) if s in labels]
+    if wide is not None:
+        stages.insert(0, wide)
     stages.append(_indexer(roles.target, LABEL, labels[roles.target], "error"))
     stages.append(VectorAssembler(inputCols=list(roles.slots), outputCol=FEATURES))
     return stages
@@ -211,15 +217,45 @@ def assemble(
     weight: str | None = WEIGHT,
     exclude: Sequence[str] = (),
     invalid: str = "keep",
+    wide: Sequence[str] = (),
+    max_categories: int | None = None,
 ) -> DataFrame:
     """Add indices, label and `features`: numbers first, then indexed strings, in schema order."""
-    roles = column_roles(df, target, weight, exclude)
-    labels = category_labels(df, [*roles.strings, target])
-    for stage in feature_stages(roles, labels, invalid):
+    for stage in _prepared(df, target, weight, exclude, invalid, wide, max_categories)[2]:
         df = stage.transform(df)
     return df
 
 
+def _prepared(
+    df: DataFrame,
+    target: str,
+    weight: str | None,
+    exclude: Sequence[str],
+    invalid: str,
+    wide: Sequence[str],
+    max_categories: int | None,
+) -> tuple[Roles, dict[str, list[str]], list]:
+    """Roles, labels, and the fitted feature stages of a table."""
+    # The indices by table build on this module's counts.
+    from classweave.operators.wide import fit_category_indexer
+
+    roles = column_roles(df, target, weight, exclude)
+    check_names(df.columns, roles, wide)
+    labels = category_labels(df, [*(s for s in roles.strings if s not in wide), target], max_categories)
+    by_table = fit_category_indexer(df, roles, wide, invalid) if wide else None
+    return roles, labels, feature_stages(roles, labels, invalid, by_table)
+
+
+def check_names(columns: Sequence[str], roles: Roles, wide: Sequence[str]) -> None:
+    """Raise early on names that would fail deep inside a pipeline."""
+    for name in ADDED:
+        if name in columns:
+            raise ValueError(f"rename column {name!r}: a pipeline adds one of that name")
+    for name in wide:
+        if name not in roles.strings:
+            raise ValueError(f"wide column {name!r} is not among the string features {list(roles.strings)}")
+
+
 def check_trainable(estimator: Estimator, roles: Roles, labels: Mapping[str, list[str]], invalid: str) -> None:
     """Raise early on what would fail deep inside the training."""
     if not roles.features:
@@ -228,7 +264,7 @@ def check_trainable(estimator: Estimator, roles: Roles, labels: Mapping[str, lis
         raise ValueError(f"target {roles.target!r} has {len(labels[roles.target])} classes; two are supported")
     if estimator.hasParam("maxBins"):
         bins = estimator.getOrDefault("maxBins")
-        for name in roles.strings:
+        for name in (s for s in roles.strings if s in labels):
             arity = len(labels[name]) + (invalid == "keep")
             if arity > bins:
                 raise ValueError(
@@ -243,17 +279,20 @@ def build_pipeline(
     weight: str | None = WEIGHT,
     exclude: Sequence[str] = (),
     invalid: str = "keep",
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
+    wide: Sequence[str] = (),
 ) -> Pipeline:
     """Indices, label, vector and estimator as one pipeline, to be fitted on `df`.
 
     The categories of all strings and of the target are read here in a single
-    scan, instead of one job per column inside `fit`.
+    scan, instead of one job per column inside `fit`. Those of the columns
+    named in `wide` never come to the driver: they are written as a table,
+    which the pipeline joins with, and which is saved with the model. Trees
+    take such an index as a number, not as a category.
     """
-    roles = column_roles(df, target, weight, exclude)
-    labels = category_labels(df, [*roles.strings, target], max_categories)
+    roles, labels, stages = _prepared(df, target, weight, exclude, invalid, wide, max_categories)
     check_trainable(estimator, roles, labels, invalid)
-    return Pipeline(stages=[*feature_stages(roles, labels, invalid), estimator])
+    return Pipeline(stages=[*stages, estimator])
 
 
 def fit_pipeline(df: DataFrame, estimator: Estimator, **options) -> PipelineModel:

@@ -44,10 +44,19 @@ def random_folds(df: DataFrame, k: int = 10, seed: int = 42, fold: str = FOLD) -
     return drawn.withColumn(fold, number.cast("int")).drop("_draw")
 
 
-def fold_assembly(df: DataFrame, i: int, fold: str = FOLD) -> tuple[DataFrame, DataFrame]:
-    """(train, test): all rows outside fold i, and the rows inside it."""
+def fold_assembly(df: DataFrame, i: int, fold: str = FOLD, checked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(train, test): all rows outside fold i, and the rows inside it.
+
+    A row whose fold is NULL belongs to neither, so reading the training rows
+    raises on it. Say `checked` where no fold is NULL: the filter then reaches
+    the scan.
+    """
     number = F.col(quoted(fold))
-    return df.filter(number != i), df.filter(number == i)
+    outside = number != i
+    if not checked:
+        missing = F.raise_error(F.lit(f"{fold} is NULL in some rows")).cast("boolean")
+        outside = F.when(number.isNull(), missing).otherwise(outside)
+    return df.filter(outside), df.filter(number == i)
 
 
 def fold_sizes(df: DataFrame, fold: str = FOLD) -> DataFrame:

@@ -5,10 +5,13 @@ Each report is a lazy DataFrame that costs one scan of the columns it needs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from classweave.functions import is_missing, quoted, require_columns
+from classweave.operators.balance import TARGET
 
 
 def _per_column(df: DataFrame, fixed: dict[str, list], counts: dict[str, list[Column]]) -> DataFrame:
@@ -48,9 +51,21 @@ def dataset_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """(position, column, type, nullable, n_values): n_values counts the non-NULL rows."""
-    return _per_column(df, _schema(df), {"n_values": _n_values(df)})
+def schema_report(df: DataFrame, count_values: bool = False) -> DataFrame:
+    """(position, column, type, nullable), from the metadata alone.
+
+    `count_values` adds n_values, the non-NULL rows of each column, which takes a scan.
+    """
+    if count_values:
+        return _per_column(df, _schema(df), {"n_values": _n_values(df)})
+    rows = list(zip(*_schema(df).values()))
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
+
+
+def columns_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, present) for every name: whether the table has that column."""
+    rows = [(name, name in df.columns) for name in names]
+    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -73,13 +88,13 @@ def missing_columns(df: DataFrame) -> DataFrame:
     return missing_counts(df).filter("n_missing > 0")
 
 
-def class_counts(df: DataFrame, target: str = "HadHeartAttack") -> DataFrame:
+def class_counts(df: DataFrame, target: str = TARGET) -> DataFrame:
     """(target, count): rows per class, NULL is a class."""
     require_columns(df, target)
     return df.groupBy(F.col(quoted(target)).alias(target)).agg(F.count(F.lit(1)).alias("count"))
 
 
-def class_balance(df: DataFrame, target: str = "HadHeartAttack") -> DataFrame:
+def class_balance(df: DataFrame, target: str = TARGET) -> DataFrame:
     """(target, count, percent) by rising count; percent is of all rows, NULL is a class."""
     return balance_of(class_counts(df, target))
 
@@ -94,7 +109,7 @@ def balance_of(counts: DataFrame) -> DataFrame:
     return counts.withColumn("percent", F.col("count") * 100.0 / total).orderBy("count", quoted(counts.columns[0]))
 
 
-def imbalance_flag(df: DataFrame, target: str = "HadHeartAttack", threshold: float = 15.0) -> DataFrame:
+def imbalance_flag(df: DataFrame, target: str = TARGET, threshold: float = 15.0) -> DataFrame:
     """(minority_percent, severe): severe when the rarest class is below the threshold."""
     return imbalance_of(class_counts(df, target), threshold)
 

@@ -34,6 +34,7 @@ def rank_features(
     exclude: Sequence[str] = (),
     estimator: Estimator | None = None,
     invalid: str = "skip",
+    wide: Sequence[str] = (),
 ) -> DataFrame:
     """(rank, feature, score), best first; equal scores keep the vector's order.
 
@@ -44,7 +45,7 @@ def rank_features(
     """
     roles = column_roles(df, target, weight, exclude)
     estimator = estimator or ranking_forest(weight)
-    model = build_pipeline(df, estimator, target, weight, exclude, invalid).fit(df)
+    model = build_pipeline(df, estimator, target, weight, exclude, invalid, wide=wide).fit(df)
     importances = model.stages[-1].featureImportances.toArray()
     ranked = sorted(zip(roles.features, importances.tolist()), key=lambda pair: -pair[1])
     rows = [(rank, feature, score) for rank, (feature, score) in enumerate(ranked, start=1)]

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
-from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -18,8 +17,8 @@ from classweave.functions import class_score, quoted
 from classweave.operators.balance import TARGET, WEIGHT
 from classweave.operators.features import (
     LABEL,
-    MAX_CATEGORIES,
     Roles,
+    check_names,
     check_trainable,
     collect_bounded,
     column_roles,
@@ -29,14 +28,12 @@ from classweave.operators.features import (
 )
 from classweave.operators.folds import FOLD, fold_assembly, hash_folds, random_folds
 from classweave.operators.metrics import METRICS, metrics_table
+from classweave.operators.ranking import stable_layout
+from classweave.operators.wide import CategoryIndexer, indexer_of_counts
 from classweave.sources.staging import staged
 
 CV_FOLD = "cv_fold"
 
-# A task below this many rows costs more to schedule than to run. Only merges
-# partitions; on large tables every partition holds more than this already.
-ROWS_PER_TASK = 20_000
-
 
 def cross_validate(
     df: DataFrame, estimator: Estimator, model: str, target: str = TARGET, **options
@@ -58,7 +55,9 @@ def compare_models(
     invalid: str = "keep",
     parallelism: int = 1,
     auc_bins: int | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    max_categories: int | None = None,
+    wide: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """(model, fold, n_rows, metric, value): k-fold cross-validation of every estimator on the same folds.
 
@@ -67,11 +66,17 @@ def compare_models(
     whose category indices and classifier saw only the other folds. The class
     weights are those of `df`, so by default they were taken over all rows.
 
-    The features are written once, split by fold, so that each fit reads only
-    its own part. One scan counts the categories of all folds; all folds of a
-    model are scored and measured in one further job. `parallelism` fits that
-    many folds at a time, each of which holds its own training data in memory
-    and on disk.
+    The features are written once, sorted by fold within each task and without
+    a shuffle, so that the rows of one fold are read without the others. One
+    scan counts the categories of all folds, of the columns in `wide` too,
+    which are indexed by joining with one table per fold; all folds of a model
+    are scored and measured in one further job. `parallelism` fits that many
+    folds at a time, each of which holds its own training data in memory and
+    on disk.
+
+    Seeded forests draw per partition. With `partitions` and a unique `key` the
+    rows are laid out by key into that many, so that the result does not depend
+    on how `df` is laid out.
 
     `n_rows` counts the rows that were scored, which "skip" lessens by those
     with a NULL or unseen category. A fold without rows has NULL metrics, one
@@ -81,31 +86,43 @@ def compare_models(
     keys = [] if key is None else [key] if isinstance(key, str) else list(key)
     given = [] if fold is None else [fold]
     roles = column_roles(df, target, weight, [*exclude, *keys, *given])
+    check_names([*roles.features, target], roles, wide)
     needed = [*roles.features, target, *([weight] if weight else [])]
+    number = CV_FOLD
+    while number in df.columns:
+        number += "_"
+    if partitions is not None:
+        if key is None:
+            raise ValueError("a fixed layout needs a key")
+        df = stable_layout(df, keys, partitions)
     if fold is not None:
-        with_folds = df.withColumn(CV_FOLD, F.col(quoted(fold)).cast("int"))
+        with_folds = df.withColumn(number, F.col(quoted(fold)).cast("int"))
     elif key is not None:
-        with_folds = hash_folds(df, key, k, seed, CV_FOLD)
+        with_folds = hash_folds(df, key, k, seed, number)
     else:
         # The draw sorts by every column, so the others go first.
-        with_folds = random_folds(df.select(*[F.col(quoted(c)) for c in needed]), k, seed, CV_FOLD)
+        with_folds = random_folds(df.select(*[F.col(quoted(c)) for c in needed]), k, seed, number)
     spark = df.sparkSession
     nothing = {"n_rows": 0, **dict.fromkeys(METRICS)}
     rows = []
-    with staged(with_folds.select(*[F.col(quoted(c)) for c in needed], CV_FOLD), [CV_FOLD]) as table:
-        folds = _read_folds(table, roles, k, max_categories)
+    # Ties within a fold keep the order of the key, which the sort may not change.
+    order = [number, *(keys if partitions is not None else [])]
+    kept = [F.col(quoted(c)) for c in dict.fromkeys([*needed, number, *order[1:]])]
+    with staged(with_folds.select(*kept), [quoted(c) for c in order]) as table:
+        table = table.select(*[F.col(quoted(c)) for c in needed], number)
+        folds = _read_folds(table, number, roles, k, max_categories, wide, invalid)
         for estimator in estimators.values():
             for each in folds:
                 check_trainable(estimator, roles, each.labels, invalid)
         for model, estimator in estimators.items():
 
             def fit(each: _Fold, estimator: Estimator = estimator) -> PipelineModel:
-                train, _ = fold_assembly(table, each.number, CV_FOLD)
-                stages = [*feature_stages(roles, each.labels, invalid), estimator.copy()]
-                return Pipeline(stages=stages).fit(_merge_small(train, each.train_rows))
+                train, _ = fold_assembly(table, each.number, number, checked=True)
+                stages = [*feature_stages(roles, each.labels, invalid, each.by_table), estimator.copy()]
+                return Pipeline(stages=stages).fit(train.drop(number))
 
             models = _run_parallel(spark, fit, folds, parallelism)
-            measured = _measure(table, folds, models, auc_bins)
+            measured = _measure(table, number, folds, models, auc_bins)
             for i in range(k):
                 found = measured.get(i, nothing)
                 rows += [(model, i, found["n_rows"], metric, found[metric]) for metric in METRICS]
@@ -114,22 +131,29 @@ def compare_models(
 
 @dataclass(frozen=True)
 class _Fold:
-    """A fold with rows: its sizes, and the category labels of the rows outside it."""
+    """A fold with rows: its number, and the categories of the rows outside it, as labels or by table."""
 
     number: int
-    train_rows: int
-    test_rows: int
     labels: dict[str, list[str]]
-
-
-def _read_folds(table: DataFrame, roles: Roles, k: int, max_categories: int) -> list[_Fold]:
+    by_table: CategoryIndexer | None
+
+
+def _read_folds(
+    table: DataFrame,
+    number: str,
+    roles: Roles,
+    k: int,
+    max_categories: int | None,
+    wide: Sequence[str],
+    invalid: str,
+) -> list[_Fold]:
     """The folds that have rows.
 
     A fold's training counts are all counts minus its own, so the categories
     of k training sets take one scan instead of k.
     """
-    columns = [*roles.strings, roles.target]
-    counts = collect_bounded(fold_category_counts(table, columns, CV_FOLD, k), max_categories)
+    columns = [*(s for s in roles.strings if s not in wide), roles.target]
+    counts = collect_bounded(fold_category_counts(table, columns, number, k), max_categories)
     classes = [row for row in counts if row.column == roles.target]
     sizes = [sum(row[f"n{i}"] for row in classes) for i in range(k)]
     if sum(sizes) != sum(row.n for row in classes):
@@ -143,12 +167,16 @@ def _read_folds(table: DataFrame, roles: Roles, k: int, max_categories: int) ->
         unseen = {row.value for row in classes if row[f"n{i}"]} - set(labels[roles.target])
         if unseen:
             raise ValueError(f"class {unseen.pop()!r} occurs in fold {i} only: no other fold can teach it")
-        folds.append(_Fold(i, sum(sizes) - sizes[i], sizes[i], labels))
-    return folds
+        folds.append(_Fold(i, labels, None))
+    if not wide:
+        return folds
+    with staged(fold_category_counts(table, wide, number, k)) as by_fold:
 
+        def indexer(i: int) -> CategoryIndexer:
+            seen = by_fold.select("column", "value", (F.col("n") - F.col(f"n{i}")).alias("n")).filter("n > 0")
+            return indexer_of_counts(seen, roles, wide, invalid)
 
-def _merge_small(df: DataFrame, rows: int) -> DataFrame:
-    return df.coalesce(max(1, ceil(rows / ROWS_PER_TASK)))
+        return [replace(each, by_table=indexer(each.number)) for each in folds]
 
 
 def _run_parallel(
@@ -162,28 +190,27 @@ def _run_parallel(
 
 
 def _measure(
-    table: DataFrame, folds: list[_Fold], models: list[PipelineModel], auc_bins: int | None
+    table: DataFrame, number: str, folds: list[_Fold], models: list[PipelineModel], auc_bins: int | None
 ) -> dict[int, dict]:
-    """Metrics per fold number; the folds are scored side by side, each by its own model."""
-    parts, binned = [], {}
+    """Metrics per fold number; the folds are scored side by side, each once and by its own model."""
+    parts = []
     for each, model in zip(folds, models):
-        _, test = fold_assembly(table, each.number, CV_FOLD)
-        predictions = model.transform(_merge_small(test, each.test_rows))
+        _, test = fold_assembly(table, each.number, number)
+        predictions = model.transform(test.drop(number))
         score = class_score("rawPrediction").alias("score")
         parts.append(predictions.select(F.lit(each.number).alias(FOLD), LABEL, "prediction", score))
-        if auc_bins is not None:
-            evaluator = BinaryClassificationEvaluator(labelCol=LABEL, numBins=auc_bins)
-            # The evaluator reads its input several times.
-            kept = predictions.select(LABEL, "rawPrediction").persist()
-            binned[each.number] = evaluator.evaluate(kept)
-            kept.unpersist()
     if not parts:
         return {}
     scored = reduce(DataFrame.unionAll, parts)
-    measured = {row[FOLD]: row.asDict() for row in metrics_table(scored, by=[FOLD]).collect()}
-    for number, auc in binned.items():
-        if number in measured and measured[number]["auc"] is not None:
-            measured[number]["auc"] = auc
+    if auc_bins is None:
+        return {row[FOLD]: row.asDict() for row in metrics_table(scored, by=[FOLD]).collect()}
+    # The evaluator reads the scores of a fold several times.
+    with staged(scored, [FOLD]) as kept:
+        measured = {row[FOLD]: row.asDict() for row in metrics_table(kept, by=[FOLD]).collect()}
+        evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="score", numBins=auc_bins)
+        for i, found in measured.items():
+            if found["auc"] is not None:
+                found["auc"] = evaluator.evaluate(kept.filter(F.col(FOLD) == i))
     return measured
 
 

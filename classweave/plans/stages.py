@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from classweave.operators import estimators, scoring
 from classweave.operators.balance import TARGET, WEIGHT, with_class_weight
-from classweave.operators.features import MAX_CATEGORIES, collect_bounded, fit_pipeline, positive_index
+from classweave.operators.features import fit_pipeline, positive_index
 from classweave.operators.profile import balance_of, class_counts, column_profile, imbalance_of
 from classweave.operators.ranking import project_top, rank_features, top_names
 from classweave.operators.validation import cross_validate, cv_summary
 from classweave.sources import load_model, read_parquet, save_model, write_parquet
+from classweave.sources.staging import fresh_path
 
 ESTIMATORS = {"lr": estimators.logistic, "rf": estimators.forest, "gbt": estimators.boosted}
 
@@ -27,9 +28,12 @@ def audit(df: DataFrame, target: str = TARGET, threshold: float = 15.0) -> dict[
     taken from those.
     """
     spark = df.sparkSession
-    by_column, by_class = column_profile(df), class_counts(df, target)
+    by_column = column_profile(df)
     columns = spark.createDataFrame(by_column.collect(), by_column.schema)
-    classes = spark.createDataFrame(collect_bounded(by_class, MAX_CATEGORIES), by_class.schema)
+    # A column mistaken for the target may have very many values, so these stay in a table.
+    path = fresh_path(spark, "classes")
+    class_counts(df, target).write.parquet(path)
+    classes = read_parquet(spark, path)
     return {
         "shape": columns.agg(F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_columns")),
         "schema": columns.select("position", "column", "type", "nullable", "n_values"),
@@ -50,10 +54,16 @@ def select_features(
     target: str = TARGET,
     k: int = 15,
     keep_cols: Sequence[str] = (),
+    weight: str | None = WEIGHT,
+    exclude: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
-    """Rank the features of a weighted table, write target, weight and the best k; return the ranking."""
-    ranking = rank_features(df, target, WEIGHT, exclude=keep_cols)
-    write_parquet(project_top(df, top_names(ranking, k), target, WEIGHT, keep_cols), output)
+    """Rank the features of a weighted table, write target, weight and the best k; return the ranking.
+
+    `options` are those of `rank_features`: invalid, wide, estimator.
+    """
+    ranking = rank_features(df, target, weight, [*exclude, *keep_cols], **options)
+    write_parquet(project_top(df, top_names(ranking, k), target, weight, keep_cols), output)
     return ranking
 
 
@@ -67,6 +77,11 @@ def train_model(
     seed: int = 42,
     parallelism: int = 1,
     auc_bins: int | None = None,
+    weight: str | None = WEIGHT,
+    exclude: Sequence[str] = (),
+    invalid: str = "keep",
+    wide: Sequence[str] = (),
+    max_categories: int | None = None,
     **params,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Cross-validate, refit on all rows, save; return (model, fold metrics, their summary).
@@ -74,6 +89,7 @@ def train_model(
     `kind` is lr, rf or gbt; `params` override the classifier's parameters.
     """
     estimator = ESTIMATORS[kind](**params)
+    features = {"weight": weight, "invalid": invalid, "wide": wide, "max_categories": max_categories}
     metrics = cross_validate(
         df,
         estimator,
@@ -84,8 +100,10 @@ def train_model(
         seed=seed,
         parallelism=parallelism,
         auc_bins=auc_bins,
+        exclude=exclude,
+        **features,
     )
-    model = fit_pipeline(df, estimator, target=target, exclude=key)
+    model = fit_pipeline(df, estimator, target=target, exclude=[*exclude, *key], **features)
     save_model(model, model_path)
     return model, metrics, cv_summary(metrics)
 

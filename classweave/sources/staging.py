@@ -11,30 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
-# Spark cuts scans into one part per core, but no finer than row groups. Small
-# ones let a fit, which costs much more than its scan, use all cores.
-_ROW_GROUP_BYTES = 8 * 1024 * 1024
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`.
+    """The folder named by `spark.checkpoint.dir`, or else the one given to `setCheckpointDir`.
 
-    Where the setting is absent and the master is local, as in tests, a
-    temporary folder stands in, and becomes the checkpoint folder too: boosting
-    cuts its lineage only if there is one. On a cluster a machine-local folder
-    would be wrong, so the setting is required there.
+    Where neither is set and the master is local, as in tests, a temporary
+    folder stands in until the driver ends, and becomes the checkpoint folder
+    too: boosting cuts its lineage only if there is one. On a cluster a
+    machine-local folder would be wrong, so one must be named there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="classweave-")
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(_LOCAL_FOLDERS[app])
+    if app in _LOCAL_FOLDERS:
+        return _LOCAL_FOLDERS[app]
+    given = context.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="classweave-")
+    files, hadoop_path = _hadoop_path(spark, _LOCAL_FOLDERS[app])
+    files.deleteOnExit(hadoop_path)
+    context.setCheckpointDir(_LOCAL_FOLDERS[app])
     return _LOCAL_FOLDERS[app]
 
 
@@ -64,22 +65,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+def staged(df: DataFrame, sort_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """Write `df` once, read it back many times, and delete it at the end of the block.
 
     The written table cuts the lineage, survives lost executors, and keeps
-    Parquet's column pruning. With `partition_by` a filter on those columns
-    reads only the matching folders. Rebalancing lets adaptive execution pick
-    the file sizes and split a folder that is larger than the rest; without it
-    every task would write one small file per folder. Where adaptive execution
-    is off nothing would split a folder, so rows then stay where they are.
+    Parquet's column pruning. With `sort_by` every task writes its own rows in
+    that order, without a shuffle: a filter on those columns then skips row
+    groups and pages by their statistics.
     """
     spark = df.sparkSession
     path = fresh_path(spark)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    laid_out = df.hint("rebalance", *partition_by) if partition_by and adaptive else df
+    laid_out = df.sortWithinPartitions(*sort_by) if sort_by else df
     try:
-        laid_out.write.option("parquet.block.size", _ROW_GROUP_BYTES).partitionBy(*partition_by).parquet(path)
+        laid_out.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         delete_path(spark, path)

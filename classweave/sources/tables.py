@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,15 +32,28 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def _reads_from(df: DataFrame, path: str) -> bool:
+    """Whether a file relation of the plan, subqueries included, lies in the target or holds it. Looks at root paths only."""
     context = df.sparkSession.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(context._jsc.hadoopConfiguration())
     if not files.exists(target):
         return False
-    uri = files.makeQualified(target).toUri()
-    folder = (uri.getScheme(), uri.getAuthority() or "", uri.getPath().rstrip("/") + "/")
-    for name in df.inputFiles():
-        file = urlparse(name)
-        if (file.scheme, file.netloc) == folder[:2] and unquote(file.path).startswith(folder[2]):
-            return True
+    written = _place(files.makeQualified(target))
+    plan = df._jdf.queryExecution().analyzed()
+    subqueries = plan.subqueriesAll()
+    for part in [plan, *(subqueries.apply(i) for i in range(subqueries.size()))]:
+        leaves = part.collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+                continue
+            roots = leaf.relation().location().rootPaths()
+            for root in (roots.apply(i) for i in range(roots.size())):
+                read = _place(root.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(root))
+                if read[:2] == written[:2] and (read[2].startswith(written[2]) or written[2].startswith(read[2])):
+                    return True
     return False
+
+
+def _place(path) -> tuple[str, str, str]:
+    uri = path.toUri()
+    return uri.getScheme(), uri.getAuthority() or "", uri.getPath().rstrip("/") + "/"

@@ -55,6 +55,13 @@ def test_train_and_test_are_disjoint_and_complete(numbers):
         assert sum(sizes[i]) == 5_000
 
 
+def test_rows_without_a_fold_are_refused(numbers):
+    folded = cw.hash_folds(numbers, "id", 5).withColumn("fold", F.when(F.col("id") != 7, F.col("fold")))
+    train, test = cw.fold_assembly(folded, 0)
+    with pytest.raises(Exception, match="fold is NULL"):
+        train.collect()
+
+
 def test_absent_key_is_an_error(numbers):
     with pytest.raises(ValueError, match="nokey"):
         cw.hash_folds(numbers, "nokey")

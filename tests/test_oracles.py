@@ -52,7 +52,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert len(found[1]) > 0
     assert found[1] == expected[1]
     # Numbers keep their kind, so that hashes of the values agree too.
-    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}
     types = dict(zip(expected_relation.columns, map(str, expected_relation.types)))
     for column, spark_type in result.dtypes:
         assert kinds.get(types[column]) == spark_type, f"{column}: {types[column]} and {spark_type}"

@@ -51,16 +51,24 @@ def test_missing_counts_take_one_scan(gaps, spark, tmp_path):
 
 def test_shape_and_schema(gaps):
     assert cw.dataset_shape(gaps).collect() == [Row(n_rows=4, n_columns=9)]
-    report = {row.column: row for row in cw.schema_report(gaps).collect()}
+    report = {row.column: row for row in cw.schema_report(gaps, count_values=True).collect()}
     assert report["x"].type == "double" and report["x"].n_values == 3
     assert report["a.b"].position == 4 and report["a.b"].n_values == 3
 
 
+def test_schema_report_reads_metadata_only(gaps):
+    report = cw.schema_report(gaps)
+    assert report.columns == ["position", "column", "type", "nullable"]
+    assert [r.column for r in report.orderBy("position").collect()] == gaps.columns
+    present = cw.columns_present(gaps, ["x", "X", "a.b", "none"])
+    assert [tuple(r) for r in present.collect()] == [("x", True), ("X", False), ("a.b", True), ("none", False)]
+
+
 def test_column_profile_holds_all_column_reports(gaps):
     profile = {r.column: r for r in cw.column_profile(gaps).collect()}
     assert {c: r.n_missing for c, r in profile.items()} == _dict(cw.missing_counts(gaps))
     assert {c: r.n_values for c, r in profile.items()} == {
-        r.column: r.n_values for r in cw.schema_report(gaps).collect()
+        r.column: r.n_values for r in cw.schema_report(gaps, count_values=True).collect()
     }
     assert {r.n_rows for r in profile.values()} == {4}
 

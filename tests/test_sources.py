@@ -3,6 +3,8 @@ from types import SimpleNamespace
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import classweave as cw
 from classweave.sources import staging
 
@@ -49,7 +51,12 @@ def test_staging_keeps_category_metadata(spark):
 def test_shared_folder_is_the_one_the_session_names(spark):
     def session(folder, master):
         conf = SimpleNamespace(get=lambda name, default: {"spark.checkpoint.dir": folder}.get(name, default))
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        context = SimpleNamespace(master=master, applicationId="app", getCheckpointDir=lambda: given)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    given = "hdfs://given/folder/"
+    assert staging.shared_folder(session(None, "yarn")) == "hdfs://given/folder"
+    given = None
 
     assert staging.shared_folder(session("hdfs://shared/folder/", "yarn")) == "hdfs://shared/folder"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
@@ -58,10 +65,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_staging_by_folder_without_adaptive_execution(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        with cw.staged(spark.range(40).selectExpr("id", "id % 4 AS part"), ["part"]) as table:
-            assert table.filter("part = 3").count() == 10
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+def test_a_table_read_in_a_subquery_is_not_overwritten(spark, tmp_path):
+    path, inner = str(tmp_path / "a"), str(tmp_path / "a" / "b")
+    cw.write_parquet(spark.range(3), path)
+    most = cw.read_parquet(spark, path).agg(F.max("id")).scalar()
+    with pytest.raises(ValueError, match="elsewhere"):
+        cw.write_parquet(spark.range(5).filter(F.col("id") <= most), path)
+    spark.range(2).write.parquet(inner)
+    with pytest.raises(ValueError, match="elsewhere"):
+        cw.write_parquet(cw.read_parquet(spark, inner), path)

@@ -157,13 +157,43 @@ def test_staged_tables_are_removed(spark, planted):
     assert set(folder.glob("table-*")) == before
 
 
-def test_test_folds_read_only_their_own_folder(planted):
+def test_folds_are_filtered_in_the_scan_and_staged_without_a_shuffle(planted):
     folded = cw.hash_folds(planted, KEY, 4)
     with cw.staged(folded, ["fold"]) as table:
-        train, test = cw.fold_assembly(table, 1)
-        plan = test._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [isnotnull(fold" in plan
+        train, test = cw.fold_assembly(table, 1, checked=True)
+        for side in (train, test):
+            assert "PushedFilters: [IsNotNull(fold)" in side._jdf.queryExecution().executedPlan().toString()
         assert train.count() + test.count() == 1_500
+        for path in table.inputFiles():
+            folds = [r.fold for r in table.sparkSession.read.parquet(path).collect()]
+            assert folds == sorted(folds)
+
+
+@pytest.mark.parametrize("files", [1, 3, 8])
+def test_a_fixed_layout_makes_forests_repeatable(spark, planted, tmp_path, files):
+    forest = cw.forest(numTrees=4, maxDepth=3)
+    options = {"key": KEY, "k": 3, "partitions": 4}
+    planted.repartition(files, F.rand(files)).write.parquet(str(tmp_path / "rows"))
+    found = _wide(cw.cross_validate(spark.read.parquet(str(tmp_path / "rows")), forest, "rf", TARGET, **options))
+    assert found == _wide(cw.cross_validate(planted, forest, "rf", TARGET, **options))
+    with pytest.raises(ValueError, match="key"):
+        cw.cross_validate(planted, forest, "rf", TARGET, partitions=4)
+
+
+def test_names_that_would_clash(planted):
+    renamed = planted.withColumnRenamed("c_mktsegment", "cv_fold")
+    assert cw.cross_validate(renamed, cw.logistic(maxIter=2), "lr", TARGET, key=KEY, k=2).count() == 10
+    with pytest.raises(ValueError, match="'label'"):
+        cw.cross_validate(planted.withColumnRenamed("c_mktsegment", "label"), cw.logistic(), "lr", TARGET, key=KEY, k=2)
+
+
+def test_binned_areas_score_each_fold_once(planted):
+    options = {"key": KEY, "k": 2}
+    exact = _wide(cw.cross_validate(planted, cw.logistic(), "lr", TARGET, **options))
+    binned = _wide(cw.cross_validate(planted, cw.logistic(), "lr", TARGET, auc_bins=100, **options))
+    for i in exact:
+        assert binned[i]["auc"] == pytest.approx(exact[i]["auc"], abs=0.02)
+        assert binned[i]["f1"] == exact[i]["f1"]
 
 
 def test_models_are_compared_on_the_same_folds(planted):

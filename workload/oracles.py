@@ -32,36 +32,70 @@ def _index(relation: str, column: str, name: str) -> str:
   FROM {relation} WHERE {column} IS NOT NULL GROUP BY {column})"""
 
 
-# A two-class model with one binary feature gives each band the weighted share
-# of positives in it; one boosting step turns that into a logistic of the mean.
-_SHARE = "one / (one + zero)"
-_ONE_BOOST = "1 / (1 + exp(-2 * (one - zero) / (one + zero)))"
+# Each small model is fitted per training set `train` (fold, price_band, one, zero, squares): the weights of the positive
+# and the negative rows of a band, and the squares of all its weights. Its result is `fitted` (fold, price_band, p).
 
+# A stump gives each band the weighted share of positives in it.
+_SHARE = "fitted AS (SELECT fold, price_band, one / (one + zero) AS p FROM train)"
 
-def _trained(probability: str) -> str:
-    return f"""WITH {t.BANDED_SQL},
-sums AS (
-  SELECT price_band, sum(w) FILTER (target = 'Yes') AS one, sum(w) FILTER (target = 'No') AS zero
-  FROM banded GROUP BY price_band),
-fitted AS (SELECT price_band, {probability} AS p FROM sums)
+
+def _boosted(steps: int, step_size: float = 0.1) -> str:
+    """Boosted stumps: the first is the mean of -1 and 1 in a band; each further one adds its share of the mean residual."""
+    margins = ["m1 AS (SELECT *, (one - zero) / (one + zero) AS margin, one / (one + zero) AS share FROM train)"]
+    for i in range(2, steps + 1):
+        residual = "share * 4 / (1 + exp(2 * margin)) - (1 - share) * 4 / (1 + exp(-2 * margin))"
+        margins.append(f"m{i} AS (SELECT * REPLACE (margin + {step_size} * ({residual}) AS margin) FROM m{i - 1})")
+    margins.append(f"fitted AS (SELECT fold, price_band, 1 / (1 + exp(-2 * margin)) AS p FROM m{steps})")
+    return ",\n".join(margins)
+
+
+# Ridge logistic regression by Newton's method. The band is 0 or 1, and the penalty is on its coefficient times its
+# standard deviation, the sample's, with weights.
+_RIDGE = """bands AS (
+  SELECT fold, sum(one + zero) AS w, sum(squares) AS squares,
+         sum(one) FILTER (price_band = 'low') AS one0, sum(one + zero) FILTER (price_band = 'low') AS w0,
+         sum(one) FILTER (price_band = 'high') AS one1, sum(one + zero) FILTER (price_band = 'high') AS w1
+  FROM train GROUP BY fold),
+known AS (SELECT *, 0.01 * (w0 * w1 / w) / (w - squares / w) AS ridge FROM bands),
+newton AS (
+  SELECT fold, 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 FROM known
+  UNION ALL
+  SELECT fold, i + 1, b0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01),
+         b1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (
+    SELECT fold, i, b0, b1, (w0 * p0 + w1 * p1 - one0 - one1) / w AS g0, (w1 * p1 - one1) / w + ridge * b1 AS g1,
+           (w0 * p0 * (1 - p0) + w1 * p1 * (1 - p1)) / w AS h00, w1 * p1 * (1 - p1) / w AS h01,
+           w1 * p1 * (1 - p1) / w + ridge AS h11
+    FROM (
+      SELECT *, 1 / (1 + exp(-b0)) AS p0, 1 / (1 + exp(-b0 - b1)) AS p1
+      FROM newton JOIN known USING (fold) WHERE i < 40))),
+fitted AS (
+  SELECT fold, price_band, 1 / (1 + exp(-b0 - CASE WHEN price_band = 'high' THEN b1 ELSE 0 END)) AS p
+  FROM train JOIN newton USING (fold) WHERE i = 40)"""
+
+_SUMS = """sum(w) FILTER (target = 'Yes') AS one, sum(w) FILTER (target = 'No') AS zero, sum(w * w) AS squares"""
+
+
+def _trained(fitted: str) -> str:
+    return f"""WITH RECURSIVE {t.BANDED_SQL},
+train AS (SELECT 0 AS fold, price_band, {_SUMS} FROM banded GROUP BY price_band),
+{fitted}
 SELECT o_orderkey, (p > 0.5)::DOUBLE AS prediction, round(p, 6) AS probability
 FROM banded JOIN fitted USING (price_band)"""
 
 
-def _cross_validated(model: str, probability: str) -> str:
-    return f"""WITH {t.BANDED_SQL},
+def _cross_validated(model: str, fitted: str) -> str:
+    return f"""WITH RECURSIVE {t.BANDED_SQL},
 folded AS (SELECT *, {t.fold_sql('o_orderkey', CV_FOLDS)} AS fold FROM banded),
-sums AS (
-  SELECT fold, price_band, sum(w) FILTER (target = 'Yes') AS one, sum(w) FILTER (target = 'No') AS zero
-  FROM folded GROUP BY fold, price_band),
+sums AS (SELECT fold, price_band, {_SUMS} FROM folded GROUP BY fold, price_band),
 train AS (
-  SELECT tests.fold, others.price_band, sum(others.one) AS one, sum(others.zero) AS zero
+  SELECT tests.fold, others.price_band, sum(others.one) AS one, sum(others.zero) AS zero, sum(others.squares) AS squares
   FROM (SELECT DISTINCT fold FROM folded) AS tests JOIN sums AS others ON others.fold <> tests.fold
   GROUP BY tests.fold, others.price_band),
+{fitted},
 scored AS (
-  SELECT folded.fold, (target = 'Yes')::INTEGER AS label, {probability} AS score,
-         ({probability} > 0.5)::INTEGER AS prediction
-  FROM folded JOIN train ON folded.fold = train.fold AND folded.price_band = train.price_band),
+  SELECT folded.fold, (target = 'Yes')::INTEGER AS label, p AS score, (p > 0.5)::INTEGER AS prediction
+  FROM folded JOIN fitted ON folded.fold = fitted.fold AND folded.price_band = fitted.price_band),
 {t.metrics_sql('scored', 'fold')},
 {t.long_metrics_sql('fold')}
 SELECT '{model}' AS model, fold, n_rows, metric, round(value, 6) AS value FROM long_metrics"""
@@ -72,6 +106,42 @@ folded AS (SELECT *, {t.fold_sql('o_orderkey', 10)} AS fold FROM rival_scores),
 {t.metrics_sql('folded', 'model, fold')}"""
 
 
+# A tree of depth 2: the split with the greatest Gini gain at the root, then
+# in both children; a feature scores the weighted gains of its splits.
+_RANKED = f"""
+WITH {t.THREE_BANDS_SQL},
+cells AS (
+  SELECT o_orderkey, y, w, 0 AS slot, 'haste' AS feature, haste AS value FROM three_bands
+  UNION ALL SELECT o_orderkey, y, w, 1, 'price', price FROM three_bands
+  UNION ALL SELECT o_orderkey, y, w, 2, 'segment', segment FROM three_bands),
+root_sides AS (
+  SELECT slot, feature, value, sum(w) AS weight, sum(w * y) / sum(w) AS p FROM cells GROUP BY ALL),
+root_total AS (SELECT sum(w) AS weight, sum(w * y) / sum(w) AS p FROM three_bands),
+root_gain AS (
+  SELECT slot, feature, any_value(t.weight * 2 * t.p * (1 - t.p)) - sum(s.weight * 2 * s.p * (1 - s.p)) AS gain
+  FROM root_sides AS s, root_total AS t GROUP BY slot, feature),
+root AS (SELECT feature, gain FROM root_gain ORDER BY gain DESC, slot LIMIT 1),
+node_of AS (SELECT o_orderkey, value AS node FROM cells WHERE feature = (SELECT feature FROM root)),
+sides AS (
+  SELECT node, slot, feature, value, sum(w) AS weight, sum(w * y) / sum(w) AS p
+  FROM cells JOIN node_of USING (o_orderkey) GROUP BY ALL),
+totals AS (
+  SELECT node, sum(w) AS weight, sum(w * y) / sum(w) AS p
+  FROM three_bands JOIN node_of USING (o_orderkey) GROUP BY node),
+gains AS (
+  SELECT node, slot, feature, any_value(t.weight * 2 * t.p * (1 - t.p)) - sum(s.weight * 2 * s.p * (1 - s.p)) AS gain
+  FROM sides AS s JOIN totals AS t USING (node) GROUP BY node, slot, feature),
+splits AS (
+  SELECT feature, gain FROM gains
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, slot) = 1 AND gain > 1e-9
+  UNION ALL SELECT feature, gain FROM root),
+scores AS (
+  SELECT slot, feature, coalesce((SELECT sum(gain) FROM splits WHERE splits.feature = f.feature), 0)
+                        / (SELECT sum(gain) FROM splits) AS score
+  FROM (SELECT DISTINCT slot, feature FROM cells) AS f)
+SELECT (row_number() OVER (ORDER BY score DESC, slot))::INTEGER AS rank, feature, round(score, 6) AS score
+FROM scores"""
+
 ORACLES: dict[str, str] = {
     "dataset_shape": """
 SELECT count(*) AS n_rows,
@@ -105,7 +175,11 @@ WITH {t.PLANTED_SQL}, classes AS (SELECT count(*) AS n FROM planted GROUP BY tar
 SELECT round(min(n) * 100.0::DOUBLE / sum(n), 6) AS minority_percent,
        min(n) * 100.0::DOUBLE / sum(n) < 15 AS severe
 FROM classes""",
-    "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "csv_roundtrip": "SELECT * REPLACE (o_orderdate::DATE AS o_orderdate) FROM orders",
+    "csv_with_schema": "SELECT * REPLACE (o_orderdate::DATE AS o_orderdate) FROM orders",
+    "columns_present": """
+SELECT "column", "column" IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders') AS present
+FROM (VALUES ('o_orderkey'), ('o_orderdate'), ('O_ORDERKEY'), ('n_name'), ('o_orderkey ')) AS names("column")""",
     "parquet_roundtrip": f"""
 WITH {t.WEIGHTED_SQL}
 SELECT o_orderkey, c_mktsegment, target, round("classWeight", 6) AS "classWeight" FROM weighted""",
@@ -173,55 +247,30 @@ SELECT o_orderkey, y.idx AS label, c_nationkey::DOUBLE AS slot0, c_acctbal AS sl
        a.idx AS slot3, b.idx AS slot4, c.idx AS slot5
 FROM planted JOIN y ON target = y.value JOIN a ON o_orderstatus = a.value
 JOIN b ON o_orderpriority = b.value JOIN c ON c_mktsegment = c.value""",
-    # A tree of depth 2: the split with the greatest Gini gain at the root, then
-    # in both children; a feature scores the weighted gains of its splits.
-    "rank_features": f"""
-WITH {t.THREE_BANDS_SQL},
-cells AS (
-  SELECT o_orderkey, y, w, 0 AS slot, 'haste' AS feature, haste AS value FROM three_bands
-  UNION ALL SELECT o_orderkey, y, w, 1, 'price', price FROM three_bands
-  UNION ALL SELECT o_orderkey, y, w, 2, 'segment', segment FROM three_bands),
-root_sides AS (
-  SELECT slot, feature, value, sum(w) AS weight, sum(w * y) / sum(w) AS p FROM cells GROUP BY ALL),
-root_total AS (SELECT sum(w) AS weight, sum(w * y) / sum(w) AS p FROM three_bands),
-root_gain AS (
-  SELECT slot, feature, any_value(t.weight * 2 * t.p * (1 - t.p)) - sum(s.weight * 2 * s.p * (1 - s.p)) AS gain
-  FROM root_sides AS s, root_total AS t GROUP BY slot, feature),
-root AS (SELECT feature, gain FROM root_gain ORDER BY gain DESC, slot LIMIT 1),
-node_of AS (SELECT o_orderkey, value AS node FROM cells WHERE feature = (SELECT feature FROM root)),
-sides AS (
-  SELECT node, slot, feature, value, sum(w) AS weight, sum(w * y) / sum(w) AS p
-  FROM cells JOIN node_of USING (o_orderkey) GROUP BY ALL),
-totals AS (
-  SELECT node, sum(w) AS weight, sum(w * y) / sum(w) AS p
-  FROM three_bands JOIN node_of USING (o_orderkey) GROUP BY node),
-gains AS (
-  SELECT node, slot, feature, any_value(t.weight * 2 * t.p * (1 - t.p)) - sum(s.weight * 2 * s.p * (1 - s.p)) AS gain
-  FROM sides AS s JOIN totals AS t USING (node) GROUP BY node, slot, feature),
-splits AS (
-  SELECT feature, gain FROM gains
-  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, slot) = 1 AND gain > 1e-9
-  UNION ALL SELECT feature, gain FROM root),
-scores AS (
-  SELECT slot, feature, coalesce((SELECT sum(gain) FROM splits WHERE splits.feature = f.feature), 0)
-                        / (SELECT sum(gain) FROM splits) AS score
-  FROM (SELECT DISTINCT slot, feature FROM cells) AS f)
-SELECT (row_number() OVER (ORDER BY score DESC, slot))::INTEGER AS rank, feature, round(score, 6) AS score
-FROM scores""",
-    # The two features that decide the planted target.
-    "top_features": "SELECT 'c_mktsegment' AS feature UNION ALL SELECT 'o_totalprice'",
+    "rank_features": _RANKED,
+    "top_features": f"SELECT * FROM ({_RANKED}) WHERE rank <= 2",
     "project_top": f"""
 WITH {t.WEIGHTED_SQL}
 SELECT o_orderkey, target, round("classWeight", 6) AS "classWeight", c_mktsegment, o_totalprice FROM weighted""",
-    "train_lr": _trained(_SHARE),
+    "train_lr": _trained(_RIDGE),
     "train_rf": _trained(_SHARE),
-    "train_gbt": _trained(_ONE_BOOST),
-    "random_folds": "SELECT o_orderkey, 1::BIGINT AS n_folds FROM orders",
+    "train_gbt": _trained(_boosted(3)),
+    "train_lr_wide": f"""
+WITH named AS (SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey), {_index('named', 'c_name', 'c')}
+SELECT o_orderkey, c.idx AS name_index, true AS same_score FROM named JOIN c ON c_name = c.value""",
+    "cv_lr_wide": f"""
+WITH {t.PLANTED_SQL}, folded AS (SELECT {t.fold_sql('o_orderkey', CV_FOLDS)} AS fold FROM planted)
+SELECT fold, metric, count(*) AS n_rows, true AS same_value
+FROM folded, (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc')) AS metrics(metric)
+GROUP BY fold, metric""",
+    "random_folds": """
+SELECT fold::INTEGER AS fold, (SELECT count(*) FROM orders) AS n_rows, true AS even FROM range(10) AS folds(fold)""",
     "hash_folds": f"SELECT o_orderkey, {t.fold_sql('o_orderkey', 10)} AS fold FROM orders",
     "fold_assembly": f"""
-WITH {t.PLANTED_SQL}, folded AS (SELECT {t.fold_sql('o_orderkey', 10)} AS fold FROM planted)
-SELECT fold, (SELECT count(*) FROM folded) - count(*) AS train_rows, count(*) AS test_rows
-FROM folded GROUP BY fold""",
+WITH {t.PLANTED_SQL}, folded AS (SELECT o_orderkey, {t.fold_sql('o_orderkey', 10)} AS fold FROM planted)
+SELECT part::INTEGER AS fold, CASE WHEN fold = part THEN 'test' ELSE 'train' END AS side, count(*) AS n_rows,
+       sum(o_orderkey)::BIGINT AS keys
+FROM folded, range(10) AS parts(part) GROUP BY ALL""",
     "confusion_matrix": f"""
 WITH {t.FIXED_SCORES_SQL}
 SELECT label, prediction, count(*) AS n FROM fixed_scores GROUP BY label, prediction""",
@@ -238,9 +287,13 @@ FROM folded GROUP BY fold""",
     "roc_auc": f"""
 WITH {t.RIVAL_SCORES_SQL}, {t.metrics_sql('rival_scores', 'model')}
 SELECT model, round(auc, 6) AS auc FROM measured""",
-    "cv_lr": _cross_validated("lr", _SHARE),
+    "roc_auc_binned": f"""
+WITH {t.FIXED_SCORES_SQL}, rounded AS (SELECT label, round(score, 3) AS score, prediction FROM fixed_scores),
+{t.metrics_sql('rounded')}
+SELECT round(auc, 6) AS auc FROM measured""",
+    "cv_lr": _cross_validated("lr", _RIDGE),
     "cv_rf": _cross_validated("rf", _SHARE),
-    "cv_gbt": _cross_validated("gbt", _ONE_BOOST),
+    "cv_gbt": _cross_validated("gbt", _boosted(3)),
     "cv_summary": f"""
 WITH {_RIVAL_METRICS}, {t.long_metrics_sql('model, fold')}
 SELECT model, metric, round(avg(value), 6) AS mean, round(avg(value) * 100, 2) AS pct, count(value) AS n_folds
@@ -255,7 +308,7 @@ SELECT (row_number() OVER (ORDER BY auc DESC, model))::INTEGER AS rank, model, r
        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(auc, 6) AS auc
 FROM means""",
     "model_roundtrip": _trained(_SHARE),
-    "batch_score": _trained(_ONE_BOOST),
+    "batch_score": _trained(_boosted(2)),
     "prediction_view": f"""
 WITH {t.FIXED_SCORES_SQL}
 SELECT o_orderkey, round(score, 4) AS "Heart_Attack_Probability", prediction::INTEGER AS "Predicted_Class"

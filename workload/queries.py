@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +39,13 @@ def dataset_shape(spark, sf_dir):
 
 @query
 def schema_report(spark, sf_dir):
-    return cw.schema_report(t.given(spark, sf_dir, "customer"))
+    return cw.schema_report(t.given(spark, sf_dir, "customer"), count_values=True)
+
+
+@query
+def columns_present(spark, sf_dir):
+    orders = t.given(spark, sf_dir, "orders")
+    return cw.columns_present(orders, ["o_orderkey", "o_orderdate", "O_ORDERKEY", "n_name", "o_orderkey "])
 
 
 @query
@@ -72,15 +79,26 @@ def imbalance_flag(spark, sf_dir):
 # Tables in and out
 
 
-@query
-def csv_roundtrip(spark, sf_dir):
+def _orders_as_csv(spark, sf_dir):
     path = fresh_path(spark, "csv")
     orders = t.given(spark, sf_dir, "orders")
-    orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority").write.csv(
-        path, header=True
-    )
+    orders.write.csv(path, header=True)
+    return path, orders.schema
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """All types inferred. Small whole numbers become int, and a timestamp's day is what SQL compares."""
+    path, schema = _orders_as_csv(spark, sf_dir)
     table = cw.read_csv(spark, path)
-    return table.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+    wide = {f.name: F.col(f.name).cast("bigint") for f in schema.fields if f.dataType.simpleString() == "bigint"}
+    return table.withColumns({**wide, "o_orderdate": F.col("o_orderdate").cast("date")})
+
+
+@query
+def csv_with_schema(spark, sf_dir):
+    path, schema = _orders_as_csv(spark, sf_dir)
+    return cw.read_csv(spark, path, schema).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 @query
@@ -189,7 +207,8 @@ def rank_features(spark, sf_dir):
 
 @query
 def top_features(spark, sf_dir):
-    return cw.top_features(_ranking(t.weighted(spark, sf_dir)), 2).select("feature")
+    tree = cw.ranking_forest(numTrees=1, maxDepth=2, bootstrap=False)
+    return cw.top_features(_ranking(t.three_bands(spark, sf_dir), tree), 2).select("rank", "feature", *_rounded("score"))
 
 
 @query
@@ -203,15 +222,15 @@ def project_top(spark, sf_dir):
 
 
 def _small_logistic():
-    return cw.logistic(regParam=0.0, tol=1e-7)
+    return cw.logistic(tol=1e-8)
 
 
 def _small_forest():
     return cw.forest(numTrees=1, maxDepth=1, bootstrap=False)
 
 
-def _small_boosted():
-    return cw.boosted(maxIter=1, maxDepth=1)
+def _small_boosted(steps=3):
+    return cw.boosted(maxIter=steps, maxDepth=1)
 
 
 def _fit(rows, estimator):
@@ -224,8 +243,11 @@ def _probabilities(scored):
 
 
 def _trained(spark, sf_dir, estimator):
-    rows = t.banded(spark, sf_dir)
-    return _probabilities(cw.batch_score(rows, _fit(rows, estimator), [KEY]))
+    """One written table for the fit and for the scoring."""
+    path = fresh_path(spark, "rows")
+    cw.write_parquet(t.banded(spark, sf_dir), path)
+    rows = cw.read_parquet(spark, path)
+    return _probabilities(cw.batch_score(rows, cw.fit_pipeline(rows, estimator, target=TARGET, exclude=[KEY]), [KEY]))
 
 
 @query
@@ -243,14 +265,50 @@ def train_gbt(spark, sf_dir):
     return _trained(spark, sf_dir, _small_boosted())
 
 
+def _wide(spark, sf_dir):
+    """A string feature with a value per customer, and a number."""
+    names = _customer_names(spark, sf_dir).select(KEY, "c_name")
+    return t.weighted(spark, sf_dir).select(KEY, "o_totalprice", TARGET, "classWeight").join(names, KEY)
+
+
+@query
+def train_lr_wide(spark, sf_dir):
+    """Indices by joining with a table: whether a model so trained scores like one with its labels on the driver."""
+    with cw.staged(_wide(spark, sf_dir)) as table:
+        path = fresh_path(spark, "model")
+        options = {"target": TARGET, "exclude": [KEY]}
+        cw.save_model(cw.fit_pipeline(table, cw.logistic(), wide=["c_name"], **options), path)
+        labelled = cw.fit_pipeline(table, cw.logistic(), **options)
+    rows = _wide(spark, sf_dir)
+    by_table = cw.load_model(path).transform(rows).select(KEY, "c_name_idx", cw.class_probability("probability", 1, 12).alias("p"))
+    by_label = labelled.transform(rows).select(KEY, cw.class_probability("probability", 1, 12).alias("q"))
+    same = F.abs(F.col("p") - F.col("q")) < 1e-6
+    return by_table.join(by_label, KEY).select(KEY, F.col("c_name_idx").alias("name_index"), same.alias("same_score"))
+
+
+@query
+def cv_lr_wide(spark, sf_dir):
+    """The same in cross-validation, where each fold has values that its training rows lack."""
+    options = {"target": TARGET, "key": KEY, "k": CV_FOLDS, "parallelism": CV_FOLDS}
+    with cw.staged(_wide(spark, sf_dir)) as table:
+        by_table = cw.cross_validate(table, cw.logistic(), "lr", wide=["c_name"], **options)
+        by_label = cw.cross_validate(table, cw.logistic(), "lr", **options)
+    other = by_label.select("fold", "metric", F.col("value").alias("labelled"))
+    same = F.abs(F.col("value") - F.col("labelled")) < 1e-6
+    return by_table.join(other, ["fold", "metric"]).select("fold", "metric", "n_rows", same.alias("same_value"))
+
+
 # Folds
 
 
 @query
 def random_folds(spark, sf_dir):
-    """In how many of the ten folds each row is."""
+    """Per fold: the rows of all folds together, and whether its own are a tenth, give or take five standard deviations."""
     rows = cw.random_folds(t.given(spark, sf_dir, "orders").select(KEY, "o_totalprice"), 10)
-    return rows.groupBy(KEY).agg(F.count_if(F.col("fold").between(0, 9)).alias("n_folds"))
+    sizes = cw.fold_sizes(rows)
+    total = F.col("train_rows") + F.col("test_rows")
+    even = F.abs(F.col("test_rows") - total / 10) <= 5 * F.sqrt(total * 0.09)
+    return sizes.select("fold", total.alias("n_rows"), even.alias("even"))
 
 
 @query
@@ -260,7 +318,14 @@ def hash_folds(spark, sf_dir):
 
 @query
 def fold_assembly(spark, sf_dir):
-    return cw.fold_sizes(cw.hash_folds(t.planted(spark, sf_dir), KEY, 10))
+    """The rows of each training and test table, and of the keys that both hold."""
+    rows = cw.hash_folds(t.planted(spark, sf_dir), KEY, 10).select(KEY, "fold")
+    parts = []
+    for i in range(10):
+        sides = cw.fold_assembly(rows, i)
+        parts += [side.select(F.lit(i).alias("part"), F.lit(name).alias("side"), KEY) for name, side in zip(("train", "test"), sides)]
+    both = reduce(DataFrame.unionAll, parts).groupBy("part", "side").agg(F.count("*").alias("n_rows"), F.sum(KEY).alias("keys"))
+    return both.withColumnRenamed("part", "fold")
 
 
 # Quality of predictions
@@ -289,6 +354,13 @@ def roc_auc(spark, sf_dir):
     return cw.roc_auc(t.rival_scores(spark, sf_dir), by=["model"]).select("model", *_rounded("auc"))
 
 
+@query
+def roc_auc_binned(spark, sf_dir):
+    """The evaluator's area with 1,000 points, over scores of which no two share a bin."""
+    scores = t.fixed_scores(spark, sf_dir).select("label", F.round("score", 3).alias("score"))
+    return cw.roc_auc(scores, num_bins=1000).select(*_rounded("auc"))
+
+
 # Cross-validation
 
 
@@ -347,7 +419,7 @@ def model_roundtrip(spark, sf_dir):
 def batch_score(spark, sf_dir):
     rows = t.banded(spark, sf_dir)
     model, scored = fresh_path(spark, "model"), fresh_path(spark, "scored")
-    cw.save_model(_fit(rows, _small_boosted()), model)
+    cw.save_model(_fit(rows, _small_boosted(2)), model)
     cw.write_parquet(cw.batch_score(rows, model, [KEY]), scored)
     return _probabilities(cw.read_parquet(spark, scored))
 
