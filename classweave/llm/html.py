@@ -29,6 +29,7 @@ _WORDS = set(
     "comment comments commentlist disqus respond reply replies discussion "
     "share sharing social related recommended recommendations widget widgets search searchbox skip hidden".split()
 )
+_ABOUT = {"has", "with", "no", "without", "layout"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _COMMENT = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion"}
 
@@ -39,7 +40,11 @@ def _names(attributes: list[tuple[str, str | None]]) -> set[str]:
     for key, value in attributes:
         value = value or ""
         if key in ("class", "id", "role", "data-role"):
-            out.update(x.lower() for x in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value) if x)
+            for name in value.split():
+                parts = [x.lower() for x in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", name) if x]
+                # A box that says it has a sidebar, or none, is not the sidebar.
+                if parts and parts[0] not in _ABOUT and parts[-1] not in _ABOUT:
+                    out.update(parts)
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             out.add("hidden")
     return out
@@ -78,6 +83,8 @@ class _Lines(HTMLParser):
             tag, why = self.open.pop()
             if tag in _BLOCK:
                 self._end_line()
+            elif tag in ("td", "th"):
+                self.parts.append(" ")
             self.apart -= bool(why)
             self.links -= tag == "a"
             if tag in _GROUP:
@@ -126,8 +133,6 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        if tag in ("td", "th"):
-            self.parts.append(" ")
         k = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
         if k is not None and (tag in _BLOCK or tag in _APART or tag in _GROUP or not any(t in _BLOCK for t, _ in self.open[k + 1 :])):
             self._pop(k)

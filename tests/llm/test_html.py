@@ -22,6 +22,7 @@ def page(body):
         (f"<div class=ad>never closed<article><p>{LONG}</p></article>", [LONG]),
         (f"<div><div><a href=1>One</a></div><div><a href=2>Two</a></div><div><a href=3>Three</a></div><p>{LONG}</p></div>", [LONG]),
         (f"<table><tr><td>a</td><td>b</td></tr><tr><td>c<td>d</table><p>{LONG}</p>", ["a b", "c d", LONG]),
+        (f"<div class='has-sidebar sidebar-layout'><p>{LONG}</p><div class=siteFooter>{LONG}</div></div>", [LONG]),
         ("just text", ["just text"]),
         ("<nav>menu</nav>", []),
         (f"<p hidden>{LONG}</p><p style='display: none'>{LONG}</p><p>{LONG}", [LONG]),
