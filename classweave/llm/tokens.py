@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from functools import lru_cache
@@ -135,11 +136,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenizer_file(name: str) -> str:
-    """Where a file of the public tokenizers lies on this machine."""
+def tokenizer_file(tokenizer: str) -> str:
+    """The tokenizer's file on this machine: the path itself, or the place of a public tokenizer of that name."""
+    if os.path.isabs(tokenizer):
+        return tokenizer
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return public_tokenizers.path(tokenizer)
 
 
 def encoded_runs(column: pa.Array, tokenizer: str):
