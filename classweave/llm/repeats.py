@@ -19,7 +19,7 @@ LENGTH, GRAM = 400, 100
 RUN_STARTS = 1 << 21
 _PLACE_BITS = 22
 #: Up to so many different surroundings of a gram are merged byte by byte, more are compared by window hashes.
-COMPARED, SALTS = 128, 16
+COMPARED, SALTS = 8192, 16
 #: Suffixes that are merged together.
 MERGED = 4096
 
