@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -9,10 +10,16 @@ from classweave.llm import packing, tokens
 NAME = "byte_bpe_50k.json"
 
 
-def encoded(text):
+@cache
+def plain():
     tokenizer = Tokenizer.from_file(tokens.tokenizer_file(NAME))
     tokenizer.encode_special_tokens = True
-    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+    return tokenizer
+
+
+@cache
+def encoded(text):
+    return np.array([*plain().encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
 
 
 def test_the_curve_visits_every_cell_by_single_steps():
