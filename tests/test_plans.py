@@ -67,3 +67,15 @@ def test_command_line(spark, raw, tmp_path, capsys):
     main(["score", "--input", final, "--model", model, "--output", scored, "--key", KEY])
     main(["view", "--input", scored, "--model", model, "--key", KEY])
     assert "Predicted_Class" in capsys.readouterr().out
+
+
+def test_command_line_with_schema_format_and_wide_columns(spark, raw, tmp_path, capsys):
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cw.read_csv(spark, raw).schema.fields)
+    main(["audit", "--input", raw, "--format", "csv", "--schema", types])
+    assert "minority_percent" in capsys.readouterr().out
+    weighted, model = str(tmp_path / "weighted"), str(tmp_path / "model")
+    main(["weigh", "--input", raw, "--output", weighted, "--schema", types])
+    main(["train", "--input", weighted, "--format", "parquet", "--model", model, "--kind", "lr", "--folds", "2",
+          "--key", KEY, "--wide", "c_mktsegment", "--set", "maxIter=5"])
+    assert "accuracy" in capsys.readouterr().out
+    assert "c_mktsegment_idx" in cw.load_model(model).transform(cw.read_parquet(spark, weighted)).columns
