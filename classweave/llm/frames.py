@@ -35,12 +35,27 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of the batches that go to and from Python.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches of Python functions by bytes, unless the session has a bound of its own.
+
+    Batches are counted in rows otherwise, and so many long texts in a row would not fit into memory.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
     """Columns of `df` (all, or those in `keep`) and behind them the columns that `fn` makes from each Arrow batch.
 
     `fn` returns one array per field, or None in place of the dictionary for a batch without rows of interest; under the
     name "rows" it may return the indices of the input rows that its arrays belong to.
     """
+    bound_batches(df.sparkSession)
     kept = df.columns if keep is None else keep
     schema = T.StructType([df.schema[name] for name in kept] + fields)
     names = [f.name for f in fields]

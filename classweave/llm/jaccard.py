@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
 from classweave.llm.components import components
-from classweave.llm.frames import columns, free_name, runs_of_groups, written
+from classweave.llm.frames import bound_batches, columns, free_name, runs_of_groups, written
 
 SHINGLE_WORDS = 5
 #: The similarity as a fraction, so that the comparison is exact.
@@ -284,6 +284,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs = runs_needed(target_recall, similarity)
     if runs > TOKENS:
         raise ValueError("such a recall needs more runs than there are sampled tokens")
+    bound_batches(docs.sparkSession)
     names = [free_name(docs.columns, n) for n in ("class_id", "n_links", "component_id", "kept")]
     id_type = docs.schema[id_col].dataType
     slim = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("print"), F.col(text_col).alias("text"))

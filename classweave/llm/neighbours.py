@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm.components import components
-from classweave.llm.frames import columns, free_name, runs_of_groups, written
+from classweave.llm.frames import bound_batches, columns, free_name, runs_of_groups, written
 
 COSINE = 0.95
 #: Length of the neighbour lists, forest of first buckets, vectors per bucket, and the most that are compared in one group.
@@ -296,6 +296,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     counts as a vector and is kept only where it is linked with nothing that has one. An empty table gives an empty one.
     """
     spark = vectors.sparkSession
+    bound_batches(spark)
     names = [free_name(vectors.columns, n) for n in ("n_links", "component_id", "kept")]
     slim = vectors.select(F.col(id_col).alias("id"), _mark(vector_col).alias("mark"), F.col(vector_col).cast("array<double>").alias("v"))
     schema = T.StructType([*slim.schema.fields[:2], *T._parse_datatype_string("key bigint, vector binary, code binary").fields])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import columns, free_name, map_batches, runs_of_groups, written
+from classweave.llm.frames import bound_batches, columns, free_name, map_batches, runs_of_groups, written
 
 #: Bytes of a repeated string, and of the grams among which each string's anchor is chosen.
 LENGTH, GRAM = 400, 100
@@ -255,6 +255,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are these, as suffixes that begin at the gram, merged like Burrows-Wheeler transforms: refining their interleave
     gives their common prefixes, extending intervals to the left gives the windows that several of them hold.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("print"), F.col(text_col).alias("text"))
     schema = T.StructType([slim.schema["doc"], *T._parse_datatype_string(_ANCHOR).fields])
     found = written(slim.mapInArrow(_anchor_rows(length, gram), schema), "anchors")

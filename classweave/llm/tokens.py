@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from classweave.llm.frames import free_name
+from classweave.llm import textbytes as tb
+from classweave.llm.frames import bound_batches, free_name
 from classweave.sources.staging import fresh_path
 
 #: Distinct pieces of text whose ids a worker keeps.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_500_000
 #: Bytes of text that are tokenized together.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 #: Tokens in one block of the file; a longer document has a block of its own.
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
@@ -31,37 +32,42 @@ END_ID = 0
 _TAIL = ".,;:!?)]}*#%&$"
 
 
-class _Pieces(dict):
-    """The ids of pieces, each encoded when it is first asked for; when full, a new piece is encoded and not kept.
-
-    None for a piece that begins or ends with white space: there the text can't be cut.
-    """
-
-    def __init__(self, encoder: Encoder, prefix: str):
-        super().__init__()
-        self.encoder, self.prefix = encoder, prefix
-
-    def __missing__(self, piece: str) -> bytes | None:
-        stem = piece.rstrip(_TAIL)
-        if stem != piece and stem and stem[-1].isalpha() and stem[-1] < "\u0250":
-            # A letter and a sign behind it are in different parts.
-            tail = piece[len(stem) :]
-            tails = self.encoder.tails
-            if tail not in tails:
-                tails[tail] = self.encoder.ids(tail)
-            before = self[stem]
-            ids = None if before is None else before + tails[tail]
-            if len(self) > CACHE_PIECES // 2:
-                return ids
-        elif not piece or piece[0].isspace() or piece[-1].isspace():
-            return None
-        elif piece.isalpha() and max(piece) < "\u0250":
-            ids = self.encoder.word(self.prefix + piece)
-        else:
-            ids = self.encoder.ids(self.prefix + piece)
-        if len(self) < CACHE_PIECES:
-            self[piece] = ids
-        return ids
+class _Known:
+    """The ids of pieces by two 64-bit hashes of the piece and its form, as sorted arrays; a size of -1 means uncuttable."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.checks = np.zeros(0, dtype=np.uint64)
+        self.begin = np.zeros(0, dtype=np.int32)
+        self.size = np.zeros(0, dtype=np.int32)
+        self.flat = np.zeros(0, dtype=np.uint32)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places of the pieces, -1 for new ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        if len(self.keys) + len(keys) > CACHE_PIECES:
+            return
+        length = np.maximum(size, 0)
+        begin = np.cumsum(length) - length + len(self.flat)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.checks = np.insert(self.checks, at, checks[order])
+        self.begin = np.insert(self.begin, at, begin[order].astype(np.int32))
+        self.size = np.insert(self.size, at, size[order].astype(np.int32))
+        self.flat = np.concatenate([self.flat, flat])
+
+
+def _ragged(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` that begin and reach as given, one behind the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat((begin - (ends - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)]
 
 
 class Encoder:
@@ -80,15 +86,56 @@ class Encoder:
         # For a piece of letters only, which the split would leave whole.
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.tails: dict[str, bytes] = {}
-        self.first, self.later = _Pieces(self, ""), _Pieces(self, " ")  # at the start of a line, and behind a space
+        self.tails: dict[str, list[int]] = {}
+        self.known = _Known()
         self.feed = self.ids("\n")
 
-    def ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word(self, text: str) -> bytes:
-        return array("I", self.letters.encode(text, add_special_tokens=False).ids).tobytes()
+    def piece(self, piece: str, prefix: str) -> list[int] | None:
+        """The ids of a piece behind `prefix`; None where the text can't be cut."""
+        stem = piece.rstrip(_TAIL)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            return None
+        if stem == piece or not stem or not (stem[-1].isalpha() and stem[-1] < "\u0250"):
+            stem = piece
+        whole = self.letters.encode(prefix + stem, add_special_tokens=False).ids if stem.isalpha() and max(stem) < "\u0250" else self.ids(prefix + stem)
+        if stem == piece:
+            return whole
+        # A letter and a sign behind it are in different parts.
+        tail = piece[len(stem) :]
+        if tail not in self.tails:
+            self.tails[tail] = self.ids(tail)
+        return whole + self.tails[tail]
+
+    def _pieces(self, distinct: pa.Array, used: np.ndarray, form: int) -> tuple[np.ndarray, np.ndarray]:
+        """(size, ids) of the used pieces in one form: 0 behind a space, 1 at the start of a line; size -1 is uncuttable."""
+        offsets = np.frombuffer(distinct.buffers()[1], dtype=np.int32)[distinct.offset : distinct.offset + len(distinct) + 1]
+        data = np.frombuffer(distinct.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+        start, end = (offsets[:-1] - offsets[0])[used], (offsets[1:] - offsets[0])[used]
+        codes = tb.byte_codes(data)
+        salt = np.uint64(0xD6E8FEB86659FD93 >> form)
+        keys = tb.mix(tb.span_hash(tb.prefix_hash(codes), start, end) ^ salt)
+        checks = tb.span_hash(tb.prefix_hash(tb.mix(codes ^ salt)), start, end)
+        at = self.known.find(keys, checks)
+        new = np.flatnonzero(at < 0)
+        size = np.zeros(len(used), dtype=np.int64)
+        old = np.flatnonzero(at >= 0)
+        size[old] = self.known.size[at[old]]
+        made = [self.piece(p, "" if form else " ") for p in distinct.take(pa.array(used[new])).to_pylist()]
+        size[new] = [-1 if x is None else len(x) for x in made]
+        fresh = np.fromiter(chain.from_iterable(x for x in made if x), dtype=np.uint32)
+        length = np.maximum(size, 0)
+        begin = np.zeros(len(used), dtype=np.int64)
+        begin[old] = self.known.begin[at[old]]
+        begin[new] = np.cumsum(length[new]) - length[new]
+        flat = np.zeros(int(length.sum()), dtype=np.uint32)
+        is_old = np.repeat(at >= 0, length)
+        flat[is_old] = _ragged(self.known.flat, begin[old], length[old])
+        flat[~is_old] = fresh
+        self.known.add(keys[new], checks[new], size[new], fresh)
+        return size, flat
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """The ids of every text of a column without nulls."""
@@ -97,36 +144,37 @@ class Encoder:
         line_of_text, piece_of_line = lines.offsets.to_numpy(), pieces.offsets.to_numpy()
         coded = pieces.flatten().dictionary_encode()
         code = coded.indices.to_numpy()
-        distinct = coded.dictionary.to_pylist()
-        # Three forms of a piece: behind a space, first of a text, and first of a later line, with the line feed before it.
-        form = np.zeros(len(code), dtype=np.int8)
-        form[piece_of_line[:-1]] = 2
-        form[piece_of_line[line_of_text[:-1]]] = 1
-        used = np.zeros((3, len(distinct)), dtype=bool)
-        used[form, code] = True
-        table: list[bytes] = []
-        place = np.zeros((3, len(distinct)), dtype=np.int64)
-        cuttable = np.ones((3, len(distinct)), dtype=bool)
-        for k, (known, before) in enumerate(((self.later, b""), (self.first, b""), (self.first, self.feed))):
-            for u in np.flatnonzero(used[k]).tolist():
-                ids = known[distinct[u]]
-                if ids is None:
-                    cuttable[k, u] = False
-                    ids = b""
-                place[k, u] = len(table)
-                table.append(before + ids)
-        size = np.array([len(x) >> 2 for x in table])
-        begin = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(table), dtype="<u4")
-        row = place[form, code]
-        count = size[row]
+        first = np.zeros(len(code), dtype=np.int8)
+        first[piece_of_line[:-1]] = 1
+        row = np.zeros(len(code), dtype=np.int64)
+        sizes, flats, done = [], [], 0
+        for form in (0, 1):
+            own = first == form
+            used = np.zeros(len(coded.dictionary), dtype=bool)
+            used[code[own]] = True
+            place = np.cumsum(used) - 1 + done
+            row[own] = place[code[own]]
+            size, flat = self._pieces(coded.dictionary, np.flatnonzero(used), form)
+            sizes.append(size)
+            flats.append(flat)
+            done += len(size)
+        size, flat = np.concatenate(sizes), np.concatenate(flats)
+        uncuttable = size < 0
+        length = np.maximum(size, 0)
+        count = length[row]
+        ids = _ragged(flat, (np.cumsum(length) - length)[row], count)
+        # The line feeds stand before the first piece of each line but a text's first.
+        feeds = np.ones(len(piece_of_line) - 1, dtype=bool)
+        feeds[line_of_text[:-1]] = False
         ends = np.concatenate([[0], np.cumsum(count)])
-        shift = (begin[row] - ends[:-1]).astype(np.int32)
-        ids = flat[np.repeat(shift, count) + np.arange(ends[-1], dtype=np.int32)].tobytes()
-        text_end = ends[piece_of_line[line_of_text]] * 4
+        before = ends[piece_of_line[:-1][feeds]]
+        ids = np.insert(ids, np.repeat(before, len(self.feed)), np.tile(np.array(self.feed, dtype=np.uint32), len(before))).tobytes()
+        fed = np.concatenate([[0], np.cumsum(feeds)]) * len(self.feed)
+        text_end = (ends[piece_of_line[line_of_text]] + fed[line_of_text]) * 4
         out = [ids[s:e] for s, e in zip(text_end[:-1].tolist(), text_end[1:].tolist())]
-        for k in np.unique(np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(~cuttable[form, code]), side="right") - 1).tolist():
-            out[k] = self.ids(column[k].as_py())
+        whole = np.unique(np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(uncuttable[row]), side="right") - 1)
+        for k in whole.tolist():
+            out[k] = np.array(self.ids(column[k].as_py()), dtype="<u4").tobytes()
         return out
 
 
@@ -172,6 +220,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     documents without an id come first; equal ids stay next to each other; an empty table makes an empty one.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
