@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from classweave.llm.frames import columns, free_name
+from classweave.llm.frames import columns, free_name, written
 
 # The agreed patterns, the least number of characters, and the group that is counted.
 BASE = {
@@ -25,7 +28,9 @@ MAX_OWNERS, MAX_REPOSITORIES = 2, 4
 
 # Runs of hex digits are looked for by their least length: the same spans, found without stopping at every letter.
 _SEARCH = {**{k: p for k, (p, _, _) in (BASE | CANDIDATES).items()}, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"(?<![0-9a-f])[0-9a-f]{16,}"}
-_ANY = "|".join(f"(?:{p})" for p in [r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", _SEARCH["access"], r"[0-9a-f]{16}", *[CANDIDATES[k][0] for k in CANDIDATES]])
+#: What a text must contain for a span of each kind; in lower case where the pattern takes either.
+_LOWER_PARTS = {"assign": ("passw", "secret", "token", "key")}
+_PARTS = {"access": ("AKIA",), "issued": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza"), "jwt": ("eyJ",), "pem": ("-----BEGIN ",)}
 
 
 def _kind_spans(text: Column, kind: str) -> Column:
@@ -52,6 +57,16 @@ def _kind_spans(text: Column, kind: str) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["found"])
 
 
+def _may_hold(text: Column, kind: str) -> Column:
+    """False for most texts without a span of this kind: a plain search, which costs a small part of the pattern's."""
+    if kind == "hex":
+        return text.rlike("[0-9a-f]{16}")
+    if kind in _LOWER_PARTS:
+        lowered = F.lower(text)
+        return reduce(or_, [F.contains(lowered, F.lit(part)) for part in _LOWER_PARTS[kind]])
+    return reduce(or_, [F.contains(text, F.lit(part)) for part in _PARTS[kind]])
+
+
 def _ordered(spans: Column) -> Column:
     """Spans by start, then kind as listed."""
     rank = lambda x: F.array_position(F.array(*[F.lit(k) for k in KINDS]), x["kind"])
@@ -63,8 +78,8 @@ def find_spans(docs: DataFrame, text_col: str = "text", name: str = "spans") ->
     """`docs` with all base spans and candidates of each text, by start and kind, in a column `name`; null is an empty text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string>>)")
-    found = F.concat(*[_kind_spans(text, k) for k in KINDS])
-    return docs.withColumn(name, F.when(text.rlike(_ANY), _ordered(found)).otherwise(none))
+    found = F.concat(*[F.when(_may_hold(text, k), _kind_spans(text, k)).otherwise(none) for k in KINDS])
+    return docs.withColumn(name, F.when(reduce(or_, [_may_hold(text, k) for k in KINDS]), _ordered(found)).otherwise(none))
 
 
 def _hash(value: Column) -> Column:
@@ -107,10 +122,12 @@ def scan_secrets(
     names = {n: free_name(docs.columns, n) for n in ("spans", "n_live", "n_example")}
     raw, key, own_key, own_list = (free_name(docs.columns, n) for n in ("_raw", "_key", "_id", "_list"))
     found = find_spans(docs, text_col, raw)
-    credentials = ownership(found, raw, owner, repository, max_owners, max_repositories).drop("occurrences")
+    # Few documents hold a span, so those are written once: their owners and their lists of spans.
+    held = written(found.where(F.size(raw) > 0).select(owner.alias("owner"), repository.alias("repository"), F.col(raw).alias("list")), "secrets")
+    credentials = ownership(held, "list", F.col("owner"), F.col("repository"), max_owners, max_repositories).drop("occurrences")
 
     # What a document's spans look up: its own distinct credentials, joined by hash and put back together per list.
-    lists = found.where(F.size(raw) > 0).select(F.col(raw).alias("list")).select(F.xxhash64(F.to_json("list")).alias("id"), "list").distinct()
+    lists = held.select(F.xxhash64(F.to_json("list")).alias("id"), "list").distinct()
     looked = lists.select("id", "list", F.explode(F.array_distinct(F.transform("list", lambda x: _hash(x["value"])))).alias("credential"))
     judged = looked.join(credentials, "credential").groupBy("id", "list").agg(F.map_from_entries(F.collect_list(F.struct("credential", F.struct("owners", "repositories", "live")))).alias("by"))
 
