@@ -16,11 +16,23 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 18, 0),
     "hex": (r"[0-9a-f]+", 16, 0),
 }
+# What stands between the lines of a key in a file, a literal or markup; a field such as DEK-Info; the lines themselves.
+_GAP = r"""(?:\\+[nrt]|\\+u000[aAdD]|<[^<>]{0,20}>|&#?\w{1,8};|[\s"'`,;*#>|\\]|\+\s)*+"""
+_FIELD = r"(?:[A-Z][A-Za-z-]{2,30}:[^\r\n\\]{0,200}+" + _GAP + ")*+"
+_RUN = r"[A-Za-z0-9+/]{16,}+={0,2}"
+_PEM_HEADER, _PEM_END = (rf"-----{word} [A-Z ]*PRIVATE KEY-----" for word in ("BEGIN", "END"))
+#: A private key: header, body and END line. Without an END line the body is its run of base64, with the short line that may end it.
+PEM = (
+    rf"{_PEM_HEADER}(?:"
+    rf"[A-Za-z0-9+/=\s\\\"']*+{_PEM_END}"
+    rf"|(?={_GAP}{_FIELD}{_RUN})[^-]*+(?:-(?!----)[^-]*+)*+{_PEM_END}"
+    rf"|{_GAP}{_FIELD}{_RUN}(?:{_GAP}{_RUN})*+(?:(?:\\+[nrt]|\s)++[A-Za-z0-9+/]++={{0,2}}(?=[\r\n\"'\\]|$))?)?"
+)
 #: What else may be a credential: taken only where its ownership says so.
 CANDIDATES = {
     "issued": (r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", 1, 0),
     "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 1, 0),
-    "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0),
+    "pem": (PEM, 1, 0),
 }
 KINDS = [*BASE, *CANDIDATES]
 #: A credential that more owners or repositories than this carry is a copied example.
@@ -33,6 +45,13 @@ _LOWER_PARTS = {"assign": ("passw", "secret", "token", "key")}
 _PARTS = {"access": ("AKIA",), "issued": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza"), "jwt": ("eyJ",), "pem": ("-----BEGIN ",)}
 
 
+def _key_body(hit: Column) -> Column:
+    """The base64 of a private key, however its lines are broken, quoted or indented; of a header alone, the header."""
+    body = F.regexp_replace(hit, F.lit(rf"^{_PEM_HEADER}|{_PEM_END}$|\\+u000[aAdD]|\\+[nrt]|<[^<>]{{0,20}}>|&#?\w{{1,8}};"), F.lit(" "))
+    body = F.regexp_replace(body, F.lit(r"\+(?=\s)|[^A-Za-z0-9+/=]+"), F.lit(""))
+    return F.when(body == "", F.regexp_extract(hit, _PEM_HEADER, 0)).otherwise(body)
+
+
 def _kind_spans(text: Column, kind: str) -> Column:
     """array<struct<start, end, kind, value>>: the leftmost non-overlapping matches of one kind, in code points.
 
@@ -43,6 +62,7 @@ def _kind_spans(text: Column, kind: str) -> Column:
     gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    counted = F.transform(whole, _key_body) if kind == "pem" else counted
     pairs = F.arrays_zip(gaps.alias("gap"), whole.alias("hit"), counted.alias("value"))
     # The last gap has no match behind it; its fields are null and add nothing.
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string>>)").alias("found"))
@@ -113,7 +133,7 @@ def scan_secrets(
     New columns (with underscores appended where `docs` has the name): spans, array of (start, end, kind, value, owners,
     repositories, live) by start and kind, in code points; n_live and n_example, long. A base span always stays; a
     candidate stays only where few owners and repositories carry it, since a widely copied one is a documentation
-    example. Owners default to the column `source`, repositories to `source` and `lang`; a null counts as an owner of its
+    example. A private key reaches from its header to its END line, and its body is the value that owners are counted by. Owners default to the column `source`, repositories to `source` and `lang`; a null counts as an owner of its
     own. A null or empty text has no spans; repeated rows are scanned one by one and count once per repository. Documents
     without a span are not shuffled.
     """
