@@ -23,8 +23,12 @@ NEIGHBOURS, TABLES, BUCKET, GROUP = 12, 10, 64, 256
 ROUNDS, CHANGED = 4, 0.002
 #: Neighbours of a full list through which it is enlarged.
 PIVOTS = 8
-#: Vectors whose neighbours are found by brute force to audit the graph, and the recall below which it is built further.
-AUDITED, RECALL, AUDITS = 256, 0.995, 3
+#: Chance that a pair at the threshold shares a first bucket: as many tables as it takes, `TABLES` at a time.
+MET = 0.985
+#: Vectors whose links are found by brute force to audit the graph: some with more links than a list is long, more of the others.
+AUDITED = (256, 1024)
+#: The recall below which the graph is built further, from so many forests at most.
+RECALL, AUDITS = 0.995, 8
 
 # Vectors of length 1 as 16-bit integers: their products are exact, and a cosine is known to a few ten-thousandths.
 _UNIT = 8192
@@ -141,21 +145,30 @@ def _worst(size: int) -> Column:
     return F.when(F.size("list") >= size, F.element_at("list", -1)["dot"]).otherwise(F.lit(-(1 << 30)))
 
 
-def _forest(nodes: DataFrame, lists: DataFrame | None, tables: int, seed: int) -> DataFrame:
+def _bits(n: int) -> int:
+    """Hyperplanes per table, so that a bucket has about `BUCKET` of n vectors."""
+    return max(1, min(40, round(math.log2(max(2, n / BUCKET)))))
+
+
+def tables_needed(bits: int, cosine: float = COSINE, met: float = MET) -> int:
+    """Tables until a pair at the threshold shares a first bucket with probability `met`."""
+    once = max(1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi, 0.5) ** bits
+    return max(TABLES, math.ceil(math.log(1 - met) / math.log1p(-once))) if once < 1 else TABLES
+
+
+def _forest(nodes: DataFrame, lists: DataFrame | None, tables: int, bits: int, seed: int) -> DataFrame:
     """Neighbour lists from random buckets; of a large bucket, parts are compared within."""
-    n = nodes.count()
-    bits = max(1, min(40, round(math.log2(max(2, n / BUCKET)))))
     schema = T.StructType([nodes.schema["key"], nodes.schema["code"], T.StructField("buckets", T.ArrayType(T.LongType()))])
     placed = nodes.select("key", "code").mapInArrow(_first_buckets(tables, bits, seed), schema)
     each = placed.select("key", "code", F.posexplode("buckets").alias("t", "b")).select("key", "code", F.xxhash64("t", "b", F.lit(seed)).alias("bucket"))
-    return _compared(each, GROUP, lists)
+    return _compared(each, GROUP, lists, seed)
 
 
-def _compared(members: DataFrame, size: int, lists: DataFrame | None) -> DataFrame:
-    """Lists from comparing all members of each bucket; one with more than `size` is dealt out into parts by hash."""
+def _compared(members: DataFrame, size: int, lists: DataFrame | None, seed: int) -> DataFrame:
+    """Lists from comparing all members of each bucket; one with more than `size` is dealt out into parts by hash, by another one for each seed."""
     members = written(members, "members")
     sizes = members.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
-    parts = members.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("key", "bucket"), F.ceil(F.col("c") / size)).cast("int"))
+    parts = members.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("key", "bucket", F.lit(seed)), F.ceil(F.col("c") / size)).cast("int"))
     if lists is None:
         parts = parts.withColumn("worst", F.lit(-(1 << 30)))
     else:
@@ -164,21 +177,26 @@ def _compared(members: DataFrame, size: int, lists: DataFrame | None) -> DataFra
     return parts.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_best_within(NEIGHBOURS), _LIST)
 
 
-def _refined(nodes: DataFrame, lists: DataFrame) -> DataFrame:
+def _refined(nodes: DataFrame, lists: DataFrame, seed: int) -> DataFrame:
     """One round: around each vector, its neighbours and those it is a neighbour of are compared with each other."""
     forward = lists.select("key", F.explode("list.id").alias("id"))
     around = forward.select(F.col("key").alias("bucket"), F.col("id").alias("key")).union(forward.select(F.col("id").alias("bucket"), "key"))
     around = around.union(nodes.select(F.col("key").alias("bucket"), "key")).distinct()
-    return _compared(around.join(nodes.select("key", "code"), "key").select("key", "code", "bucket"), GROUP, lists)
+    return _compared(around.join(nodes.select("key", "code"), "key").select("key", "code", "bucket"), GROUP, lists, seed)
 
 
-def _graph(nodes: DataFrame, lists: DataFrame | None, tables: int, seed: int) -> DataFrame:
+def _graph(nodes: DataFrame, lists: DataFrame | None, cosine: float, attempt: int) -> DataFrame:
     """Lists from a forest, refined until they hardly change."""
-    new = _forest(nodes, lists, tables, seed)
-    lists = written(_merged(new if lists is None else lists.union(new), NEIGHBOURS), "lists")
-    places = nodes.count() * NEIGHBOURS
-    for _ in range(ROUNDS):
-        better = written(_merged(lists.union(_refined(nodes, lists)), NEIGHBOURS), "lists")
+    n = nodes.count()
+    bits = _bits(n)
+    tables = tables_needed(bits, cosine)
+    # A large forest is taken in parts, so that no more copies of the vectors are on disk at once.
+    for begin in range(0, tables, TABLES):
+        new = _forest(nodes, lists, min(TABLES, tables - begin), bits, attempt + AUDITS * begin)
+        lists = written(_merged(new if lists is None else lists.union(new), NEIGHBOURS), "lists")
+    places = n * NEIGHBOURS
+    for turn in range(ROUNDS):
+        better = written(_merged(lists.union(_refined(nodes, lists, attempt * ROUNDS + turn)), NEIGHBOURS), "lists")
         old = lists.select("key", F.col("list").alias("old"))
         changed = better.join(old, "key", "left").select(F.sum(F.size(F.array_except("list", F.coalesce("old", F.expr("cast(array() AS array<struct<dot:int,id:bigint>>)"))))).alias("n")).first()["n"] or 0
         lists = better
@@ -224,16 +242,16 @@ def _decided(pairs: DataFrame, nodes: DataFrame, column: str, judge) -> DataFram
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "first").mapInArrow(judge, "a bigint, b bigint")
 
 
-def _enlarged(nodes: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
+def _enlarged(nodes: DataFrame, lists: DataFrame, cosine: float, known: DataFrame, seed: int) -> DataFrame:
     """(a, b), in both directions: pairs that may reach the threshold, with the lists that are full of such enlarged.
 
-    A full list takes in what stands in the lists of some of its neighbours, again and again, until none grows.
+    A full list takes in what stands in the lists of some of its neighbours, again and again, until none grows. The
+    `known` links (a, b) are there from the start; with another seed, lists go through other neighbours.
     """
     least = int((cosine - _SLACK) * _UNIT * _UNIT)
     near = written(lists.select("key", F.explode("list").alias("x")).where(F.col("x.dot") >= least).select(F.col("key").alias("a"), F.col("x.id").alias("b")), "near")
-    both = written(near.union(near.select("b", "a")).distinct(), "near")
+    both = written(near.union(near.select("b", "a")).union(known.select("a", "b")).distinct(), "near")
     active = both.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") >= NEIGHBOURS).select("a")
-    seed = 0
     while True:
         gathered = both.groupBy("a").agg(F.collect_set("b").alias("list"))
         growing = gathered.join(active, "a", "left_semi")
@@ -251,11 +269,20 @@ def _enlarged(nodes: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
         seed += 1
 
 
-def recall_of_links(nodes: DataFrame, links: DataFrame, cosine: float = COSINE, audited: int = AUDITED) -> float:
-    """Share of the true links of about `audited` vectors, found by brute force against all vectors, that `links` (a, b) has; 1 without any."""
-    n = nodes.count()
-    pick = F.pmod(F.xxhash64("key", F.lit(99)), F.lit(1 << 30)) < int(min(1.0, audited / max(1, n)) * (1 << 30))
-    sample = nodes.where(pick).select("key", "vector").collect()
+def recall_of_links(nodes: DataFrame, links: DataFrame, cosine: float = COSINE, audited: tuple[int, int] = AUDITED) -> float:
+    """Mean share of a vector's own true links that `links` (a, b) has, by brute force for about `audited` vectors; 1 without any.
+
+    Vectors that have more links than a list is long and the others are sampled and averaged apart, and the lower mean
+    counts: the links of a dense group would outnumber those of all pairs and small groups.
+    """
+    degrees = links.groupBy(F.col("a").alias("key")).agg(F.count("*").alias("c"))
+    small = F.coalesce("c", F.lit(0)) <= NEIGHBOURS
+    kinds = written(nodes.select("key").join(degrees, "key", "left").select("key", small.alias("small")), "kinds")
+    counts = {r["small"]: r["count"] for r in kinds.groupBy("small").count().collect()}
+    limit = {kind: int(min(1.0, audited[kind] / n) * (1 << 30)) for kind, n in counts.items()}
+    below = F.when(F.col("small"), limit.get(True, 0)).otherwise(limit.get(False, 0))
+    asked = kinds.where(F.pmod(F.xxhash64("key", F.lit(99)), F.lit(1 << 30)) < below)
+    sample = nodes.select("key", "vector").join(F.broadcast(asked), "key").collect()
     if not sample:
         return 1.0
     by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -270,15 +297,17 @@ def recall_of_links(nodes: DataFrame, links: DataFrame, cosine: float = COSINE,
             lengths = pc.binary_length(batch.column(1)).to_numpy()
             for size, (ids, vectors) in shared.value.items():
                 rows = np.flatnonzero(lengths == size)
-                if len(rows):
-                    x = _matrix(pa.chunked_array([batch.column(1).take(pa.array(rows))]), "<f8")
+                for begin in range(0, len(rows), 1024):
+                    some = rows[begin : begin + 1024]
+                    x = _matrix(pa.chunked_array([batch.column(1).take(pa.array(some))]), "<f8")
                     i, j = np.nonzero(x @ vectors.T >= cosine)
-                    keep = keys[rows][i] != ids[j]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[j][keep]), pa.array(keys[rows][i][keep])], names=["a", "b"])
+                    keep = keys[some][i] != ids[j]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[j][keep]), pa.array(keys[some][i][keep])], names=["a", "b"])
 
     truth = nodes.select("key", "vector").mapInArrow(true_links, "a bigint, b bigint")
-    total, found = truth.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").select(F.count("*"), F.count("hit")).first()
-    return found / total if total else 1.0
+    shares = truth.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("a").agg((F.count("hit") / F.count("*")).alias("share"))
+    means = shares.join(F.broadcast(asked.withColumnRenamed("key", "a")), "a").groupBy("small").agg(F.avg("share").alias("mean")).collect()
+    return min((r["mean"] for r in means), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
@@ -288,7 +317,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     vector's neighbours and reverse neighbours with each other, until few places change; a vector that very many have as
     a neighbour is dealt with in parts. Lists full of pairs at the threshold are enlarged through their neighbours' lists
     until none grows. All remaining pairs are decided by the cosine in double precision. An audit compares some vectors
-    with all; below `RECALL` the graph is built further from another forest.
+    with all, those with few links apart; below `RECALL` the graph is built further from another forest, and if the last
+    one still falls short, the call raises with the recall that was measured.
 
     n_links counts the other vectors linked directly, equal ones included; component_id is the smallest id reachable,
     and kept says whether it is the row's own. Vectors that are null, empty, zero, or hold null or non-finite components
@@ -306,12 +336,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     lists = None
     links = spark.createDataFrame([], "a bigint, b bigint")
     for attempt in range(AUDITS):
-        lists = _graph(nodes, lists, TABLES, attempt)
-        pairs = _enlarged(nodes, lists, cosine).where("a < b")
+        lists = _graph(nodes, lists, cosine, attempt)
+        pairs = _enlarged(nodes, lists, cosine, links, 1000 * attempt).where("a < b")
         once = written(_decided(pairs, nodes, "vector", _exact(cosine)), "links")
         links = once.union(once.select("b", "a"))
-        if recall_of_links(nodes, links, cosine) >= RECALL:
+        recall = recall_of_links(nodes, links, cosine)
+        if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"after {AUDITS} forests only {recall:.4f} of the links of an audited vector are found; {RECALL} are needed")
 
     weights = nodes.select(F.col("key").alias("b"), "weight")
     counts = links.join(weights, "b").groupBy(F.col("a").alias("key")).agg(F.sum("weight").alias("linked"))

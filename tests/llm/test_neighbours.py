@@ -78,3 +78,32 @@ def test_components(spark, edges):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_the_audit_sees_lost_pairs_beside_a_dense_group(spark):
+    rng = np.random.default_rng(5)
+    centre, others = rng.standard_normal(32), rng.standard_normal((200, 32))
+    vectors = [centre + 0.01 * rng.standard_normal(32) for _ in range(400)] + [v + 0.01 * rng.standard_normal(32) for v in others for _ in range(2)]
+    nodes = spark.createDataFrame([(k, bytearray((v / np.linalg.norm(v)).astype("<f8").tobytes())) for k, v in enumerate(vectors)], "key long, vector binary")
+    dense = [(a, b) for a in range(400) for b in range(400) if a != b]
+    pairs = [p for k in range(400, 800, 2) for p in ((k, k + 1), (k + 1, k))]
+    recall = lambda found: neighbours.recall_of_links(nodes, spark.createDataFrame(found, "a long, b long"))
+    assert recall(dense + pairs) == 1
+    assert 0.3 < recall(dense + pairs[:200]) < 0.7  # half of the pairs are lost, a thousandth of all links
+
+
+def test_more_tables_for_more_bits():
+    assert neighbours.tables_needed(10) == neighbours.TABLES
+    for bits in (12, 18, 24):
+        met = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert 1 - (1 - met) ** neighbours.tables_needed(bits) >= 0.985
+
+
+def test_a_recall_too_low_raises_after_the_last_forest(spark, monkeypatch):
+    df = spark.createDataFrame([(k, [1.0, k / 100]) for k in range(5)], "vec_id long, embedding array<double>")
+    seen = []
+    monkeypatch.setattr(neighbours, "AUDITS", 2)
+    monkeypatch.setattr(neighbours, "recall_of_links", lambda *a: seen.append(a) or 0.5)
+    with pytest.raises(RuntimeError, match="0.5"):
+        neighbours.near_duplicates(df)
+    assert len(seen) == 2
