@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import columns, free_name, map_batches
+from classweave.llm.frames import columns, free_name, map_batches, written
 
 WINDOW = 13
 #: Share of hit words from which a document counts as contaminated, as a fraction.
@@ -106,11 +106,11 @@ def _scan(index: _Index, column: pa.Array, cleaned: bool) -> dict[str, list]:
     return out
 
 
-def _joined(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, window: int) -> DataFrame:
-    """The same columns by joining windows as texts, for test sets of any size. Needs unique ids."""
+def _joined(docs: DataFrame, benchmark: DataFrame, key_col: str, text_col: str, item_col: str, item_text: str, window: int) -> DataFrame:
+    """The same columns by joining windows as texts, for test sets of any size. `key_col` is a key of the rows."""
     index = item_windows(benchmark, item_col, item_text, window).withColumn("n", F.size(F.split("words", " ")))
     lengths = F.array(*[F.lit(r[0]) for r in index.select("n").distinct().orderBy("n").collect()]).cast("array<int>")
-    split = docs.select(F.col(id_col).alias("doc"), words(F.col(text_col)).alias("w"))
+    split = docs.select(F.col(key_col).alias("doc"), words(F.col(text_col)).alias("w"))
     windows = split.select("doc", F.explode(lengths).alias("n"), "w").where(F.size("w") >= F.col("n"))
     windows = windows.select("doc", "n", F.explode(F.expr("transform(sequence(0, size(w) - n), i -> struct(i AS at, array_join(slice(w, i + 1, n), ' ') AS words))")).alias("x"))
     hits = windows.select("doc", "n", "x.at", "x.words").join(index.drop("n"), "words")
@@ -119,7 +119,7 @@ def _joined(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, i
     return (
         split.select("doc", F.size("w").cast("long").alias("n_words"))
         .join(positions, "doc", "left").join(items, "doc", "left")
-        .select(F.col("doc").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        .select(F.col("doc").alias(key_col), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     )
 
 
@@ -143,7 +143,7 @@ def contamination(
     `share`; with `cleaned` also that text without the hit passages. A null or empty text has no words and is clean, as
     is every text where the test set is empty. Repeated rows are judged one by one; an item without words never occurs;
     an item whose id is null is found but not named. Rows neither move nor get lost. Test sets of more than
-    `broadcast_bytes` are joined instead, which needs unique, non-null ids in `id_col` and offers no `cleaned`.
+    `broadcast_bytes` are joined instead, by a row key of their own, so the rows are the same; this offers no `cleaned`.
     """
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     names = {n: free_name(docs.columns, n) for n in ("n_words", "n_hit", "items", "contaminated", "cleaned")}
@@ -151,10 +151,12 @@ def contamination(
     if size > broadcast_bytes:
         if cleaned:
             raise ValueError(f"the test set has {size} bytes; passages are cut only up to broadcast_bytes")
-        found = _joined(docs, benchmark, id_col, text_col, item_col, item_text, window)
-        key = free_name([*docs.columns, *names.values()], "_doc")
-        found = found.select(F.col(id_col).alias(key), *[F.col(n).alias(names[n]) for n in ("n_words", "n_hit", "items")])
-        out = docs.join(found, F.col(id_col) == F.col(key)).drop(key)
+        # A key of the rows' own, written once: ids may be null or repeated.
+        own, key = (free_name([*docs.columns, *names.values()], n) for n in ("_row", "_doc"))
+        keyed = written(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+        found = _joined(keyed, benchmark, own, text_col, item_col, item_text, window)
+        found = found.select(F.col(own).alias(key), *[F.col(n).alias(names[n]) for n in ("n_words", "n_hit", "items")])
+        out = keyed.join(found, F.col(own) == F.col(key), "left").select(*columns(docs.columns), *columns(names[n] for n in ("n_words", "n_hit", "items")))
     else:
         grouped = item_windows(benchmark, item_col, item_text, window).groupBy("words").agg(F.collect_set("item"))
         index = docs.sparkSession.sparkContext.broadcast(_Index([(r[0], r[1]) for r in grouped.collect()]))

@@ -64,3 +64,14 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs.where("false"), none).collect() == []
     with pytest.raises(ValueError):
         decontaminate.contamination(docs, spark.createDataFrame([(1, "x" * 50)], "item_id int, text string"), cleaned=True, broadcast_bytes=10)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 10])
+def test_null_and_repeated_ids_on_both_paths(spark, limit):
+    passage, other = (" ".join(f"{p}{k}" for k in range(15)) for p in "wv")
+    texts = [(None, passage), (None, "clean words"), (1, passage), (1, other), (1, "x " + passage), (1, passage), (2, "a b c")]
+    bench = [("q", passage), ("r", other)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    out = decontaminate.contamination(docs, spark.createDataFrame(bench, "item_id string, text string"), broadcast_bytes=limit)
+    got = sorted(((r["doc_id"], r["text"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in out.collect()), key=repr)
+    assert got == sorted(((*row, *judged) for row, judged in zip(texts, brute([t for _, t in texts], bench))), key=repr)
