@@ -341,7 +341,25 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """`docs` with one document of each component. Same columns."""
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = True, **options) -> DataFrame:
+    """`docs` with one document of each component. Same columns.
+
+    Rows equal in id and text stay together, or, without `repeats`, a single one of them stays; a text without words
+    then stays once per id as well.
+    """
     judged = similar_documents(docs, id_col, text_col, **options)
-    return judged.where(F.col(judged.columns[-1])).select(*columns(docs.columns))
+    kept = judged.where(F.col(judged.columns[-1])).select(*columns(docs.columns))
+    if repeats:
+        return kept
+    key, own_id, own_key, rows = (free_name(docs.columns, n) for n in ("_fingerprint", "_id", "_own", "_rows"))
+    print_of = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    # Counted within each task first; only rows that are there more than once are grouped.
+    counts = docs.select(F.col(id_col).alias(own_id), print_of.alias(own_key)).groupBy(own_id, own_key).agg(F.count("*").alias(rows)).where(F.col(rows) > 1)
+    counts = written(counts, "repeats")
+    if counts.isEmpty():
+        return kept
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key))
+    keyed = kept.withColumn(key, print_of)
+    once = keyed.join(counts, same, "left_anti")
+    several = keyed.join(counts, same, "left_semi").dropDuplicates([id_col, key])
+    return once.unionAll(several).select(*columns(docs.columns))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from classweave.llm import jaccard, queries
 from tests.llm.test_textbytes import words
 
@@ -95,3 +96,13 @@ def test_the_query_on_the_given_table(spark, sf_dir):
     assert len(got) == len(rows)
     for k, (i, _) in enumerate(rows):
         assert (got[i]["class_id"], got[i]["n_links"], got[i]["component_id"]) == (min(rows[j][0] for j in same[k]), len(links[k]), min(rows[j][0] for j in group[k]))
+
+
+def test_the_pipeline_keeps_one_of_repeated_rows(spark, sf_dir):
+    text = "a text of more than five words that stands here several times"
+    alone = "alone, without any id at all"
+    rows = [(1, text, "en")] * 40 + [(2, text, "en"), (3, "another text altogether with some words", "en"), (None, alone, "en"), (None, alone, "en"), (1, "same id, other words, which are kept too", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    kept = corpus_pipeline.one_of_each_group(spark, df, sf_dir)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted({r for r in rows if r[0] != 2}, key=repr)
