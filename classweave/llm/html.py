@@ -29,22 +29,32 @@ _WORDS = set(
     "comment comments commentlist disqus respond reply replies discussion "
     "share sharing social related recommended recommendations widget widgets search searchbox skip hidden".split()
 )
+#: Of these, words that headings, sections and boxes of an article have too: inside one they count only as a whole name.
+_AMBIGUOUS = set("discussion related side search searchbox notice notices alert header sharing social share reply replies respond recommended recommendations disclaimer promotion subscription banner".split())
+_TEXTUAL = set("h1 h2 h3 h4 h5 h6 p".split())
 _ABOUT = {"has", "with", "no", "without", "layout"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _COMMENT = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion"}
 
 
-def _names(attributes: list[tuple[str, str | None]]) -> set[str]:
-    """The words of an element's class, id and role; `hidden` for one that is not shown."""
+def _names(attributes: list[tuple[str, str | None]], inside: str = "") -> set[str]:
+    """The words of an element's class, id and role; `hidden` for one that is not shown.
+
+    Inside an article (`inside` is the element's tag) ids of headings and paragraphs, which are made from their text, say
+    nothing, and ambiguous words only say something as a whole class or role, or with another such word.
+    """
     out: set[str] = set()
     for key, value in attributes:
         value = value or ""
         if key in ("class", "id", "role", "data-role"):
+            if key == "id" and inside in _TEXTUAL:
+                continue
             for name in value.split():
                 parts = [x.lower() for x in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", name) if x]
                 # A box that says it has a sidebar, or none, is not the sidebar.
                 if parts and parts[0] not in _ABOUT and parts[-1] not in _ABOUT:
-                    out.update(parts)
+                    sure = not inside or len(parts) == 1 and key != "id" or len(set(parts) & _WORDS) > 1
+                    out.update(x for x in parts if sure or x not in _AMBIGUOUS)
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             out.add("hidden")
     return out
@@ -109,7 +119,8 @@ class _Lines(HTMLParser):
             self._pop(k)
         elif tag in _BLOCK and (k := self._find({"p"}, _GROUP | {"li", "blockquote", "table"})) is not None:
             self._pop(k)
-        names = _names(attrs) if attrs else set()
+        article = any(self.kinds[g] in ("article", "main") for g in self.groups)
+        names = _names(attrs, tag if article else "") if attrs else set()
         if tag in ("main", "article") and self.apart and not names & _COMMENT and not any(why == "comment" or t in ("head", "script", "style", "aside", "form", "template") for t, why in self.open):
             self._pop(next(k for k, (_, why) in enumerate(self.open) if why))  # a menu or an advert that was never closed
         if tag in _BLOCK:
@@ -181,8 +192,9 @@ def main_text(html: str | None) -> str:
     inner = [g for g in marked if not any(g in line[3] and line[3].index(g) < len(line[3]) - 1 and any(h in marked for h in line[3][line[3].index(g) + 1 :]) for line in lines)]
     chosen = set(inner) or {max((g for g in weight if weight[g] >= 0.6 * total), default=-1)}
     inside = np.array([not x[3] or chosen == {-1} or bool(chosen & set(x[3])) for x in lines])
-    # Three or more lines in a row that are links and nothing else are a menu, whatever they are called.
-    only_links = (linked >= 0.9 * chars) & np.array([x[4] != "p" for x in lines])
+    # Three or more lines in a row that are links and nothing else are a menu, whatever they are called, but in an article.
+    article = np.array([bool(set(inner) & set(x[3])) for x in lines])
+    only_links = ~article & (linked >= 0.9 * chars) & np.array([x[4] != "p" for x in lines])
     menu = np.zeros(len(lines), dtype=bool)
     begin = 0
     for k in range(1, len(lines) + 1):

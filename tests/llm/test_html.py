@@ -62,3 +62,19 @@ def test_the_query_against_the_given_pages(spark, sf_dir):
         blocks = [" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
         assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("kind", ["article", "main"])
+@pytest.mark.parametrize(
+    ("inner", "blocks"),
+    [
+        (f"<h2 id=discussion>Discussion</h2><p>{LONG}</p><h2 id='related-work'>Related work</h2><p id=search>{LONG}</p>", ["Discussion", LONG, "Related work", LONG]),
+        (f"<p>{LONG}</p><section id='side-effects'><h3 id='side-effects-1'>Side effects</h3><p>{LONG}</p></section><section id=discussion><p>End.</p></section>", [LONG, "Side effects", LONG, "End."]),
+        (f"<p>{LONG}</p><div class='search-results'>{LONG}</div>", [LONG, LONG]),
+        (f"<p>{LONG}</p><h2>Sources</h2><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>", [LONG, "Sources", "One", "Two", "Three"]),
+        (f"<p>{LONG}</p><div class=related>Other</div><div class='social-share'>Share</div><div class='cookie-notice'>Ok</div><div class=comments><p>{LONG}</p></div><div id=comments>x</div>", [LONG]),
+    ],
+)
+def test_articles_keep_their_parts(kind, inner, blocks):
+    menu = "<div><div><a href=a>A</a></div><div><a href=b>B</a></div><div><a href=c>C</a></div></div>"
+    assert html.main_text(page(f"{menu}<{kind}>{inner}</{kind}>{menu}")).split("\n\n") == blocks
