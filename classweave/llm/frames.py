@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -49,6 +50,15 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Give back what a Python worker has freed: it waits for its next task beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
     """Columns of `df` (all, or those in `keep`) and behind them the columns that `fn` makes from each Arrow batch.
 
@@ -71,6 +81,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array
             if "rows" in made:
                 columns = [c.take(made["rows"]) for c in columns]
             yield pa.RecordBatch.from_arrays([*columns, *(made[n] for n in names)], names=out_names)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 

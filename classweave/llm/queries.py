@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from classweave.llm import decontaminate, html, jaccard, language, neighbours, packing, repeats, secrets, tokens, urls
+from classweave.llm import alignment, decontaminate, html, jaccard, language, neighbours, packing, periods, repeats, secrets, tokens, toxicity, urls
 from classweave.llm.frames import table
 
 
@@ -85,6 +85,37 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The public sentence piece model that is aligned with it.
+PIECES = "piece_bpe_32k.model"
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut each document, and how usual its links are in the corpus."""
+    aligned = alignment.align_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER, PIECES, keep=["doc_id"])
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of each document's words, and what is left without their repetitions."""
+    docs = periods.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periods.collapse_runs(docs, keep=["doc_id"])
+    best = periods.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]), F.lit("\n")))
+    found = found.select("doc_id", "n_words", "runs", best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col(f"best.{n}").alias(n) for n in ("start", "length", "period")],
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256", "n_words",
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of each document, learnt from the labels of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), may_learn=~toxicity.held_out("id"))
+    judged = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return judged.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_token_codes": op2_token_codes,
@@ -96,4 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
+    "op11_alignment": op11_alignment,
+    "op12_periods": op12_periods,
+    "op13_toxicity": op13_toxicity,
 }
