@@ -6,6 +6,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,13 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.functions import quoted
+from classweave.llm import textbytes as tb
 from classweave.llm.frames import bound_batches, columns, free_name, release_memory, written
 from classweave.llm.tokens import tokenizer_file
 
 #: Bytes of text that are aligned together; a longer text is aligned by itself.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 #: Distinct pieces of text whose tokens a worker keeps.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 1_000_000
+#: New pieces that are read as one text.
+JOINED_PIECES = 500
 #: Distinct pairs of ids after which a task begins a new block.
 BLOCK_PAIRS = 1 << 19
 #: What a pair's number has for its second id.
@@ -37,6 +41,39 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+class _Known:
+    """The ids of pieces on both sides, found by two 64-bit hashes of the piece; a piece that has to be read whole has none."""
+
+    def __init__(self) -> None:
+        self.keys, self.checks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.begin, self.size = np.zeros((2, 0), dtype=np.int32), np.zeros((2, 0), dtype=np.int32)
+        self.flat = [np.zeros(0, dtype=np.uint32)] * 2
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places of the pieces, -1 for new ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, size: np.ndarray, flat: list[np.ndarray]) -> None:
+        if len(self.keys) + len(keys) > CACHE_PIECES:
+            return
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        begin = np.cumsum(size, axis=1) - size + np.array([[len(x)] for x in self.flat])
+        self.keys, self.checks = np.insert(self.keys, at, keys[order]), np.insert(self.checks, at, checks[order])
+        self.begin = np.insert(self.begin, at, begin[:, order].astype(np.int32), axis=1)
+        self.size = np.insert(self.size, at, size[:, order].astype(np.int32), axis=1)
+        self.flat = [np.concatenate([old, new.astype(np.uint32)]) for old, new in zip(self.flat, flat)]
+
+
+def _stretches(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` that begin and reach as given, one behind the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Pair:
     """Both tokenizers of a worker, the bytes of each of their ids, and the tokens of pieces met before."""
 
@@ -51,69 +88,110 @@ class Pair:
         self.b = SentencePieceProcessor(model_file=second)
         byte_of = _byte_level()
         names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        self.a_bytes = [bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode() for name in names]
-        size = self.b.get_piece_size()
-        pieces = [self.b.id_to_piece(i) for i in range(size)]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.a_size = np.array([len(x) for x in self.a_bytes])
-        self.b_size = np.array([len(x) for x in self.b_bytes])
+        a_bytes = [bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode() for name in names]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        #: The bytes of every id of either side, and how many.
+        self.bytes = [pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)]
+        self.sizes = [np.array([len(x) for x in side]) for side in (a_bytes, b_bytes)]
         #: No piece of the second vocabulary reaches over the end of a word, so texts may be cut there.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.known = _Known()
         # What a token adds to the text of its group: its id and a comma, or at the end of its side a bar or a semicolon.
-        written_ids = [f"{i}{end}" for i in range(len(names)) for end in ",|"] + [f"{i}{end}" for i in range(size) for end in ",;"]
+        written_ids = [f"{i}{end}" for i in range(len(names)) for end in ",|"] + [f"{i}{end}" for i in range(len(pieces)) for end in ",;"]
         self.spelled = pa.array(written_ids, pa.string())
         self.b_from = 2 * len(names)
 
-    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """The ids of both sides behind a space, as unsigned 32-bit integers; None where a side's bytes are others than the piece's."""
-        firsts = [e.ids for e in self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)]
-        seconds = self.b.encode(pieces, num_threads=1)
-        out: list[tuple[bytes, bytes] | None] = []
-        for piece, a, b in zip(pieces, firsts, seconds):
-            raw = b" " + piece.encode()
-            same = b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
-            out.append((np.array(a, dtype=np.uint32).tobytes(), np.array(b, dtype=np.uint32).tobytes()) if same else None)
-        return out
-
-    def pieces(self, distinct: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """The ids of pieces that stand between single spaces; None where the text has to be read whole."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(sizes, [ids, ids]): the tokens of both sides of each text; none where a side's bytes are others than the text's behind a space."""
+        firsts = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        both = (firsts, self.b.encode(texts, num_threads=1))
+        size = np.array([[len(x) for x in side] for side in both], dtype=np.int64).reshape(2, -1)
+        flat = [np.fromiter(chain.from_iterable(side), dtype=np.int64, count=int(n)) for side, n in zip(both, size.sum(axis=1))]
+        raw = [b" " + t.encode() for t in texts]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        same = np.ones(len(texts), dtype=bool)
+        for side in (0, 1):
+            reach = np.concatenate([[0], np.cumsum(self.sizes[side][flat[side]])])
+            own_ends = reach[np.concatenate([[0], np.cumsum(size[side])])]
+            spelled = self.spell(side, flat[side])
+            if not np.array_equal(own_ends, ends) or spelled != b"".join(raw):
+                same &= [spelled[s:e] == x for s, e, x in zip(own_ends[:-1].tolist(), own_ends[1:].tolist(), raw)]
+        flat = [ids[np.repeat(same, n)] for ids, n in zip(flat, size)]
+        return size * same, flat
+
+    def spell(self, side: int, ids: np.ndarray) -> bytes:
+        """The bytes of all these ids, one behind the other."""
+        taken = self.bytes[side].take(pa.array(ids, pa.int64()))
+        return taken.buffers()[2].to_pybytes()[: int(self.sizes[side][ids].sum())] if len(ids) else b""
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The same for pieces that stand between single spaces: many are read as one text, in which both sides end tokens with each."""
+        sizes, flat = [np.zeros((2, 0), dtype=np.int64)], ([np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)])
+        for k in range(0, len(pieces), JOINED_PIECES):
+            part = pieces[k : k + JOINED_PIECES]
+            text = " ".join(part)
+            ends = np.cumsum([len(p.encode()) + 1 for p in part])
+            both = (self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
+            ids = [np.array(side, dtype=np.int64) for side in both]
+            reach = [np.cumsum(self.sizes[side][ids[side]]) for side in (0, 1)]
+            raw = b" " + text.encode()
+            if all(len(r) and r[-1] == len(raw) and np.isin(ends, r).all() and self.spell(side, i) == raw for side, (r, i) in enumerate(zip(reach, ids))):
+                size = np.array([np.diff(np.searchsorted(r, ends, side="right"), prepend=0) for r in reach])
+            else:
+                size, ids = self.encode(part)
+            sizes.append(size)
+            flat[0].append(ids[0])
+            flat[1].append(ids[1])
+        return np.concatenate(sizes, axis=1), [np.concatenate(side) for side in flat]
+
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(begins, sizes, [ids, ids]) of pieces that stand between single spaces; none where the text has to be read whole."""
         # At white space next to a space neither side need end a token.
-        plain = [bool(p) and not p[0].isspace() and not p[-1].isspace() for p in distinct]
-        new = [p for p, cut in zip(distinct, plain) if cut and p not in self.known]
-        made = dict(zip(new, self.encode(new)))
-        out = [(self.known[p] if p in self.known else made[p]) if cut else None for p, cut in zip(distinct, plain)]
-        if len(self.known) < CACHE_PIECES:
-            self.known.update(list(made.items())[: CACHE_PIECES - len(self.known)])
-        return out
+        plain = pc.and_(pc.equal(pc.utf8_trim_whitespace(distinct), distinct), pc.not_equal(distinct, ""))
+        cut = np.flatnonzero(plain.to_numpy(zero_copy_only=False) & self.cuttable)
+        offsets = np.frombuffer(distinct.buffers()[1], dtype=np.int32)[distinct.offset : distinct.offset + len(distinct) + 1]
+        codes = tb.byte_codes(np.frombuffer(distinct.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]])
+        start, end = (offsets[:-1] - offsets[0])[cut], (offsets[1:] - offsets[0])[cut]
+        keys = tb.span_hash(tb.prefix_hash(codes), start, end)
+        checks = tb.span_hash(tb.prefix_hash(tb.mix(codes ^ np.uint64(0xD6E8FEB86659FD93))), start, end)
+        at = self.known.find(keys, checks)
+        old, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        made, ids = self.encode_pieces(distinct.take(pa.array(cut[new])).to_pylist())
+        begin, size = np.zeros((2, len(distinct)), dtype=np.int64), np.zeros((2, len(distinct)), dtype=np.int64)
+        # New ids stand behind those of pieces met before.
+        shift = np.array([[len(x)] for x in self.known.flat])
+        begin[:, cut[old]], size[:, cut[old]] = self.known.begin[:, at[old]], self.known.size[:, at[old]]
+        begin[:, cut[new]], size[:, cut[new]] = np.cumsum(made, axis=1) - made + shift, made
+        flat = [np.concatenate([before, now.astype(np.uint32)]) for before, now in zip(self.known.flat, ids)]
+        self.known.add(keys[new], checks[new], made, ids)
+        return begin, size, flat
 
     def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of the first, tokens of each text, ids of the second, tokens of each text); a text that either side can't spell has none."""
         split = pc.split_pattern(texts, " ")
         coded = split.flatten().dictionary_encode()
-        made = self.pieces(coded.dictionary.to_pylist()) if self.cuttable else [None] * len(coded.dictionary)
+        begin, size, flat = self.pieces(coded.dictionary)
         code, ends = coded.indices.to_numpy(zero_copy_only=False), split.offsets.to_numpy()
-        whole = np.array([x is None for x in made], dtype=bool)
-        texts_whole = np.flatnonzero(np.add.reduceat(np.append(whole[code], False), ends[:-1]) if len(ends) > 1 else [])
+        unread = np.flatnonzero((size[0] == 0)[code])
+        whole = np.unique(np.searchsorted(ends, unread, side="right") - 1)
+        read_size, read = self.encode(texts.take(pa.array(whole)).to_pylist())
         out = []
-        read = dict(zip(texts_whole.tolist(), self.encode(texts.take(pa.array(texts_whole)).to_pylist())))
         for side in (0, 1):
-            flat = np.frombuffer(b"".join([x[side] for x in made if x]), dtype=np.uint32).astype(np.int64)
-            size = np.array([len(x[side]) // 4 if x else 0 for x in made], dtype=np.int64)
-            begin = np.cumsum(size) - size
-            count = size[code]
-            each = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[code], count)
-            ids, of_text = flat[each], np.concatenate([[0], np.cumsum(count)])[ends]
-            if read:
-                parts, last = [], 0
-                for k, both in read.items():
-                    parts += [ids[of_text[last] : of_text[k]], np.frombuffer(both[side], dtype=np.uint32) if both else ids[:0]]
-                    last = k + 1
-                parts.append(ids[of_text[last] :])
-                sizes = np.diff(of_text)
-                sizes[list(read)] = [len(both[side]) // 4 if both else 0 for both in read.values()]
-                ids, of_text = np.concatenate(parts).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
-            out += [ids, np.diff(of_text)]
+            count = size[side][code]
+            of_text = np.concatenate([[0], np.cumsum(count)])[ends]
+            ids, per_text = _stretches(flat[side], begin[side][code], count).astype(np.int64), np.diff(of_text)
+            if len(whole):
+                # What was read piece by piece goes, and what was read whole comes in its place.
+                is_whole = np.zeros(len(per_text), dtype=bool)
+                is_whole[whole] = True
+                kept = ids[~np.repeat(is_whole, per_text)]
+                per_text = per_text.copy()
+                per_text[whole] = read_size[side]
+                ids = np.empty(int(per_text.sum()), dtype=np.int64)
+                from_whole = np.repeat(is_whole, per_text)
+                ids[from_whole], ids[~from_whole] = read[side], kept
+            out += [ids, per_text]
         return tuple(out)
 
 
@@ -145,10 +223,11 @@ class Aligned:
         a, n_a, b, n_b = codec.tokens(texts)
         self.n_a, self.n_b = n_a, n_b
         number = np.arange(len(n_a))
-        a_end, b_end = np.cumsum(codec.a_size[a]), np.cumsum(codec.b_size[b])
+        a_size, b_size = codec.sizes[0][a], codec.sizes[1][b]
+        a_end, b_end = np.cumsum(a_size), np.cumsum(b_size)
         a_text, b_text = np.repeat(number, n_a), np.repeat(number, n_b)
         # Both sides spell the same bytes, so one place per byte serves both and rises from text to text.
-        i, j = overlaps(a_end - codec.a_size[a], a_text, b_end - codec.b_size[b], b_text)
+        i, j = overlaps(a_end - a_size, a_text, b_end - b_size, b_text)
         self.n_overlaps = np.bincount(a_text[i], minlength=len(number))
         together = a_end[i] == b_end[j]
         i, j = np.sort(i[together]), np.sort(j[together])

@@ -70,7 +70,8 @@ def brute(texts, tokens):
 
 
 ODD = [None, "", " ", "  ", "a", " a", "a ", "a  b", "tab\tand\nline", "\n\n x \n", "café 日本語 \U0001f600\U0001f468‍\U0001f469", "<|endoftext|> <s></s> <unk>",
-    "▁ under ▁", "nul\x00inside", "é ﬁ  nbsp   em", "1234567890 3.14 $$$ it's we'll", "x" * 700, "don't  stop", "same same", "same same", "<0x41> A"]
+    "▁ under ▁", "nul\x00inside", "é ﬁ  nbsp   em", "1234567890 3.14 $$$ it's we'll", "x" * 700, "don't  stop", "same same", "same same", "<0x41> A", "\x85a b\u2028c d\x1c e\u3000 f",
+    "▁", "a▁b c", "end▁ x▁y"]
 
 
 def test_odd_texts_against_every_pair(spark, plain):
