@@ -28,8 +28,8 @@ RUN_BYTES = 1 << 20
 CACHE_PIECES = 1_000_000
 #: New pieces that are read as one text.
 JOINED_PIECES = 500
-#: Distinct pairs of ids after which a task begins a new block.
-BLOCK_PAIRS = 1 << 19
+#: Links after which a task begins a new block.
+BLOCK_LINKS = 1 << 20
 #: What a pair's number has for its second id.
 _SECOND = 32
 
@@ -330,7 +330,7 @@ def align_tokens(
                 made += [pa.array(np.full(n, block)), linked, *[pa.nulls(n, pa.list_(pa.int64()))] * 2]
                 yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(row, n) for k in places], *made], names=names)
                 row += n
-                if len(pairs) >= BLOCK_PAIRS:
+                if totals.sum() >= BLOCK_LINKS:
                     yield block_row()
                     block, pairs, slots, totals = block + 1, pairs[:0], slots[:0], totals[:0]
         if len(pairs):

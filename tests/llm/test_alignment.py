@@ -118,6 +118,7 @@ def test_many_blocks_long_texts_and_empty_tables(spark, plain, monkeypatch):
     long = " ".join(f"w{k % 997} x{k}" for k in range(60_000))
     df = spark.createDataFrame([(k, t) for k, t in enumerate([long, "a b", long, None] + ["the same words again"] * 50)], "k long, text string").coalesce(1)
     whole = {r["k"]: r for r in alignment.align_tokens(df, A, B, keep=["k"]).collect()}
+    monkeypatch.setattr(alignment, "BLOCK_LINKS", 10)
     blocks = {r["k"]: r for r in alignment.align_tokens(df.repartition(9, "k"), A, B, keep=["k"]).collect()}
     assert whole == blocks and len(whole) == 54
     a, b = plain(long)
