@@ -6,7 +6,8 @@ path that the caller owns, as it is also needed to index later tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -33,9 +34,35 @@ def write_category_table(df: DataFrame, columns: Sequence[str], path: str) -> Da
     return write_ranked_counts(category_counts(df, columns), path)
 
 
+def write_share_table(shares: DataFrame, path: str) -> DataFrame:
+    """Write and return (column, value, n, total, index, unseen), index by rising share of the positive class, ties by value.
+
+    `shares` are those of `category_shares`. `unseen` is where a value with the share of all its column's rows would
+    stand: between those with a lower share and the others.
+    """
+    # Sums of the same weights in another order differ in the last digits; equal shares must not.
+    share = F.round(F.try_divide("positive", "total"), 12)
+    placed = shares.select("column", "value", "n", "positive", "total", F.coalesce(share, F.lit(0.0)).alias("share"))
+    with staged(placed) as kept, staged_ranks(kept.select("column", "value", "n", "share"), [F.col("share")]) as ranked:
+        # One row per column.
+        overall = kept.groupBy("column").agg(F.round(F.try_divide(F.sum("positive"), F.sum("total")), 12).alias("overall"))
+        lower = kept.join(F.broadcast(overall), "column").groupBy("column")
+        unseen = lower.agg((F.count_if(F.col("share") < F.col("overall")) - 0.5).alias("unseen"))
+        ranked.drop("share").join(F.broadcast(unseen), "column").write.mode("overwrite").parquet(path)
+    return shares.sparkSession.read.parquet(path)
+
+
 def write_ranked_counts(counts: DataFrame, path: str) -> DataFrame:
     """`write_category_table` for categories that are counted already: (column, value, n)."""
-    in_order = counts.orderBy("column", F.desc("n"), "value")
+    with staged_ranks(counts, [F.desc("n")]) as ranked:
+        ranked.write.mode("overwrite").parquet(path)
+    return counts.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def staged_ranks(counts: DataFrame, order: Sequence[Column]) -> Iterator[DataFrame]:
+    """`counts` with total (rows of the column) and index (0.0 for the first by `order`, ties by value), for the block."""
+    in_order = counts.orderBy("column", *order, "value")
     with staged(in_order.withColumn("id", F.monotonically_increasing_id())) as numbered:
         part = F.shiftright("id", _OFFSET_BITS)
         placed = numbered.withColumn("part", part).withColumn(
@@ -53,10 +80,8 @@ def write_ranked_counts(counts: DataFrame, path: str) -> DataFrame:
             F.sum("rows").over(Window.partitionBy("column")).alias("total"),
         )
         index = (F.col("start") + F.col("position")).cast("double")
-        placed.join(F.broadcast(starts), ["part", "column"]).select(
-            "column", "value", "n", "total", index.alias("index")
-        ).write.mode("overwrite").parquet(path)
-    return counts.sparkSession.read.parquet(path)
+        joined = placed.join(F.broadcast(starts), ["part", "column"])
+        yield joined.select(*counts.columns, "total", index.alias("index"))
 
 
 def index_by_table(
@@ -66,7 +91,7 @@ def index_by_table(
     outputs: Sequence[str] | None = None,
     invalid: str = "keep",
 ) -> DataFrame:
-    """Add index columns by joining with a category table.
+    """Add index columns by joining with a category table, of either order.
 
     Frequent values are settled by broadcast. Rows that hold only those, or
     NULL, are never shuffled, so a value that fills a third of the table does
@@ -103,7 +128,8 @@ def index_by_table(
         for i, (column, mine, output) in enumerate(zip(columns, tables, outputs)):
             index = F.coalesce(f"_index{i}", f"_found{i}") if found else F.col(f"_index{i}")
             if invalid == "keep":
-                index = F.coalesce(index, mine.agg(F.count(F.lit(1)).cast("double")).scalar())
+                beyond = F.max("unseen") if "unseen" in table.columns else F.count(F.lit(1)).cast("double")
+                index = F.coalesce(index, mine.agg(beyond).scalar())
             elif invalid == "error":
                 unseen = F.raise_error(F.lit(f"{column} holds NULL or an unseen value"))
                 index = F.coalesce(index, unseen.cast("double"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,9 @@ from classweave.operators.balance import TARGET, WEIGHT
 LABEL = "label"
 FEATURES = "features"
 
+#: Labels of all columns together that may come to the driver unless a call says otherwise.
+MAX_CATEGORIES = 1_000_000
+
 # Names that a pipeline adds; a source column may not have them.
 ADDED = (LABEL, FEATURES, "rawPrediction", "probability", "prediction")
 
@@ -98,6 +102,29 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def category_shares(
+    df: DataFrame, columns: Sequence[str], target: str, positive: str, weight: str | None = None, fold: str | None = None, k: int = 0
+) -> DataFrame:
+    """(column, value, n, positive, total): the rows of every value, and their weight with the positive class and in all.
+
+    With `fold` also n0, positive0, total0 and so on: the same over the rows outside each fold. Those are summed up from
+    the rows they cover, not taken as differences, so that equal shares stay equal but for the last digits.
+    """
+    given = F.lit(1.0) if weight is None else F.col(quoted(weight)).cast("double")
+    kept = [given.alias("w"), (F.col(quoted(target)).cast("string") == positive).alias("is_positive")]
+    values = _long_values(df, columns, [*kept, *([F.col(quoted(fold)).alias("fold")] if fold else [])])
+
+    def sums(rows: Column, suffix: str) -> list[Column]:
+        return [
+            F.count_if(rows).alias(f"n{suffix}"),
+            F.coalesce(F.sum(F.when(rows & F.col("is_positive"), F.col("w"))), F.lit(0.0)).alias(f"positive{suffix}"),
+            F.coalesce(F.sum(F.when(rows, F.col("w"))), F.lit(0.0)).alias(f"total{suffix}"),
+        ]
+
+    outside = [column for i in range(k) for column in sums(F.col("fold") != i, str(i))]
+    return values.groupBy("column", "value").agg(*sums(F.lit(True), ""), *outside)
+
+
 def fold_category_counts(df: DataFrame, columns: Sequence[str], fold: str, k: int) -> DataFrame:
     """(column, value, n, n0 .. n{k-1}): the counts of all rows and of every fold in one scan."""
     values = _long_values(df, columns, [F.col(quoted(fold)).alias("fold")])
@@ -130,14 +157,63 @@ def column_report(
     return known.join(F.broadcast(sizes), "column", "left")
 
 
+def string_cardinality(
+    df: DataFrame,
+    target: str = TARGET,
+    weight: str | None = WEIGHT,
+    exclude: Sequence[str] = (),
+    bound: int = MAX_CATEGORIES,
+    error: float = 0.02,
+) -> DataFrame:
+    """(column, n_rows, n_values, n_categories, share, wide): how many values each string feature has, from one scan.
+
+    Sketches count the categories with a standard deviation of `error`, in a
+    fixed space per task however many there are. `share` is the categories per
+    value: near 1 the column is a key rather than a category. `wide` names what
+    to pass in `wide=`: all the categories are more than `bound`, and these
+    columns, widest first, are those without which the others fit.
+    """
+    strings = list(column_roles(df, target, weight, exclude).strings)
+    if not strings:
+        raise ValueError("the table has no string feature")
+    each = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(F.col(quoted(name))).alias("n_values"),
+            F.approx_count_distinct(F.col(quoted(name)), error).alias("n_categories"),
+        )
+        for name in strings
+    ]
+    sizes = df.agg(F.array(*each).alias("sizes")).select(F.inline("sizes"))
+    # One row per column of the table.
+    not_wider = Window.orderBy("n_categories", "column").rowsBetween(Window.unboundedPreceding, 0)
+    share = F.try_divide(F.col("n_categories").cast("double"), F.col("n_values"))
+    return sizes.select("*", share.alias("share"), (F.sum("n_categories").over(not_wider) > bound).alias("wide"))
+
+
+def wide_columns(df: DataFrame, *args, **options) -> list[str]:
+    """The columns that `string_cardinality` calls wide, for `wide=`."""
+    return sorted(row.column for row in string_cardinality(df, *args, **options).filter("wide").collect())
+
+
 def collect_bounded(counts: DataFrame, bound: int | None) -> list[Row]:
-    """All rows of a category table, or ValueError when there are more than `bound`, if one is given."""
-    if bound is None:
-        return counts.collect()
-    rows = counts.take(bound + 1)
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} categories: name the widest columns in `wide`, or raise max_categories")
-    return rows
+    """All rows of a category table, or ValueError when there are more than `bound`, by default MAX_CATEGORIES.
+
+    The rows are counted on the executors first, so beyond the bound no label
+    reaches the driver.
+    """
+    bound = MAX_CATEGORIES if bound is None else bound
+    # Kept on disk between both jobs; should an executor go, its part is counted again.
+    kept = counts.persist(StorageLevel.DISK_ONLY)
+    try:
+        sizes = sorted(((row["count"], row["column"]) for row in kept.groupBy("column").count().collect()), reverse=True)
+        if sum(n for n, _ in sizes) > bound:
+            widest = ", ".join(f"{column!r} ({n})" for n, column in sizes[:3])
+            raise ValueError(f"more than {bound} categories: name the widest columns in `wide`, or raise max_categories; {widest}")
+        return kept.collect()
+    finally:
+        kept.unpersist()
 
 
 def ordered_labels(rows: Iterable[tuple[str, str, int]], columns: Sequence[str]) -> dict[str, list[str]]:
@@ -156,7 +232,8 @@ def category_labels(
 ) -> dict[str, list[str]]:
     """Labels of the given columns in index order, from one scan for all of them.
 
-    They come to the driver, as those of any fitted indexer do; `max_categories` bounds how many may.
+    They come to the driver, as those of any fitted indexer do; `max_categories` bounds how many may, by default
+    MAX_CATEGORIES, and more raise before any of them comes.
     """
     rows = collect_bounded(category_counts(df, columns).select("column", "value", "n"), max_categories)
     return ordered_labels(rows, columns)
@@ -234,6 +311,7 @@ def _prepared(
     invalid: str,
     wide: Sequence[str],
     max_categories: int | None,
+    order: str = "frequency",
 ) -> tuple[Roles, dict[str, list[str]], list]:
     """Roles, labels, and the fitted feature stages of a table."""
     # The indices by table build on this module's counts.
@@ -242,10 +320,19 @@ def _prepared(
     roles = column_roles(df, target, weight, exclude)
     check_names(df.columns, roles, wide)
     labels = category_labels(df, [*(s for s in roles.strings if s not in wide), target], max_categories)
-    by_table = fit_category_indexer(df, roles, wide, invalid) if wide else None
+    by_table = None
+    if wide:
+        by_table = fit_category_indexer(df, roles, wide, invalid, ranked_class(labels[target], order), weight)
     return roles, labels, feature_stages(roles, labels, invalid, by_table)
 
 
+def ranked_class(classes: Sequence[str], order: str) -> str | None:
+    """The class by whose share wide categories are ordered, label 1; None where they are ordered by frequency."""
+    if order not in ("frequency", "target"):
+        raise ValueError(f"order must be frequency or target, not {order!r}")
+    return classes[1] if order == "target" and len(classes) > 1 else None
+
+
 def check_names(columns: Sequence[str], roles: Roles, wide: Sequence[str]) -> None:
     """Raise early on names that would fail deep inside a pipeline."""
     for name in ADDED:
@@ -281,6 +368,7 @@ def build_pipeline(
     invalid: str = "keep",
     max_categories: int | None = None,
     wide: Sequence[str] = (),
+    order: str = "frequency",
 ) -> Pipeline:
     """Indices, label, vector and estimator as one pipeline, to be fitted on `df`.
 
@@ -288,16 +376,38 @@ def build_pipeline(
     scan, instead of one job per column inside `fit`. Those of the columns
     named in `wide` never come to the driver: they are written as a table,
     which the pipeline joins with, and which is saved with the model. Trees
-    take such an index as a number, not as a category.
+    take such an index as a number, not as a category. With `order="target"`
+    the categories in `wide` are numbered by rising share of the rarer class
+    among their rows, by weight: one threshold on the number is then the best
+    split of all the categories into two sets, as far as the tree's bins tell
+    them apart. NULL and unseen values get the place that a value with the
+    share of the whole table would have.
     """
-    roles, labels, stages = _prepared(df, target, weight, exclude, invalid, wide, max_categories)
+    return _build(df, estimator, target, weight, exclude, invalid, max_categories, wide, order)[0]
+
+
+def _build(df, estimator, target, weight, exclude, invalid, max_categories, wide, order) -> tuple[Pipeline, Roles]:
+    roles, labels, stages = _prepared(df, target, weight, exclude, invalid, wide, max_categories, order)
     check_trainable(estimator, roles, labels, invalid)
-    return Pipeline(stages=[*stages, estimator])
+    return Pipeline(stages=[*stages, estimator]), roles
+
 
+def fit_pipeline(
+    df: DataFrame,
+    estimator: Estimator,
+    target: str = TARGET,
+    weight: str | None = WEIGHT,
+    exclude: Sequence[str] = (),
+    invalid: str = "keep",
+    max_categories: int | None = None,
+    wide: Sequence[str] = (),
+    order: str = "frequency",
+) -> PipelineModel:
+    """Build the pipeline for `df`, fit it on all rows, and let the model know which columns it reads."""
+    from classweave.operators.contract import attach, contract_of
 
-def fit_pipeline(df: DataFrame, estimator: Estimator, **options) -> PipelineModel:
-    """Build the pipeline for `df` and fit it on all rows."""
-    return build_pipeline(df, estimator, **options).fit(df)
+    pipeline, roles = _build(df, estimator, target, weight, exclude, invalid, max_categories, wide, order)
+    return attach(pipeline.fit(df), contract_of(df, roles))
 
 
 def label_stage(model: PipelineModel) -> StringIndexerModel:

@@ -8,12 +8,14 @@ third of all rows is a single row from there on.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from classweave.functions import quoted, require_columns
+from classweave.sources.staging import fresh_path, staged
 
 METRICS = ("accuracy", "precision", "recall", "f1", "auc")
 _CELLS = ("tp", "fp", "tn", "fn")
@@ -77,6 +79,43 @@ def _ranked_cells(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+_ID_BITS = 33
+
+
+def _binned_cells(cells: DataFrame, by: Sequence[str], num_bins: int) -> DataFrame:
+    """Cells of chunks of neighbouring scores in place of the scores: about `num_bins` for each group.
+
+    A group with m distinct scores has chunks of m div `num_bins`, from the
+    highest score down, the last may be smaller; with less than two per chunk
+    it stays as it is. The order is a range-partitioned sort, and a score's
+    place in it is its place in the partition plus the sizes of the partitions
+    before, so no group passes through one task.
+    """
+    spark = cells.sparkSession
+    path = fresh_path(spark, "chunks")
+    in_order = cells.orderBy(*by, F.desc("score")).withColumn("id", F.monotonically_increasing_id())
+    with staged(in_order) as kept:
+        part = F.shiftright("id", _ID_BITS)
+        numbered = kept.withColumn("part", part).withColumn("at", F.col("id") - F.shiftleft(part, _ID_BITS))
+        # One row per partition of the sort and group.
+        sizes = numbered.groupBy(*by, "part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
+        earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        group = [f"_group{i}" for i in range(len(by))]
+        starts = sizes.select(
+            *[F.col(quoted(b)).alias(g) for b, g in zip(by, group)],
+            F.col("part").alias("_part"),
+            (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first")).alias("start"),
+            F.floor(F.sum("size").over(Window.partitionBy(*by)) / num_bins).alias("grouping"),
+        )
+        # Groups may be NULL, and NULL joins only by this comparison.
+        same = [F.col(quoted(b)).eqNullSafe(F.col(g)) for b, g in zip(by, group)] + [F.col("part") == F.col("_part")]
+        chunk = -F.floor((F.col("start") + F.col("at")) / F.greatest(F.col("grouping"), F.lit(1)))
+        joined = numbered.join(F.broadcast(starts), reduce(and_, same))
+        placed = joined.select(*by, chunk.cast("double").alias("score"), "n", *_CELLS)
+        placed.groupBy(*by, "score").agg(*[F.sum(c).alias(c) for c in ("n", *_CELLS)]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _ratio(above: Column, below: Column) -> Column:
     """above / below, 0 when nothing is below: a class never predicted has precision 0."""
     return F.coalesce(F.try_divide(above.cast("double"), below.cast("double")), F.lit(0.0))
@@ -99,16 +138,19 @@ def metrics_table(
     prediction: str = "prediction",
     score: str = "score",
     by: Sequence[str] = (),
+    num_bins: int | None = None,
 ) -> DataFrame:
     """(by..., n_rows, accuracy, precision, recall, f1, auc), unweighted by class weight.
 
     Precision, recall and F1 are the averages of both classes weighted by their
     support, so recall equals accuracy. AUC is exact, ties included, and NULL
-    for a group with one class only. For figures of the positive class see
-    `positive_class_metrics`.
+    for a group with one class only; with `num_bins` it is the binned one of
+    `roc_auc`. For figures of the positive class see `positive_class_metrics`.
     """
     require_columns(df, label, prediction, score, *by)
     cells = _cells_by_score(df, label, prediction, score, by)
+    if num_bins is not None:
+        cells = _binned_cells(cells, by, num_bins)
     return weighted_metrics(_checked(_ranked_cells(cells, by)), by)
 
 
@@ -162,15 +204,14 @@ def roc_auc(
 ) -> DataFrame:
     """(by..., auc): exact by default, as the share of positive-negative pairs in the right order.
 
-    With `num_bins` MLlib's evaluator draws the curve through about that many
-    points (its own default is 1000), which differs from the exact area by a
-    little and depends on the partitioning.
+    With `num_bins` the curve has about that many points, as MLlib's evaluator
+    draws it (its own default is 1000): chunks of neighbouring distinct scores
+    count as ties. That differs from the exact area by a little. The evaluator
+    begins its chunks anew in every partition; here they depend on the scores
+    alone, and agree with it where it has a single partition.
     """
     require_columns(df, label, score, *by)
-    if num_bins is None:
-        totals = _checked(_ranked_cells(_cells_by_score(df, label, None, score, by), by))
-        return totals.select(*by, _auc().alias("auc"))
-    if by:
-        raise ValueError("the binned area has no groups; filter the table instead")
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=num_bins)
-    return df.sparkSession.createDataFrame([(evaluator.evaluate(df),)], "auc double")
+    cells = _cells_by_score(df, label, None, score, by)
+    if num_bins is not None:
+        cells = _binned_cells(cells, by, num_bins)
+    return _checked(_ranked_cells(cells, by)).select(*by, _auc().alias("auc"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from classweave.functions import class_probability, quoted, require_columns
+from classweave.operators.contract import check_features, contract_from
 from classweave.operators.features import label_stage
 from classweave.sources import load_model
 
@@ -17,11 +18,13 @@ def batch_score(df: DataFrame, model: PipelineModel | str, keep_cols: Sequence[s
     """(keep_cols..., prediction, probability) for every row; `model` may be a path.
 
     Without `keep_cols` the result has no key. The target is not needed: it is
-    dropped unless kept, and its values are never checked.
+    dropped unless kept, and its values are never checked. Features must have
+    the names and kinds of type that the model was trained on.
     """
     require_columns(df, *keep_cols)
     if isinstance(model, str):
         model = load_model(model)
+    check_features(df, contract_from(model))
     target = label_stage(model).getInputCol()
     features = df if target in keep_cols else df.drop(target)
     return model.transform(features).select(*[F.col(quoted(c)) for c in keep_cols], "prediction", "probability")

@@ -10,8 +10,8 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 
-from classweave.operators.categories import index_by_table, write_category_table, write_ranked_counts
-from classweave.operators.features import Roles
+from classweave.operators.categories import index_by_table, write_category_table, write_ranked_counts, write_share_table
+from classweave.operators.features import Roles, category_shares
 from classweave.sources.staging import fresh_path
 
 
@@ -78,13 +78,40 @@ def _indexer(roles: Roles, wide: Sequence[str], invalid: str, path: str) -> Cate
     return indexer
 
 
-def fit_category_indexer(df: DataFrame, roles: Roles, wide: Sequence[str], invalid: str) -> CategoryIndexer:
-    """The stage for the wide columns of `df`; its table lies in the shared folder until the model is saved."""
+def fit_category_indexer(
+    df: DataFrame, roles: Roles, wide: Sequence[str], invalid: str, positive: str | None = None, weight: str | None = None
+) -> CategoryIndexer:
+    """The stage for the wide columns of `df`; its table lies in the shared folder until the model is saved.
+
+    With `positive` the categories are ordered by that class's share of their weight.
+    """
+    if positive is not None:
+        return indexer_of_shares(category_shares(df, wide, roles.target, positive, weight), roles, wide, invalid)
     path = fresh_path(df.sparkSession, "categories")
     write_category_table(df, wide, path)
     return _indexer(roles, wide, invalid, path)
 
 
+def indexer_of_shares(shares: DataFrame, roles: Roles, wide: Sequence[str], invalid: str) -> CategoryIndexer:
+    """The stage for categories whose shares are known: (column, value, n, positive, total)."""
+    path = fresh_path(shares.sparkSession, "categories")
+    write_share_table(shares, path)
+    return _indexer(roles, wide, invalid, path)
+
+
+def only(indexer: CategoryIndexer | None, columns: Sequence[str]) -> CategoryIndexer | None:
+    """The same stage for those of its columns that are among `columns`; None if none is."""
+    if indexer is None:
+        return None
+    pairs = [p for p in zip(indexer.getOrDefault("inputCols"), indexer.getOrDefault("outputCols")) if p[0] in columns]
+    if not pairs:
+        return None
+    inputs, outputs = zip(*pairs)
+    fewer = CategoryIndexer(inputCols=list(inputs), outputCols=list(outputs), handleInvalid=indexer.getOrDefault("handleInvalid"))
+    fewer.table_path = indexer.table_path
+    return fewer
+
+
 def indexer_of_counts(counts: DataFrame, roles: Roles, wide: Sequence[str], invalid: str) -> CategoryIndexer:
     """The same from counts (column, value, n)."""
     path = fresh_path(counts.sparkSession, "categories")

@@ -9,6 +9,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from classweave.sources.files import delete_path, hadoop_path
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -33,37 +35,25 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="classweave-")
-    files, hadoop_path = _hadoop_path(spark, _LOCAL_FOLDERS[app])
-    files.deleteOnExit(hadoop_path)
+    files, path = hadoop_path(spark, _LOCAL_FOLDERS[app])
+    files.deleteOnExit(path)
     context.setCheckpointDir(_LOCAL_FOLDERS[app])
     return _LOCAL_FOLDERS[app]
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) as Hadoop objects."""
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
-
-
 def fresh_path(spark: SparkSession, name: str = "table") -> str:
     """A path in the shared folder that nothing else uses, deleted when the driver ends.
 
     All paths of an application lie in one folder of its own.
     """
     folder = f"{shared_folder(spark)}/classweave-{spark.sparkContext.applicationId}"
-    files, hadoop_path = _hadoop_path(spark, folder)
-    if not files.exists(hadoop_path):
-        files.mkdirs(hadoop_path)
-        files.deleteOnExit(hadoop_path)
+    files, path = hadoop_path(spark, folder)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
     return f"{folder}/{name}-{uuid4().hex}"
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    files, hadoop_path = _hadoop_path(spark, path)
-    files.delete(hadoop_path, True)
-
-
 @contextmanager
 def staged(df: DataFrame, sort_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """Write `df` once, read it back many times, and delete it at the end of the block.

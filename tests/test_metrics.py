@@ -79,8 +79,17 @@ def test_exact_and_binned_area(scored):
     assert exact != binned and exact == pytest.approx(binned, abs=1e-3)
     by_group = {r.g: r.auc for r in cw.roc_auc(scored, by=["g"]).collect()}
     assert by_group[2] == pytest.approx(cw.roc_auc(scored.filter("g = 2")).first().auc, abs=1e-12)
-    with pytest.raises(ValueError, match="groups"):
-        cw.roc_auc(scored, by=["g"], num_bins=1000)
+    # Over one partition, the evaluator's chunks are those of the whole order.
+    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score")
+    for bins in (2, 7, 100, 1000):
+        found = {r.g: r.auc for r in cw.roc_auc(scored.repartition(5), by=["g"], num_bins=bins).collect()}
+        assert found.keys() == by_group.keys()
+        for g, auc in found.items():
+            own = scored.filter(F.col("g") == g).coalesce(1)
+            if auc is not None:
+                assert auc == pytest.approx(evaluator.setNumBins(bins).evaluate(own), abs=1e-12)
+        table = {r.g: r.auc for r in cw.metrics_table(scored, by=["g"], num_bins=bins).collect()}
+        assert table == found
 
 
 def test_area_does_not_depend_on_the_number_of_partitions(spark, scored):
