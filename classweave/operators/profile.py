@@ -15,8 +15,8 @@ from classweave.operators.balance import TARGET
 
 
 def _per_column(df: DataFrame, fixed: dict[str, list], counts: dict[str, list[Column]]) -> DataFrame:
-    """One row per column of `df`: literals and aggregates by result name, all from one aggregate."""
-    n_columns = len(df.columns)
+    """One row per column, or per name asked for: literals and aggregates by result name, all from one aggregate."""
+    n_columns = len(next(iter(fixed.values())))
     totals = df.agg(*[c.alias(f"{name}{i}") for name, columns in counts.items() for i, c in enumerate(columns)])
     rows = [
         F.struct(
@@ -62,10 +62,17 @@ def schema_report(df: DataFrame, count_values: bool = False) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string, nullable boolean")
 
 
-def columns_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(column, present) for every name: whether the table has that column."""
-    rows = [(name, name in df.columns) for name in names]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
+def columns_present(df: DataFrame, names: Sequence[str], count_values: bool = False) -> DataFrame:
+    """(column, present) for every name: whether the table has that column.
+
+    `count_values` adds n_values, the non-NULL rows of the column, NULL where there is none: a column may be there and
+    empty. That takes a scan of the columns that are there.
+    """
+    present = [name in df.columns for name in names]
+    if not count_values:
+        return df.sparkSession.createDataFrame(list(zip(names, present)), "column string, present boolean")
+    values = [F.count(F.col(quoted(n))) if here else F.max(F.lit(None).cast("bigint")) for n, here in zip(names, present)]
+    return _per_column(df, {"column": list(names), "present": present}, {"n_values": values})
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -11,6 +11,11 @@ from classweave.sources.files import delete_path, path_exists, read_text, recove
 CONTRACT = "_contract.json"
 
 
+def _session() -> SparkSession:
+    """The session, also in a thread that fits one fold of several."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Write the fitted pipeline, replacing what is at `path`, and beside it the columns that it expects.
 
@@ -18,7 +23,7 @@ def save_model(model: PipelineModel, path: str) -> None:
     """
     from classweave.operators.contract import contract_from, to_text
 
-    spark = SparkSession.getActiveSession()
+    spark = _session()
     recover(spark, path)
     fresh = sibling(spark, path, "new")
     try:
@@ -34,7 +39,7 @@ def load_model(path: str) -> PipelineModel:
     """The saved pipeline, with its contract if it has one."""
     from classweave.operators.contract import attach, from_text
 
-    spark = SparkSession.getActiveSession()
+    spark = _session()
     model = PipelineModel.load(path)
     beside = f"{path}/{CONTRACT}"
     return attach(model, from_text(read_text(spark, beside))) if path_exists(spark, beside) else model

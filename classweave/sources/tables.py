@@ -26,7 +26,11 @@ def read_csv(
 
 
 def read_csv_checked(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, sampling_ratio: float | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    sampling_ratio: float | None = None,
+    header: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(table, rejected): the rows that fit the schema, and (file, record) of those that don't.
 
@@ -34,8 +38,11 @@ def read_csv_checked(
     that its column's type can't hold; an empty value is NULL and fits. Every
     record is in one of both tables, whichever columns are selected later:
     records are always parsed in full, so this costs more than `read_csv` where
-    few columns are needed. Each table is a scan of its own.
+    few columns are needed. Each table is a scan of its own. Files without a
+    header row need a schema.
     """
+    if not header and schema is None:
+        raise ValueError("without a header row the schema must be given")
     if schema is None:
         schema = read_csv(spark, path, sampling_ratio=sampling_ratio).schema
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -46,7 +53,7 @@ def read_csv_checked(
     # Columns of the schema may hold NULL whatever it says: a record with a gap is no fault of the file.
     full = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
     reader = spark.read.schema(T.StructType([*full, T.StructField(record, T.StringType())]))
-    parsed = reader.options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=record).csv(path)
+    parsed = reader.options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=record).csv(path)
     # True of every row, and needs all columns: faults in those that a query does not need would not be found otherwise.
     whole = parsed.filter(F.hash(*[F.col(quoted(f.name)) for f in full]) >= -(2**31))
     table = whole.filter(F.col(record).isNull()).drop(record)

@@ -101,6 +101,65 @@ scored AS (
 SELECT '{model}' AS model, fold, n_rows, metric, round(value, 6) AS value FROM long_metrics"""
 
 
+def _cross_validated_fold_weights(model: str, fitted: str) -> str:
+    """The same, with weights from the class ratio of each training set."""
+    return f"""WITH RECURSIVE {t.BANDED_SQL},
+folded AS (SELECT *, {t.fold_sql('o_orderkey', CV_FOLDS)} AS fold FROM banded),
+counts AS (
+  SELECT fold, price_band, count(*) FILTER (target = 'Yes') AS yes, count(*) FILTER (target = 'No') AS no
+  FROM folded GROUP BY fold, price_band),
+others AS (
+  SELECT tests.fold, counts.price_band, sum(yes)::DOUBLE AS yes, sum(no)::DOUBLE AS no
+  FROM (SELECT DISTINCT fold FROM folded) AS tests JOIN counts ON counts.fold <> tests.fold
+  GROUP BY tests.fold, counts.price_band),
+ratios AS (SELECT fold, sum(no) / sum(yes) AS r FROM others GROUP BY fold),
+train AS (
+  SELECT fold, price_band, yes * r AS one, no AS zero, yes * r * r + no AS squares FROM others JOIN ratios USING (fold)),
+{fitted},
+scored AS (
+  SELECT folded.fold, (target = 'Yes')::INTEGER AS label, p AS score, (p > 0.5)::INTEGER AS prediction
+  FROM folded JOIN fitted ON folded.fold = fitted.fold AND folded.price_band = fitted.price_band),
+{t.metrics_sql('scored', 'fold')},
+{t.long_metrics_sql('fold')}
+SELECT '{model}' AS model, fold, n_rows, metric, round(value, 6) AS value FROM long_metrics"""
+
+
+def _shares(relation: str, column: str, name: str) -> str:
+    """CTE `name`(value, n, one, total, share, idx, unseen): values by rising share of the weight of the positive class."""
+    return f"""{name}_sums AS (
+  SELECT {column} AS value, count(*) AS n, coalesce(sum(w) FILTER (target = 'Yes'), 0) AS one, sum(w) AS total,
+         round(coalesce(sum(w) FILTER (target = 'Yes'), 0) / sum(w), 12) AS share
+  FROM {relation} WHERE {column} IS NOT NULL GROUP BY {column}),
+{name} AS (
+  SELECT *, (row_number() OVER (ORDER BY share, value) - 1)::DOUBLE AS idx,
+         (SELECT count(*) FROM {name}_sums AS o
+          WHERE o.share < (SELECT round(sum(one) / sum(total), 12) FROM {name}_sums))::DOUBLE - 0.5 AS unseen
+  FROM {name}_sums)"""
+
+
+# The threshold on the order by share with the least weighted Gini impurity.
+_STUMP_BY_SHARE = f"""
+WITH {t.WEIGHTED_SQL},
+named AS (
+  SELECT weighted.o_orderkey, c_name, target, "classWeight" AS w
+  FROM weighted JOIN orders USING (o_orderkey) JOIN customer ON o_custkey = c_custkey),
+{_shares('named', 'c_name', 'c')},
+running AS (
+  SELECT idx, sum(one) OVER (ORDER BY idx) AS one_left, sum(total) OVER (ORDER BY idx) AS left_side,
+         sum(one) OVER () AS one_all, sum(total) OVER () AS both_sides FROM c),
+splits AS (
+  SELECT idx, one_left / left_side AS p_left, (one_all - one_left) / (both_sides - left_side) AS p_right,
+         left_side, both_sides - left_side AS right_side
+  FROM running WHERE idx < (SELECT max(idx) FROM c)),
+best AS (
+  SELECT * FROM splits
+  ORDER BY left_side * p_left * (1 - p_left) + right_side * p_right * (1 - p_right), idx LIMIT 1),
+scored AS (
+  SELECT o_orderkey, CASE WHEN c.idx <= best.idx THEN p_left ELSE p_right END AS p
+  FROM named JOIN c ON c_name = c.value, best)
+SELECT o_orderkey, (p > 0.5)::DOUBLE AS prediction, round(p, 6) AS probability FROM scored"""
+
+
 _RIVAL_METRICS = f"""{t.RIVAL_SCORES_SQL},
 folded AS (SELECT *, {t.fold_sql('o_orderkey', 10)} AS fold FROM rival_scores),
 {t.metrics_sql('folded', 'model, fold')}"""
@@ -108,8 +167,10 @@ folded AS (SELECT *, {t.fold_sql('o_orderkey', 10)} AS fold FROM rival_scores),
 
 # A tree of depth 2: the split with the greatest Gini gain at the root, then
 # in both children; a feature scores the weighted gains of its splits.
-_RANKED = f"""
-WITH {t.THREE_BANDS_SQL},
+def _ranked(rows: str = "SELECT * FROM three_bands") -> str:
+    return f"""
+WITH {t.THREE_BANDS_SQL.replace("three_bands AS (", "all_bands AS (")},
+three_bands AS ({rows.replace("three_bands", "all_bands")}),
 cells AS (
   SELECT o_orderkey, y, w, 0 AS slot, 'haste' AS feature, haste AS value FROM three_bands
   UNION ALL SELECT o_orderkey, y, w, 1, 'price', price FROM three_bands
@@ -142,6 +203,13 @@ scores AS (
 SELECT (row_number() OVER (ORDER BY score DESC, slot))::INTEGER AS rank, feature, round(score, 6) AS score
 FROM scores"""
 
+
+_RANKED = _ranked()
+_FOLD_RANKED = "\nUNION ALL ".join(
+    f"SELECT {i} AS fold, * FROM ({_ranked(f'SELECT * FROM three_bands WHERE {t.fold_sql("o_orderkey", 3)} <> {i}')})"
+    for i in range(3)
+)
+
 ORACLES: dict[str, str] = {
     "dataset_shape": """
 SELECT count(*) AS n_rows,
@@ -178,8 +246,17 @@ FROM classes""",
     "csv_roundtrip": "SELECT * REPLACE (o_orderdate::DATE AS o_orderdate) FROM orders",
     "csv_with_schema": "SELECT * REPLACE (o_orderdate::DATE AS o_orderdate) FROM orders",
     "columns_present": """
-SELECT "column", "column" IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders') AS present
+SELECT "column", "column" IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders') AS present,
+       CASE "column" WHEN 'o_orderkey' THEN (SELECT count(o_orderkey) FROM orders)
+                     WHEN 'o_orderdate' THEN (SELECT count(o_orderdate) FROM orders) END AS n_values
 FROM (VALUES ('o_orderkey'), ('o_orderdate'), ('O_ORDERKEY'), ('n_name'), ('o_orderkey ')) AS names("column")""",
+    "csv_rejected": """
+SELECT CASE WHEN o_orderkey % 7 = 3 OR o_orderkey % 11 = 5 OR o_orderkey % 13 = 0 THEN 'rejected' ELSE 'kept' END AS side,
+       count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys
+FROM orders GROUP BY side""",
+    "table_versions": """
+SELECT back::INTEGER AS back, o_orderstatus, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS keys
+FROM orders, range(2) AS versions(back) WHERE back = 0 OR o_orderstatus <> 'F' GROUP BY back, o_orderstatus""",
     "parquet_roundtrip": f"""
 WITH {t.WEIGHTED_SQL}
 SELECT o_orderkey, c_mktsegment, target, round("classWeight", 6) AS "classWeight" FROM weighted""",
@@ -237,6 +314,24 @@ WITH named AS (
 SELECT o_orderkey, c_name, priority, c.idx AS c_name_idx,
        coalesce(p.idx, (SELECT count(*) FROM p)::DOUBLE) AS priority_idx
 FROM named LEFT JOIN c ON c_name = c.value LEFT JOIN p ON priority = p.value""",
+    "string_cardinality": f"""
+WITH {t.PLANTED_SQL},
+named AS (
+  SELECT c_name, nullif(o.o_orderpriority, '5-LOW') AS priority, planted.c_mktsegment
+  FROM planted JOIN orders AS o USING (o_orderkey) JOIN customer ON o_custkey = c_custkey),
+sizes AS (
+  SELECT 'c_name' AS "column", count(*) AS n_rows, count(c_name) AS n_values, count(DISTINCT c_name) AS m FROM named
+  UNION ALL SELECT 'priority', count(*), count(priority), count(DISTINCT priority) FROM named
+  UNION ALL SELECT 'c_mktsegment', count(*), count(c_mktsegment), count(DISTINCT c_mktsegment) FROM named)
+SELECT "column", n_rows, n_values, sum(m) OVER (ORDER BY m, "column") > 500 AS wide FROM sizes""",
+    "share_table": f"""
+WITH {t.WEIGHTED_SQL},
+named AS (
+  SELECT c_name, nullif(o.o_orderpriority, '5-LOW') AS priority, target, "classWeight" AS w
+  FROM weighted JOIN orders AS o USING (o_orderkey) JOIN customer ON o_custkey = c_custkey),
+{_shares('named', 'c_name', 'c')}, {_shares('named', 'priority', 'p')}
+SELECT 'c_name' AS "column", value, n, sum(n) OVER ()::BIGINT AS total, idx AS index, unseen FROM c
+UNION ALL SELECT 'priority', value, n, sum(n) OVER ()::BIGINT, idx, unseen FROM p""",
     "label_index": f"""
 WITH {t.PLANTED_SQL}, {_index('planted', 'target', 'y')}
 SELECT o_orderkey, target, y.idx AS label FROM planted JOIN y ON target = y.value""",
@@ -255,14 +350,21 @@ SELECT o_orderkey, target, round("classWeight", 6) AS "classWeight", c_mktsegmen
     "train_lr": _trained(_RIDGE),
     "train_rf": _trained(_SHARE),
     "train_gbt": _trained(_boosted(3)),
-    "train_lr_wide": f"""
-WITH named AS (SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey), {_index('named', 'c_name', 'c')}
-SELECT o_orderkey, c.idx AS name_index, true AS same_score FROM named JOIN c ON c_name = c.value""",
-    "cv_lr_wide": f"""
-WITH {t.PLANTED_SQL}, folded AS (SELECT {t.fold_sql('o_orderkey', CV_FOLDS)} AS fold FROM planted)
-SELECT fold, metric, count(*) AS n_rows, true AS same_value
-FROM folded, (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc')) AS metrics(metric)
-GROUP BY fold, metric""",
+    "train_lr_wide": _trained(_RIDGE),
+    "train_rf_wide": _STUMP_BY_SHARE,
+    "cv_lr_wide": _cross_validated("lr", _RIDGE),
+    "cv_lr_fold_weights": _cross_validated_fold_weights("lr", _RIDGE),
+    "cv_rf_fold_weights": _cross_validated_fold_weights("rf", _SHARE),
+    "cv_resumed": f"SELECT * FROM ({_cross_validated('rf', _SHARE)}) UNION ALL SELECT * FROM ({_cross_validated('lr', _RIDGE)})",
+    "fold_rankings": _FOLD_RANKED,
+    "feature_contract": f"""
+WITH known(slot, "column", role) AS (
+  VALUES (0, 'c_nationkey', 'feature'), (1, 'c_acctbal', 'feature'), (2, 'o_totalprice', 'feature'),
+         (3, 'o_orderstatus', 'feature'), (4, 'o_orderpriority', 'feature'), (5, 'c_mktsegment', 'feature')),
+types AS (
+  SELECT column_name, {_TYPE_NAME} AS type FROM information_schema.columns WHERE table_name IN ('orders', 'customer'))
+SELECT "column", type, role, slot::INTEGER AS slot FROM known JOIN types ON column_name = "column"
+UNION ALL SELECT 'target', 'string', 'target', NULL""",
     "random_folds": """
 SELECT fold::INTEGER AS fold, (SELECT count(*) FROM orders) AS n_rows, true AS even FROM range(10) AS folds(fold)""",
     "hash_folds": f"SELECT o_orderkey, {t.fold_sql('o_orderkey', 10)} AS fold FROM orders",
@@ -291,6 +393,18 @@ SELECT model, round(auc, 6) AS auc FROM measured""",
 WITH {t.FIXED_SCORES_SQL}, rounded AS (SELECT label, round(score, 3) AS score, prediction FROM fixed_scores),
 {t.metrics_sql('rounded')}
 SELECT round(auc, 6) AS auc FROM measured""",
+    "roc_auc_binned_by_model": f"""
+WITH {t.RIVAL_SCORES_SQL},
+distinct_scores AS (SELECT DISTINCT model, score FROM rival_scores),
+places AS (
+  SELECT model, score, row_number() OVER (PARTITION BY model ORDER BY score DESC) - 1 AS place,
+         greatest(count(*) OVER (PARTITION BY model) // 100, 1) AS grouping
+  FROM distinct_scores),
+chunked AS (
+  SELECT model, label, prediction, -(place // grouping)::DOUBLE AS score
+  FROM rival_scores AS r JOIN places AS p USING (model, score)),
+{t.metrics_sql('chunked', 'model')}
+SELECT model, round(auc, 6) AS auc FROM measured""",
     "cv_lr": _cross_validated("lr", _RIDGE),
     "cv_rf": _cross_validated("rf", _SHARE),
     "cv_gbt": _cross_validated("gbt", _boosted(3)),

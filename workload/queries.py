@@ -45,7 +45,8 @@ def schema_report(spark, sf_dir):
 @query
 def columns_present(spark, sf_dir):
     orders = t.given(spark, sf_dir, "orders")
-    return cw.columns_present(orders, ["o_orderkey", "o_orderdate", "O_ORDERKEY", "n_name", "o_orderkey "])
+    names = ["o_orderkey", "o_orderdate", "O_ORDERKEY", "n_name", "o_orderkey "]
+    return cw.columns_present(orders, names, count_values=True)
 
 
 @query
@@ -101,6 +102,31 @@ def csv_with_schema(spark, sf_dir):
     return cw.read_csv(spark, path, schema).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
+@query
+def csv_rejected(spark, sf_dir):
+    """Orders as text, some with a price that is no number, a field too many or one too few: what is kept and what not."""
+    path = fresh_path(spark, "csv")
+    price = F.when(F.col(KEY) % 7 == 3, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    fields = [KEY, "o_custkey", price, F.when(F.col(KEY) % 11 == 5, F.concat("o_orderstatus", F.lit(",more"))).otherwise(F.col("o_orderstatus"))]
+    cut = F.concat_ws(",", KEY, "o_custkey")
+    line = F.when(F.col(KEY) % 13 == 0, cut).otherwise(F.concat_ws(",", *fields))
+    t.given(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    table, rejected = cw.read_csv_checked(spark, path, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string", header=False)
+    sides = [table.select(F.lit("kept").alias("side"), KEY), rejected.select(F.lit("rejected").alias("side"), F.split("record", ",")[0].cast("bigint").alias(KEY))]
+    return sides[0].unionAll(sides[1]).groupBy("side").agg(F.count("*").alias("n_rows"), F.sum(KEY).alias("keys"))
+
+
+@query
+def table_versions(spark, sf_dir):
+    """A table that is published twice: the newest version, and the one before it as its readers still see it."""
+    path = fresh_path(spark, "versions")
+    orders = t.given(spark, sf_dir, "orders").select(KEY, "o_orderstatus")
+    for rows in (orders.filter("o_orderstatus <> 'P'"), orders.filter("o_orderstatus <> 'F'"), orders):
+        cw.write_version(rows, path)
+    versions = [cw.read_version(spark, path, back).withColumn("back", F.lit(back)) for back in (0, 1)]
+    return versions[0].unionAll(versions[1]).groupBy("back", "o_orderstatus").agg(F.count("*").alias("n_rows"), F.sum(KEY).alias("keys"))
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "weighted")
@@ -178,6 +204,23 @@ def string_index_joined(spark, sf_dir):
     return cw.index_by_table(rows, table, ["c_name", "priority"])
 
 
+@query
+def string_cardinality(spark, sf_dir):
+    """Which string columns are too wide for labels on the driver, if 500 may come there."""
+    rows = _customer_names(spark, sf_dir).join(t.weighted(spark, sf_dir).select(KEY, "c_mktsegment", TARGET), KEY)
+    report = cw.string_cardinality(rows, TARGET, exclude=[KEY], bound=500)
+    return report.select("column", "n_rows", "n_values", "wide")
+
+
+@query
+def share_table(spark, sf_dir):
+    """Categories by their share of the rarer class, by weight."""
+    names = _customer_names(spark, sf_dir).join(t.weighted(spark, sf_dir).select(KEY, TARGET, "classWeight"), KEY)
+    shares = cw.category_shares(names, ["c_name", "priority"], TARGET, "Yes", "classWeight")
+    table = cw.write_share_table(shares, fresh_path(spark, "shares"))
+    return table.select("column", "value", "n", "total", "index", "unseen")
+
+
 @query
 def label_index(spark, sf_dir):
     return cw.label_index(t.planted(spark, sf_dir).select(KEY, TARGET), TARGET)
@@ -242,12 +285,13 @@ def _probabilities(scored):
     return scored.select(KEY, "prediction", cw.class_probability("probability", 1, 6).alias("probability"))
 
 
-def _trained(spark, sf_dir, estimator):
-    """One written table for the fit and for the scoring."""
-    path = fresh_path(spark, "rows")
-    cw.write_parquet(t.banded(spark, sf_dir), path)
+def _trained(spark, sf_dir, estimator, table=t.banded, **options):
+    """One written table for the fit and for the scoring, and a model that is saved in between."""
+    path, model = fresh_path(spark, "rows"), fresh_path(spark, "model")
+    cw.write_parquet(table(spark, sf_dir), path)
     rows = cw.read_parquet(spark, path)
-    return _probabilities(cw.batch_score(rows, cw.fit_pipeline(rows, estimator, target=TARGET, exclude=[KEY]), [KEY]))
+    cw.save_model(cw.fit_pipeline(rows, estimator, target=TARGET, exclude=[KEY], **options), model)
+    return _probabilities(cw.batch_score(rows, model, [KEY]))
 
 
 @query
@@ -265,37 +309,31 @@ def train_gbt(spark, sf_dir):
     return _trained(spark, sf_dir, _small_boosted())
 
 
-def _wide(spark, sf_dir):
-    """A string feature with a value per customer, and a number."""
+@query
+def train_lr_wide(spark, sf_dir):
+    """The same model with its category joined from a table instead of looked up among labels."""
+    return _trained(spark, sf_dir, _small_logistic(), wide=["price_band"])
+
+
+def _by_customer(spark, sf_dir):
+    """One string feature with a value per customer."""
     names = _customer_names(spark, sf_dir).select(KEY, "c_name")
-    return t.weighted(spark, sf_dir).select(KEY, "o_totalprice", TARGET, "classWeight").join(names, KEY)
+    return t.weighted(spark, sf_dir).select(KEY, TARGET, "classWeight").join(names, KEY)
 
 
 @query
-def train_lr_wide(spark, sf_dir):
-    """Indices by joining with a table: whether a model so trained scores like one with its labels on the driver."""
-    with cw.staged(_wide(spark, sf_dir)) as table:
-        path = fresh_path(spark, "model")
-        options = {"target": TARGET, "exclude": [KEY]}
-        cw.save_model(cw.fit_pipeline(table, cw.logistic(), wide=["c_name"], **options), path)
-        labelled = cw.fit_pipeline(table, cw.logistic(), **options)
-    rows = _wide(spark, sf_dir)
-    by_table = cw.load_model(path).transform(rows).select(KEY, "c_name_idx", cw.class_probability("probability", 1, 12).alias("p"))
-    by_label = labelled.transform(rows).select(KEY, cw.class_probability("probability", 1, 12).alias("q"))
-    same = F.abs(F.col("p") - F.col("q")) < 1e-6
-    return by_table.join(by_label, KEY).select(KEY, F.col("c_name_idx").alias("name_index"), same.alias("same_score"))
+def train_rf_wide(spark, sf_dir):
+    """One split over all customers, ordered by share: the best of all subsets of them."""
+    stump = cw.forest(numTrees=1, maxDepth=1, bootstrap=False, maxBins=1 << 15)
+    return _trained(spark, sf_dir, stump, _by_customer, wide=["c_name"], order="target")
 
 
 @query
-def cv_lr_wide(spark, sf_dir):
-    """The same in cross-validation, where each fold has values that its training rows lack."""
-    options = {"target": TARGET, "key": KEY, "k": CV_FOLDS, "parallelism": CV_FOLDS}
-    with cw.staged(_wide(spark, sf_dir)) as table:
-        by_table = cw.cross_validate(table, cw.logistic(), "lr", wide=["c_name"], **options)
-        by_label = cw.cross_validate(table, cw.logistic(), "lr", **options)
-    other = by_label.select("fold", "metric", F.col("value").alias("labelled"))
-    same = F.abs(F.col("value") - F.col("labelled")) < 1e-6
-    return by_table.join(other, ["fold", "metric"]).select("fold", "metric", "n_rows", same.alias("same_value"))
+def feature_contract(spark, sf_dir):
+    """What a saved model says that it reads."""
+    path = fresh_path(spark, "model")
+    cw.save_model(_fit(t.weighted(spark, sf_dir), cw.logistic(maxIter=1)), path)
+    return cw.feature_contract(spark, cw.load_model(path))
 
 
 # Folds
@@ -319,7 +357,9 @@ def hash_folds(spark, sf_dir):
 @query
 def fold_assembly(spark, sf_dir):
     """The rows of each training and test table, and of the keys that both hold."""
-    rows = cw.hash_folds(t.planted(spark, sf_dir), KEY, 10).select(KEY, "fold")
+    path = fresh_path(spark, "folds")
+    cw.write_parquet(cw.hash_folds(t.planted(spark, sf_dir), KEY, 10).select(KEY, "fold"), path)
+    rows = cw.read_parquet(spark, path)
     parts = []
     for i in range(10):
         sides = cw.fold_assembly(rows, i)
@@ -361,16 +401,59 @@ def roc_auc_binned(spark, sf_dir):
     return cw.roc_auc(scores, num_bins=1000).select(*_rounded("auc"))
 
 
+@query
+def roc_auc_binned_by_model(spark, sf_dir):
+    """The area of every model's curve through about 100 points, from one plan."""
+    return cw.roc_auc(t.rival_scores(spark, sf_dir), by=["model"], num_bins=100).select("model", *_rounded("auc"))
+
+
 # Cross-validation
 
 
-def _cross_validated(spark, sf_dir, estimator, name):
-    metrics = cw.cross_validate(
-        t.banded(spark, sf_dir), estimator, name, TARGET, key=KEY, k=CV_FOLDS, parallelism=CV_FOLDS
-    )
+def _cross_validated(spark, sf_dir, estimator, name, **options):
+    rows = t.banded(spark, sf_dir)
+    options = {"key": KEY, "k": CV_FOLDS, "parallelism": CV_FOLDS, **options}
+    metrics = cw.cross_validate(rows, estimator, name, TARGET, **options)
     return metrics.select("model", "fold", "n_rows", "metric", *_rounded("value"))
 
 
+@query
+def cv_lr_wide(spark, sf_dir):
+    """Every fold joins its categories from a table of its own."""
+    return _cross_validated(spark, sf_dir, _small_logistic(), "lr", wide=["price_band"])
+
+
+@query
+def cv_lr_fold_weights(spark, sf_dir):
+    """The class ratio of each fold's training rows in place of the whole table's."""
+    return _cross_validated(spark, sf_dir, _small_logistic(), "lr", weights="fold", positive="Yes")
+
+
+@query
+def cv_rf_fold_weights(spark, sf_dir):
+    return _cross_validated(spark, sf_dir, _small_forest(), "rf", weights="fold", positive="Yes")
+
+
+@query
+def cv_resumed(spark, sf_dir):
+    """A forest, and then the forest again with a second model: what the first call fitted is taken from its folder."""
+    folder = fresh_path(spark, "fits")
+    options = {"key": KEY, "k": CV_FOLDS, "parallelism": CV_FOLDS, "resume": folder}
+    with cw.staged(t.banded(spark, sf_dir)) as rows:
+        cw.cross_validate(rows, _small_forest(), "rf", TARGET, **options)
+        both = cw.compare_models(rows, {"rf": _small_forest(), "lr": _small_logistic()}, TARGET, **options)
+    return both.select("model", "fold", "n_rows", "metric", *_rounded("value"))
+
+
+@query
+def fold_rankings(spark, sf_dir):
+    """The ranking on each fold's training rows."""
+    tree = cw.ranking_forest(numTrees=1, maxDepth=2, bootstrap=False)
+    rows = cw.hash_folds(t.three_bands(spark, sf_dir), KEY, 3)
+    ranked = cw.fold_rankings(rows, TARGET, k=3, exclude=[KEY], ranker=tree)
+    return ranked.select("fold", "rank", "feature", *_rounded("score"))
+
+
 @query
 def cv_lr(spark, sf_dir):
     return _cross_validated(spark, sf_dir, _small_logistic(), "lr")
