@@ -52,6 +52,47 @@ def _key_body(hit: Column) -> Column:
     return F.when(body == "", F.regexp_extract(hit, _PEM_HEADER, 0)).otherwise(body)
 
 
+#: Running sums and maxima go over blocks of so many elements, and texts are cut into chunks of so many characters:
+#: no array or text grows step by step, so the work is in proportion to a text's spans.
+BLOCK, CHUNK = 64, 4096
+
+
+def _bind(value: Column, use) -> Column:
+    """`use(value)`, with `value` computed once: inside a function of array elements, an expression is computed for each."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, start: Column, merge, use) -> Column:
+    """`use(before)`, where before(i) merges `start` and all `values` before place i (from 0).
+
+    Each block of values is merged once, the blocks before a block are merged for it, and so is what lies in its block
+    before a place.
+    """
+
+    def merged(part: Column) -> Column:
+        return F.aggregate(part, start, merge)
+
+    def with_values(own: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.size(own) / BLOCK).cast("int"))
+        sums = F.transform(blocks, lambda b: merged(F.slice(own, b * BLOCK + 1, F.lit(BLOCK))))
+
+        def with_sums(all_sums: Column) -> Column:
+            bases = F.transform(all_sums, lambda _, b: merged(F.slice(all_sums, F.lit(1), b)))
+
+            def with_bases(own_bases: Column) -> Column:
+                def before(i: Column) -> Column:
+                    block = F.floor(i / BLOCK).cast("int")
+                    return F.aggregate(F.slice(own, block * BLOCK + 1, i - block * BLOCK), F.get(own_bases, block), merge)
+
+                return use(before)
+
+            return _bind(bases, with_bases)
+
+        return _bind(sums, with_sums)
+
+    return _bind(values, with_values)
+
+
 def _kind_spans(text: Column, kind: str) -> Column:
     """array<struct<start, end, kind, value>>: the leftmost non-overlapping matches of one kind, in code points.
 
@@ -59,22 +100,27 @@ def _kind_spans(text: Column, kind: str) -> Column:
     """
     _, least, group = (BASE | CANDIDATES)[kind]
     pattern = _SEARCH[kind]
-    gaps = F.split(text, pattern, -1)
+    gaps = F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap))
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    counted = F.transform(whole, _key_body) if kind == "pem" else counted
-    pairs = F.arrays_zip(gaps.alias("gap"), whole.alias("hit"), counted.alias("value"))
-    # The last gap has no match behind it; its fields are null and add nothing.
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string>>)").alias("found"))
+    pairs = F.arrays_zip(gaps.alias("gap"), whole.alias("hit"))
+
+    def value(hit: Column) -> Column:
+        return _key_body(hit) if kind == "pem" else F.regexp_extract(hit, pattern, group) if group else hit
+
+    def spans(found: Column) -> Column:
+        # The last gap has no match behind it; its length is not needed.
+        steps = F.transform(found, lambda x: x["gap"] + F.coalesce(F.length(x["hit"]), F.lit(0)))
+
+        def placed(before) -> Column:
+            def span(x: Column, i: Column) -> Column:
+                start = before(i) + x["gap"]
+                return F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), F.lit(kind).alias("kind"), value(x["hit"]).alias("value"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["gap"])
-        end = begin + F.coalesce(F.length(pair["hit"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), pair["value"].alias("value"))
-        keep = pair["hit"].isNotNull() & (F.length(pair["value"]) >= least)
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
+            return F.filter(F.transform(F.filter(found, lambda x: x["hit"].isNotNull()), span), lambda x: F.length(x["value"]) >= least)
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["found"])
+        return _before(steps, F.lit(0), lambda a, b: a + b, placed)
+
+    return _bind(pairs, spans)
 
 
 def _may_hold(text: Column, kind: str) -> Column:
@@ -99,7 +145,12 @@ def find_spans(docs: DataFrame, text_col: str = "text", name: str = "spans") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string>>)")
     found = F.concat(*[F.when(_may_hold(text, k), _kind_spans(text, k)).otherwise(none) for k in KINDS])
-    return docs.withColumn(name, F.when(reduce(or_, [_may_hold(text, k) for k in KINDS]), _ordered(found)).otherwise(none))
+    return docs.withColumn(name, F.when(any_part(text), _ordered(found)).otherwise(none))
+
+
+def any_part(text: Column) -> Column:
+    """False for most texts without any span."""
+    return reduce(or_, [_may_hold(text, k) for k in KINDS])
 
 
 def _hash(value: Column) -> Column:
@@ -133,38 +184,39 @@ def scan_secrets(
     New columns (with underscores appended where `docs` has the name): spans, array of (start, end, kind, value, owners,
     repositories, live) by start and kind, in code points; n_live and n_example, long. A base span always stays; a
     candidate stays only where few owners and repositories carry it, since a widely copied one is a documentation
-    example. A private key reaches from its header to its END line, and its body is the value that owners are counted by. Owners default to the column `source`, repositories to `source` and `lang`; a null counts as an owner of its
-    own. A null or empty text has no spans; repeated rows are scanned one by one and count once per repository. Documents
-    without a span are not shuffled.
+    example. A private key reaches from its header to its END line, and its body is the value that owners are counted by.
+    Owners default to the column `source`, repositories to `source` and `lang`; a null counts as an owner of its own. A
+    null or empty text has no spans; repeated rows are scanned one by one and count once per repository. Texts of any
+    length take time in proportion to their length and spans. Documents without a span are not shuffled.
     """
     owner = F.col("source") if owner is None else owner
     repository = F.struct("source", "lang") if repository is None else repository
     names = {n: free_name(docs.columns, n) for n in ("spans", "n_live", "n_example")}
-    raw, key, own_key, own_list = (free_name(docs.columns, n) for n in ("_raw", "_key", "_id", "_list"))
-    found = find_spans(docs, text_col, raw)
-    # Few documents hold a span, so those are written once: their owners and their lists of spans.
-    held = written(found.where(F.size(raw) > 0).select(owner.alias("owner"), repository.alias("repository"), F.col(raw).alias("list")), "secrets")
-    credentials = ownership(held, "list", F.col("owner"), F.col("repository"), max_owners, max_repositories).drop("occurrences")
-
-    # What a document's spans look up: its own distinct credentials, joined by hash and put back together per list.
-    lists = held.select(F.xxhash64(F.to_json("list")).alias("id"), "list").distinct()
-    looked = lists.select("id", "list", F.explode(F.array_distinct(F.transform("list", lambda x: _hash(x["value"])))).alias("credential"))
-    judged = looked.join(credentials, "credential").groupBy("id", "list").agg(F.map_from_entries(F.collect_list(F.struct("credential", F.struct("owners", "repositories", "live")))).alias("by"))
-
-    def full(x: Column) -> Column:
-        own = F.col("by")[_hash(x["value"])]
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["value"].alias("value"), *[own[n].alias(n) for n in ("owners", "repositories", "live")])
-
+    raw, key = (free_name([*docs.columns, *names.values()], n) for n in ("_raw", "_key"))
+    may = any_part(F.coalesce(F.col(text_col), F.lit("")))
+    # Patterns run once over each text that a plain search lets through; those rows are written with their spans.
+    searched = written(find_spans(docs.where(may), text_col, raw), "secrets")
+    held = searched.where(F.size(raw) > 0).withColumn(key, F.sha2(F.to_json(raw), 256))
+    credentials = ownership(held, raw, owner, repository, max_owners, max_repositories).drop("occurrences")
+
+    # What a document's spans look up, once for each distinct list of spans: its credentials, joined and put back in order.
+    lists = held.select(F.col(key).alias("id"), F.col(raw).alias("list")).groupBy("id").agg(F.any_value("list").alias("list"))
+    looked = lists.select("id", F.posexplode("list").alias("at", "x")).withColumn("credential", _hash(F.col("x.value")))
     base = F.array(*[F.lit(k) for k in BASE])
-    spans = F.filter(F.transform("list", full), lambda x: F.array_contains(base, x["kind"]) | x["live"])
-    judged = judged.select(F.col("id").alias(own_key), F.col("list").alias(own_list), spans.alias(names["spans"]))
+    found = looked.join(credentials, "credential").where(F.array_contains(base, F.col("x.kind")) | F.col("live"))
+    row = F.struct("at", "x", "owners", "repositories", "live")
+    judged = found.groupBy("id").agg(F.array_sort(F.collect_list(row)).alias("all"))
+    full = lambda s: F.struct(*[s["x"][n].alias(n) for n in ("start", "end", "kind", "value")], *[s[n].alias(n) for n in ("owners", "repositories", "live")])
+    own_key = free_name([*docs.columns, *names.values(), raw, key], "_id")
+    judged = judged.select(F.col("id").alias(own_key), F.transform("all", full).alias(names["spans"]))
     counts = lambda live: F.size(F.filter(F.col(names["spans"]), lambda x: x["live"] == live)).cast("long")
 
-    keyed = found.withColumn(key, F.when(F.size(raw) > 0, F.xxhash64(F.to_json(raw))))
     empty = F.expr("cast(array() AS array<struct<start:int,end:int,kind:string,value:string,owners:bigint,repositories:bigint,live:boolean>>)")
-    with_spans = keyed.where(F.size(raw) > 0).join(judged, (F.col(key) == F.col(own_key)) & (F.col(raw) == F.col(own_list)))
-    without = keyed.where(F.size(raw) == 0).withColumn(names["spans"], empty)
-    out = with_spans.select(*columns(docs.columns), names["spans"]).unionAll(without.select(*columns(docs.columns), names["spans"]))
+    # A list of copied examples only has no row left.
+    with_spans = held.join(judged, F.col(key) == F.col(own_key), "left").withColumn(names["spans"], F.coalesce(F.col(names["spans"]), empty))
+    without = [rows.withColumn(names["spans"], empty) for rows in (searched.where(F.size(raw) == 0), docs.where(~may))]
+    parts = [rows.select(*columns(docs.columns), names["spans"]) for rows in (with_spans, *without)]
+    out = reduce(DataFrame.unionAll, parts)
     return out.withColumn(names["n_live"], counts(True)).withColumn(names["n_example"], counts(False))
 
 
@@ -172,17 +224,30 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[{}]", **option
     """`docs` with every span of `scan_secrets` replaced by its kind in brackets; overlapping spans become one. Same columns."""
     scanned = scan_secrets(docs, text_col, **options)
     spans = [c for c in scanned.columns if c not in docs.columns][0]
-    text = F.coalesce(F.col(text_col), F.lit(""))
     first, last = mark.split("{}")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        new = x["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        out = F.when(new, F.concat(acc["out"], gap, F.lit(first), x["kind"], F.lit(last))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+    def replaced(text: Column) -> Column:
+        def cut(chunks: Column, start: Column, end: Column) -> Column:
+            """Characters `start` to `end` of the text, from the chunks that hold them."""
+            chunk = F.floor(start / CHUNK).cast("int")
+            inside = F.array_join(F.slice(chunks, chunk + 1, F.floor(end / CHUNK).cast("int") - chunk + 1), "")
+            return F.when(end > start, F.substring(inside, start - chunk * CHUNK + 1, end - start)).otherwise("")
+
+        def pieces(chunks: Column) -> Column:
+            def joined(before) -> Column:
+                def piece(x: Column, i: Column) -> Column:
+                    whole = F.concat(cut(chunks, before(i), x["start"]), F.lit(first), x["kind"], F.lit(last))
+                    return F.when(x["start"] >= before(i), whole).otherwise("")
+
+                tail = cut(chunks, before(F.size(spans)), F.length(text))
+                return F.concat(F.array_join(F.transform(F.col(spans), piece), ""), tail)
+
+            return _before(F.transform(F.col(spans), lambda x: x["end"]), F.lit(0), lambda a, b: F.greatest(a, b), joined)
+
+        starts = F.sequence(F.lit(0), F.floor(F.length(text) / CHUNK).cast("int"))
+        return _bind(F.transform(starts, lambda k: F.substring(text, k * CHUNK + 1, F.lit(CHUNK))), pieces)
 
-    done = F.aggregate(F.col(spans), begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    done = replaced(F.coalesce(F.col(text_col), F.lit("")))
     clean = F.when(F.size(spans) > 0, done).otherwise(F.col(text_col)).alias(text_col)
     return scanned.select(*[clean if c == text_col else x for c, x in zip(docs.columns, columns(docs.columns))])
 

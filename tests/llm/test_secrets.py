@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -93,3 +94,33 @@ def test_how_far_a_private_key_reaches(spark):
     df = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(texts)], "k int, text string, lang string, source string")
     got = dict(secrets.redact(df).select("k", "text").collect())
     assert [got[k] for k in range(len(texts))] == list(texts.values())
+
+
+def test_a_text_with_a_hundred_thousand_spans(spark):
+    """Time in proportion to the spans: with arrays or texts that grow span by span this would take minutes."""
+    n = 100_000
+    text = "".join(f"{k:016x} é" for k in range(n))
+    df = spark.createDataFrame([(0, text, "a", "en"), (1, text, "a", "en"), (2, "clean", "a", "en")], "k int, text string, source string, lang string").repartition(1)
+    start = time.time()
+    rows = {r["k"]: r for r in secrets.scan_secrets(df).select("k", F.size("spans").alias("n"), F.try_element_at("spans", F.lit(-1)).alias("last"), F.get("spans", F.lit(64)).alias("some"), "n_live").collect()}
+    assert rows[0]["n"] == rows[1]["n"] == rows[0]["n_live"] == n and rows[2]["n"] == 0
+    assert (rows[0]["last"]["start"], rows[0]["last"]["end"]) == (18 * (n - 1), 18 * (n - 1) + 16) and rows[1]["some"]["start"] == 18 * 64
+    clean = dict(secrets.redact(df).select("k", "text").collect())
+    assert clean[0] == "[hex] é" * n and clean[2] == "clean"
+    assert time.time() - start < 90
+
+
+def test_redaction_of_overlapping_spans_over_many_chunks(spark):
+    rng = random.Random(7)
+    parts = ["token=", "Password: '", "AKIA", "ABCDEF0123456789XY", "0123456789abcdef" * 3, "é𝒳 ", " ", "plain words ", "x" * 3000]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 200))) for _ in range(60)]
+    df = spark.createDataFrame([(k, t, "en", f"s{k}") for k, t in enumerate(texts)], "k int, text string, lang string, source string")
+    spans = {k: r["spans"] for k, r in scan(df).items()}
+    clean = dict(secrets.redact(df).select("k", "text").collect())
+    for k, text in enumerate(texts):
+        out, at = "", 0
+        for s in spans[k]:
+            if s["start"] >= at:
+                out += text[at : s["start"]] + f"[{s['kind']}]"
+            at = max(at, s["end"])
+        assert clean[k] == out + text[at:]
