@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -60,17 +61,31 @@ def _names(attributes: list[tuple[str, str | None]], inside: str = "") -> set[st
     return out
 
 
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+
+
 class _Lines(HTMLParser):
-    """Turns parser events into lines: one per block, with its characters, tags, characters in links, and groups around it."""
+    """Turns parser events into lines: one per block, with its characters, tags, characters in links, and innermost group.
+
+    What every event asks of the open elements is counted as they open and close, so deep nesting costs no more than its
+    tags: how many are open of each tag and where, the open blocks, the groups, and what is apart.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str]] = []  # (tag, why it is apart: "", "apart" or "comment")
+        # (tag, why it is apart: "", "apart", "comment" or "heading" for an article's own header, blocks open so far)
+        self.open: list[tuple[str, str, int]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[str] = []
         self.apart = 0
+        self.headers = 0
+        self.headings = 0
         self.links = 0
+        self.articles = 0
         self.groups: list[int] = []
         self.kinds: list[str] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...], str]] = []
+        self.parents: list[int] = []
+        self.lines: list[tuple[str, int, int, int, str]] = []
         self._fresh()
 
     def _fresh(self) -> None:
@@ -81,32 +96,51 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            block = next((t for t, _ in reversed(self.open) if t in _BLOCK), "body")
-            self.lines.append((text, self.tags, self.linked, tuple(self.groups), block))
+            group = self.groups[-1] if self.groups else -1
+            self.lines.append((text, self.tags, self.linked, group, self.blocks[-1] if self.blocks else "body"))
             self._fresh()
         else:
             self.parts = []
 
+    def _push(self, tag: str, why: str, names: set[str]) -> None:
+        self.places[tag].append(len(self.open))
+        if tag in _BLOCK:
+            self.blocks.append(tag)
+        self.open.append((tag, why, len(self.blocks)))
+        self.apart += bool(why)
+        self.headers += why == "heading"
+        self.headings += tag in _HEADINGS
+        self.links += tag == "a"
+        if tag in _GROUP:
+            self.parents.append(self.groups[-1] if self.groups else -1)
+            self.groups.append(len(self.kinds))
+            self.kinds.append("main" if "main" in names and tag != "body" else tag)
+            self.articles += self.kinds[-1] in ("article", "main")
+
     def _pop(self, depth: int) -> None:
         """Close all elements from `depth` on."""
         while len(self.open) > depth:
-            tag, why = self.open.pop()
+            tag, why, _ = self.open.pop()
             if tag in _BLOCK:
+                # The line lies in the elements around this one, and is named after the innermost block of those.
+                self.blocks.pop()
                 self._end_line()
             elif tag in ("td", "th"):
                 self.parts.append(" ")
+            self.places[tag].pop()
             self.apart -= bool(why)
+            self.headers -= why == "heading"
+            self.headings -= tag in _HEADINGS
             self.links -= tag == "a"
             if tag in _GROUP:
-                self.groups.pop()
+                self.articles -= self.kinds[self.groups.pop()] in ("article", "main")
 
     def _find(self, tags: set[str], stop: set[str]) -> int | None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in tags:
-                return k
-            if self.open[k][0] in stop:
-                return None
-        return None
+        """The innermost open element of `tags`, unless one of `stop` lies further in."""
+        found = max((self.places[t][-1] for t in tags if self.places[t]), default=None)
+        if found is None or any(self.places[t] and self.places[t][-1] > found for t in stop):
+            return None
+        return found
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -119,10 +153,10 @@ class _Lines(HTMLParser):
             self._pop(k)
         elif tag in _BLOCK and (k := self._find({"p"}, _GROUP | {"li", "blockquote", "table"})) is not None:
             self._pop(k)
-        article = any(self.kinds[g] in ("article", "main") for g in self.groups)
+        article = self.articles > 0
         names = _names(attrs, tag if article else "") if attrs else set()
-        if tag in ("main", "article") and self.apart and not names & _COMMENT and not any(why == "comment" or t in ("head", "script", "style", "aside", "form", "template") for t, why in self.open):
-            self._pop(next(k for k, (_, why) in enumerate(self.open) if why))  # a menu or an advert that was never closed
+        if tag in ("main", "article") and self.apart and not names & _COMMENT and not any(why == "comment" or t in ("head", "script", "style", "aside", "form", "template") for t, why, _ in self.open):
+            self._pop(next(k for k, (_, why, _) in enumerate(self.open) if why))  # a menu or an advert that was never closed
         if tag in _BLOCK:
             self._end_line()
         self.tags += 1
@@ -132,24 +166,23 @@ class _Lines(HTMLParser):
         if tag == "article":
             words &= _COMMENT | {"hidden", "related", "recommended", "ad", "ads", "sponsored", "promo"}
         why = "comment" if words & _COMMENT else "apart" if tag in _APART or words else ""
-        self.open.append((tag, why))
-        self.apart += bool(why)
-        self.links += tag == "a"
-        if tag in _GROUP:
-            self.groups.append(len(self.kinds))
-            self.kinds.append("main" if "main" in names and tag != "body" else tag)
+        if tag == "header" and article and not words:
+            why = "heading"
+        self._push(tag, why, names)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        k = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
-        if k is not None and (tag in _BLOCK or tag in _APART or tag in _GROUP or not any(t in _BLOCK for t, _ in self.open[k + 1 :])):
-            self._pop(k)
+        if self.places[tag]:
+            k = self.places[tag][-1]
+            if tag in _BLOCK or tag in _APART or tag in _GROUP or self.open[k][2] == len(self.blocks):
+                self._pop(k)
 
     def handle_data(self, data: str) -> None:
-        if not self.apart:
+        # Of an article's own header the headings are part of the article.
+        if not self.apart or self.headings and self.apart == self.headers:
             self.parts.append(data)
             if self.links:
                 self.linked += len(data.strip())
@@ -182,18 +215,34 @@ def main_text(html: str | None) -> str:
     ratio = smooth((chars - linked) / np.maximum([x[1] for x in lines], 1))
     content = ratio >= min(float(ratio.std()), float(ratio.max()))
     # The clusters above the threshold say which part of the page holds the text; within it short lines belong to it too.
-    weight: dict[int, float] = {}
-    for line, n, above in zip(lines, chars - linked, content):
-        if above:
-            for group in line[3]:
-                weight[group] = weight.get(group, 0.0) + n
+    # A group's weight is that of the lines in it and in the groups inside it, which all have higher numbers.
+    group, parents, kinds = np.array([x[3] for x in lines]), parser.parents, parser.kinds
+    weight, holds = [0.0] * len(kinds), [False] * len(kinds)
+    for g, n in zip(group[content].tolist(), (chars - linked)[content].tolist()):
+        if g >= 0:
+            weight[g] += n
+            holds[g] = True
+    for g in range(len(kinds) - 1, -1, -1):
+        if holds[g] and parents[g] >= 0:
+            weight[parents[g]] += weight[g]
+            holds[parents[g]] = True
     total = float(((chars - linked) * content).sum())
-    marked = [g for g in weight if parser.kinds[g] in ("article", "main") and weight[g] >= 0.3 * total]
-    inner = [g for g in marked if not any(g in line[3] and line[3].index(g) < len(line[3]) - 1 and any(h in marked for h in line[3][line[3].index(g) + 1 :]) for line in lines)]
-    chosen = set(inner) or {max((g for g in weight if weight[g] >= 0.6 * total), default=-1)}
-    inside = np.array([not x[3] or chosen == {-1} or bool(chosen & set(x[3])) for x in lines])
+    marked = [holds[g] and kinds[g] in ("article", "main") and weight[g] >= 0.3 * total for g in range(len(kinds))]
+    around = [False] * len(kinds)  # groups with a marked one inside
+    for g in range(len(kinds) - 1, -1, -1):
+        if parents[g] >= 0 and (marked[g] or around[g]):
+            around[parents[g]] = True
+    inner = [m and not x for m, x in zip(marked, around)]
+    chosen = max((g for g in range(len(kinds)) if holds[g] and weight[g] >= 0.6 * total), default=-1)
+    picked = inner if any(inner) else [g == chosen for g in range(len(kinds))]
+    in_picked, in_article = [False] * len(kinds), [False] * len(kinds)
+    for g, parent in enumerate(parents):
+        in_picked[g] = picked[g] or parent >= 0 and in_picked[parent]
+        in_article[g] = inner[g] or parent >= 0 and in_article[parent]
+    everything = not any(picked)
+    inside = np.array([g < 0 or everything or in_picked[g] for g in group.tolist()])
     # Three or more lines in a row that are links and nothing else are a menu, whatever they are called, but in an article.
-    article = np.array([bool(set(inner) & set(x[3])) for x in lines])
+    article = np.array([g >= 0 and in_article[g] for g in group.tolist()])
     only_links = ~article & (linked >= 0.9 * chars) & np.array([x[4] != "p" for x in lines])
     menu = np.zeros(len(lines), dtype=bool)
     begin = 0

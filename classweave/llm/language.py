@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,16 +136,26 @@ def _calibrated(model: Model, texts: list[str], y: np.ndarray, rng: np.random.Ge
 
 
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, may_learn: Column, per_language: int = SAMPLE_PER_LANGUAGE, chars: int = PASSAGE_CHARS) -> list[tuple[str, str]]:
-    """(passage, label): about `per_language` documents of each label, picked by a hash, and of each one passage, placed by the hash."""
+    """(passage, label): about `per_language` documents of each label, picked by a hash, and of each one passage, placed by the hash.
+
+    The hash is that of id and text, so neither a null nor a repeated id brings many rows together; rows that are equal in
+    both count once. At most 1.1 times the bound of each label comes to the driver.
+    """
     known = docs.where(may_learn & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
     if not counts:
         return []
-    pick = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30))
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    pick = F.pmod(key, F.lit(1 << 30))
     bound = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(min(1.0, per_language / n) * (1 << 30)))])
-    start = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)), F.greatest(F.length(text_col) - chars + 1, F.lit(1)))
-    rows = known.where(pick <= bound[F.col(label_col)]).select(pick.alias("k"), F.substring(F.col(text_col), start.cast("int") + 1, F.lit(chars)).alias("t"), F.col(label_col).alias("l"))
-    return [(r["t"], r["l"]) for r in sorted(rows.collect())]
+    start = F.pmod(F.xxhash64(F.col(text_col), F.lit(1)), F.greatest(F.length(text_col) - chars + 1, F.lit(1)))
+    passage = F.substring(F.col(text_col), start.cast("int") + 1, F.lit(chars))
+    rows = known.where(pick <= bound[F.col(label_col)]).select(key.alias("k"), passage.alias("t"), F.col(label_col).alias("l"))
+    # Equal rows are merged in their tasks first, so the window sees about the bound for each label.
+    distinct = rows.groupBy("l", "k").agg(F.min("t").alias("t"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy("k"))
+    kept = distinct.withColumn("place", place).where(F.col("place") <= per_language + per_language // 10)
+    return [(r["t"], r["l"]) for r in sorted(kept.select("k", "t", "l").collect())]
 
 
 def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", may_learn: Column | None = None, **bounds) -> Model:

@@ -1,5 +1,7 @@
 import html as entities
+import random
 import re
+import time
 
 import pytest
 
@@ -32,7 +34,7 @@ def test_pages(body, blocks):
     assert html.main_text(page(body)).split("\n\n") == (blocks or [""])
 
 
-@pytest.mark.parametrize("text", [None, "", " \n", "<", "<p", "<!--", "<script>", "</p></p>", "<p>a</", "&am", "<a " * 1000, "<div>" * 3000 + "deep", "\x00<p>퟿</p>"])
+@pytest.mark.parametrize("text", [None, "", " \n", "<", "<p", "<!--", "<script>", "</p></p>", "<p>a</", "&am", "<a " * 1000, "<div>" * 3000 + "deep", "<div>x" * 100_000, "<b><div>x</b>" * 50_000, "<article>x " * 50_000, "\x00<p>퟿</p>"])
 def test_odd_pages_do_not_crash(text):
     assert isinstance(html.main_text(text), str)
 
@@ -78,3 +80,39 @@ def test_the_query_against_the_given_pages(spark, sf_dir):
 def test_articles_keep_their_parts(kind, inner, blocks):
     menu = "<div><div><a href=a>A</a></div><div><a href=b>B</a></div><div><a href=c>C</a></div></div>"
     assert html.main_text(page(f"{menu}<{kind}>{inner}</{kind}>{menu}")).split("\n\n") == blocks
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<b>x", "<article>x ", "<p><b>", "<ul><li>x", "<b><div>x</b>", "<h1>x"])
+def test_time_in_proportion_to_the_depth(unit):
+    start = time.time()
+    html.main_text(unit * 100_000)
+    assert time.time() - start < 15
+
+
+def test_the_heading_in_an_articles_own_header_stays():
+    inner = f"<header><nav>menu</nav><h1>Title <b>bold</b></h1><p>By someone, 3 May</p></header><p>{LONG}</p>"
+    menu = f"<header><h1>Site</h1><p>{LONG}</p></header>"
+    for kind in ("article", "main"):
+        assert html.main_text(page(f"{menu}<{kind}>{inner}</{kind}>")).split("\n\n") == ["Title bold", LONG]
+        assert html.main_text(page(f"<{kind}><header class=ad><h1>Buy</h1></header><p>{LONG}</p></{kind}>")) == LONG
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_made_pages_without_an_article_element(seed):
+    """Pages put together from known parts: only the parts of the text may come out, in order."""
+    rng = random.Random(seed)
+    words = "stone river cloud paper window garden market letter winter music".split()
+    sentence = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+    blocks = [sentence(rng.randint(15, 60)) for _ in range(rng.randint(4, 12))]
+    blocks.insert(rng.randint(1, 3), sentence(3))
+    marked = [f"<p>{b.replace(' ', rng.choice([' ', ' <b>x</b> '.replace('x', 'and'), '&#32;']), 1)}</p>" for b in blocks]
+    text = [entities.unescape(re.sub("<[^>]*>", "", m)) for m in marked]
+    aside = [
+        f"<div class='{rng.choice(['sidebar', 'site-nav', 'cookie-banner', 'comments', 'newsletter-signup'])}'>{sentence(40)}</div>",
+        f"<footer>{sentence(30)}</footer>", f"<nav><a href=x>{sentence(2)}</a></nav>", f"<script>var x = '{sentence(20)}';</script>",
+        "<ul>" + "".join(f"<li><a href={k}>{sentence(2)}</a></li>" for k in range(5)) + "</ul>",
+    ]
+    rng.shuffle(aside)
+    cut = rng.randint(0, len(aside))
+    body = "".join(aside[:cut]) + f"<div id=content>{''.join(marked)}</div>" + "".join(aside[cut:])
+    assert html.main_text(page(body)).split("\n\n") == [" ".join(x.split()) for x in text]

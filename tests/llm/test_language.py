@@ -73,3 +73,51 @@ def test_scores_are_calibrated(model):
     logits, count = model.logits(*language._as_bytes(["der mit", ""]))
     assert count.tolist()[1] == 0 and np.isfinite(logits).all()
     assert pa.array(model.languages).to_pylist() == ["de", "en"]
+
+
+@pytest.mark.parametrize("doc_id", ["id", "CAST(NULL AS BIGINT)", "7", "id % 3"])
+def test_the_sample_is_bounded_whatever_ids_repeat(spark, doc_id):
+    df = spark.range(20_000).select(F.expr(f"{doc_id} AS doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.when(F.col("id") % 4 == 0, "xx").otherwise("yy").alias("lang"))
+    sample = language.labelled_sample(df, "doc_id", "text", "lang", F.lit(True), per_language=300)
+    counts = {lang: sum(x == lang for _, x in sample) for lang in ("xx", "yy")}
+    assert all(200 < n <= 330 for n in counts.values())
+    assert language.labelled_sample(df.repartition(7), "doc_id", "text", "lang", F.lit(True), per_language=300) == sample
+    same = spark.range(20_000).selectExpr("1 AS doc_id", "'one text' AS text", "'xx' AS lang")
+    assert len(language.labelled_sample(same, "doc_id", "text", "lang", F.lit(True), per_language=300)) <= 330
+
+
+def plain_prediction(model, text):
+    """The language and score of one text, subword by subword."""
+    spaced, out = b" ", np.zeros(len(model.languages))
+    for c in text.encode():
+        letter = 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
+        spaced += bytes([c + 32 if 65 <= c <= 90 else c]) if letter else b" "
+    spaced += b" "
+    count = 0
+    for k, size in enumerate(language.GRAMS):
+        for i in range(len(spaced) - size + 1):
+            gram = spaced[i : i + size]
+            if 32 in gram[1:-1] or gram[0] == gram[-1] == 32:
+                continue
+            code = np.array([int.from_bytes(gram, "big")], dtype=np.uint64)
+            slot = code if size == 2 else language.tb.mix(code) >> np.uint64(48)
+            out += model.weights[int(slot[0]) + k * language.SLOTS].astype(np.float64)
+            count += 1
+    logits = (out / max(count, 1) + model.bias) / model.temperature
+    p = np.exp(logits - logits.max())
+    return model.languages[int(p.argmax())], float(p.max() / p.sum())
+
+
+def test_predictions_against_a_plain_version(spark, model, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    texts = ["the und", "Der! THE 12 thing", "é", "日本 with", "nicht"] + [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect() if r["text"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    rows = {r["k"]: r for r in language.identify(df, model).collect()}
+    assert len(rows) == len(texts)
+    for k, text in enumerate(texts):
+        if any(c.isalpha() for c in text):
+            lang, score = plain_prediction(model, text)
+            assert rows[k]["lang_pred"] == lang and rows[k]["score"] == pytest.approx(score, abs=1e-6)
+            assert rows[k]["rejected"] == (rows[k]["score"] < model.threshold)
+        else:
+            assert (rows[k]["lang_pred"], rows[k]["score"], rows[k]["rejected"]) == ("und", 0.0, True)
