@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from classweave.functions import quoted
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import bound_batches, free_name
+from classweave.llm.frames import bound_batches, columns, free_name
 from classweave.sources.staging import fresh_path
 
 #: Distinct pieces of text whose ids a worker keeps.
@@ -75,14 +76,16 @@ class Encoder:
 
     A byte-level tokenizer of this kind splits a text first, and each line feed between two visible characters, and each
     space between two visible characters, begins a new part. So texts may be cut there, and of the pieces of many texts
-    each distinct one is encoded once. A text is encoded whole where a piece begins or ends with any white space.
+    each distinct one is encoded once. A text is encoded whole where a piece begins or ends with any white space, and
+    where it holds an added token, such as the mark of a text's end, which becomes that token's id as in a plain call.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: What the tokenizer reads as one token wherever it stands: a text with one is encoded whole.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         # For a piece of letters only, which the split would leave whole.
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -172,8 +175,10 @@ class Encoder:
         fed = np.concatenate([[0], np.cumsum(feeds)]) * len(self.feed)
         text_end = (ends[piece_of_line[line_of_text]] + fed[line_of_text]) * 4
         out = [ids[s:e] for s, e in zip(text_end[:-1].tolist(), text_end[1:].tolist())]
-        whole = np.unique(np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(uncuttable[row]), side="right") - 1)
-        for k in whole.tolist():
+        whole = set((np.searchsorted(piece_of_line[line_of_text], np.flatnonzero(uncuttable[row]), side="right") - 1).tolist())
+        for token in self.added:
+            whole.update(np.flatnonzero(pc.match_substring(column, token).to_numpy(zero_copy_only=False)).tolist())
+        for k in sorted(whole):
             out[k] = np.array(self.ids(column[k].as_py()), dtype="<u4").tobytes()
         return out
 
@@ -307,12 +312,13 @@ def tokens_at(spark: SparkSession, path: str, places: DataFrame, doc_col: str =
     already has keep their values; of a document that was written twice, both copies answer.
     """
     name = free_name(places.columns, "token")
-    asked = places.withColumn("_place", F.struct(*places.columns))
+    # The columns of `places` go along in one, so that theirs and those below cannot clash.
+    asked = places.select(F.struct(*columns(places.columns)).alias("_place"), F.col(quoted(doc_col)).alias("_asked"), F.col(quoted(at_col)).alias("_at"))
     stored = spark.read.schema(_BLOCK_SCHEMA).parquet(path)
     entry = stored.select("shard", "block", F.posexplode(F.arrays_zip(F.col("doc_ids").alias("doc"), F.col("ends").alias("end"))).alias("k", "x"), "ends")
     entry = entry.select("shard", "block", F.col("x.doc").alias("_doc"), F.when(F.col("k") > 0, F.expr("ends[k - 1]")).otherwise(0).alias("_start"), F.col("x.end").alias("_end"))
-    at = F.col(at_col)
-    wanted = asked.join(entry, F.col(doc_col) == F.col("_doc")).select("shard", "block", "_place", F.when((at >= 0) & (at < F.col("_end") - F.col("_start")), F.col("_start") + at).alias("_i"))
+    at = F.col("_at")
+    wanted = asked.join(entry, F.col("_asked") == F.col("_doc")).select("shard", "block", "_place", F.when((at >= 0) & (at < F.col("_end") - F.col("_start")), F.col("_start") + at).alias("_i"))
 
     def look_up(batches):
         from classweave.llm import dac

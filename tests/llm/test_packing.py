@@ -13,7 +13,6 @@ NAME = "byte_bpe_50k.json"
 @cache
 def plain():
     tokenizer = Tokenizer.from_file(tokens.tokenizer_file(NAME))
-    tokenizer.encode_special_tokens = True
     return tokenizer
 
 

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -17,7 +18,6 @@ NAME = "byte_bpe_50k.json"
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(tokens.tokenizer_file(NAME))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,6 +30,13 @@ def test_pieces_give_the_ids_of_whole_texts(plain):
         assert np.frombuffer(ids, "<u4").tolist() == plain(text)
 
 
+def test_added_tokens_are_read_as_by_the_plain_call(plain):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|endoftext| >", "plain words", "two <|endoftext|><|endoftext|>\nlines"]
+    found = tokens.encoder(tokens.tokenizer_file(NAME)).encode(pa.array(texts))
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain(t) for t in texts]
+    assert 50256 in plain(texts[0])
+
+
 def test_a_full_cache_changes_nothing(plain, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
     encoder = tokens.Encoder(tokens.tokenizer_file(NAME))
@@ -74,6 +81,9 @@ def test_written_documents_come_back_in_order(spark, plain):
     asked = spark.createDataFrame([(3, 0, "a"), (3, 1, "b"), (3, 2, "c"), (3, 3, "d"), (9, 40_000, "e"), (9, -1, "f"), (77, 0, "g")], "doc_id long, position long, token string")
     answers = {r["token"]: r["token_"] for r in tokens.tokens_at(spark, path, asked).collect()}
     assert answers == {"a": plain("hello world")[0], "b": plain("hello world")[1], "c": 0, "d": None, "e": plain("long " * 50_000)[40_000], "f": None}
+    clashing = asked.select(F.col("doc_id").alias("block"), F.col("position").alias("shard"), F.col("token").alias("_place"), F.lit(1).alias("_i"))
+    again = {r["_place"]: r["token"] for r in tokens.tokens_at(spark, path, clashing, "block", "shard").collect()}
+    assert again == answers
 
 
 def test_an_empty_table(spark):
