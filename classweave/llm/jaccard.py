@@ -26,8 +26,8 @@ TOKENS = 64
 BRANCHES, DEPTH, BUCKET, DENSE = 3, 4, 128, 0.25
 #: Blocks of a larger bucket: up to 7 of at least `BUCKET` sets, more only, with at most so many sets and tokens each.
 BLOCKS, BLOCK_SETS, BLOCK_TOKENS = 7, 2048, 1 << 21
-#: Standard deviations below the threshold at which the sampled tokens rule a pair out.
-SLACK = 4.5
+#: Rows of a component that meet its smallest id in one task are dealt out over so many.
+SALTS = 16
 
 _MULTIPLIER = tb.mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADDEND = tb.mix(np.arange(1001, TOKENS + 1001, dtype=np.uint64))
@@ -40,6 +40,20 @@ def runs_needed(target: float = TARGET_RECALL, similarity: tuple[int, int] = SIM
     return math.ceil(math.log(1 - target) / math.log(1 - met))
 
 
+def least_equal(target: float = TARGET_RECALL, similarity: tuple[int, int] = SIMILARITY, tokens: int = TOKENS) -> int:
+    """Equal sampled tokens below which a pair is ruled out: one at the threshold has fewer with a tenth of the chance of a loss that `target` leaves.
+
+    The tokens are equal independently, each with the similarity as its chance. All runs see the same ones, so what they
+    rule out stays lost.
+    """
+    s, below = similarity[0] / similarity[1], 0.0
+    for m in range(tokens + 1):
+        below += math.comb(tokens, m) * s**m * (1 - s) ** (tokens - m)
+        if below > (1 - target) / 10:
+            return m
+    return tokens
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts, and where each text's begin. Fewer words than n, but not none, are one shingle."""
     starts, ends, first = tb.word_spans(data, offsets)
@@ -139,7 +153,7 @@ def _blocked(leaves: DataFrame) -> DataFrame:
     )
 
 
-def _plausible(table: pa.Table, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+def _plausible(table: pa.Table, similarity: tuple[int, int], least: int) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) of the group's pairs that the sampled tokens don't rule out and that meet first in this bucket."""
     m = table.num_rows
     sketch = np.frombuffer(b"".join(table.column("tokens").to_pylist()), dtype="<u4").reshape(m, TOKENS)
@@ -149,8 +163,6 @@ def _plausible(table: pa.Table, similarity: tuple[int, int]) -> tuple[np.ndarray
     left = np.arange(m) if lo == hi else np.flatnonzero(own == lo)
     right = np.arange(m) if lo == hi else np.flatnonzero(own == hi)
     num, den = similarity
-    s = num / den
-    least = TOKENS * s - SLACK * math.sqrt(TOKENS * s * (1 - s))
     out_i, out_j = [], []
     for begin in range(0, len(left), 256):
         i = left[begin : begin + 256]
@@ -224,26 +236,26 @@ def _roots(m: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _ENTRY = ["leaf", "lo", "hi", "own", "key", "n", "weight", "tokens", "leaves"]
 
 
-def _screen(similarity: tuple[int, int]):
+def _screen(similarity: tuple[int, int], least: int):
     """Of each group the entries that have a plausible partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs_of_groups(batches, 3):
             if group.num_rows > 1:
-                a, b = _plausible(group, similarity)
+                a, b = _plausible(group, similarity, least)
                 if len(a):
                     yield from group.take(pa.array(np.union1d(a, b))).combine_chunks().to_batches()
 
     return run
 
 
-def _verify(similarity: tuple[int, int]):
+def _verify(similarity: tuple[int, int], least: int):
     """Of each group the entries with a true partner: (key, linked documents, smallest key connected to it in the group)."""
     num, den = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs_of_groups(batches, 3):
-            a, b = _plausible(group, similarity)
+            a, b = _plausible(group, similarity, least)
             if not len(a):
                 continue
             sets = [np.frombuffer(x, dtype="<u8") for x in group.column("shingles").to_pylist()]
@@ -272,8 +284,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     smallest id reachable over links, and kept is true for one document of each component, the one with that id.
 
     Paths of sampled tokens lead similar sets into common buckets; `runs_needed` runs meet a pair at the threshold with
-    probability `target_recall`, others more surely. Sampled tokens rule out most pairs of a bucket, the sets themselves
-    decide the rest, and a pair counts only in the first bucket that both share. Large buckets of alike sets are compared
+    probability `target_recall`, others more surely. Sampled tokens rule out most pairs of a bucket (`least_equal` bounds
+    the loss by a tenth of what the recall leaves), the sets themselves decide the rest, and a pair counts only in the first bucket that both share. Large buckets of alike sets are compared
     block by block. Pairs are counted where they meet and never sent on.
 
     A text without words, or a null one, is in a class and component of its own and is kept. Rows that share an id are
@@ -281,7 +293,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     equal in id and text are kept together. A document without an id counts as a document, and is kept if it stands alone
     or its component has no id at all. An empty table gives an empty one.
     """
-    runs = runs_needed(target_recall, similarity)
+    runs, least = runs_needed(target_recall, similarity), least_equal(target_recall, similarity)
     if runs > TOKENS:
         raise ValueError("such a recall needs more runs than there are sampled tokens")
     bound_batches(docs.sparkSession)
@@ -302,7 +314,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     lists = leaves.groupBy("key").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
     entries = _blocked(leaves).join(classes.select("key", "n", "weight", "tokens").join(lists, "key"), "key").select(*_ENTRY)
     order = ["leaf", "lo", "hi"]
-    screened = written(entries.repartition(*order).sortWithinPartitions(*order).mapInArrow(_screen(similarity), entries.schema), "screened")
+    screened = written(entries.repartition(*order).sortWithinPartitions(*order).mapInArrow(_screen(similarity, least), entries.schema), "screened")
 
     # The shingles of the classes that are still in question, from the text of one member each.
     asked = screened.select("key").distinct()
@@ -318,19 +330,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     sets = written(texts.mapInArrow(read_sets, "key bigint, shingles binary").dropDuplicates(["key"]), "sets")
     with_sets = screened.join(sets, "key").select(*_ENTRY, "shingles")
-    found = written(with_sets.repartition(*order).sortWithinPartitions(*order).mapInArrow(_verify(similarity), "key bigint, links bigint, root bigint"), "links")
+    found = written(with_sets.repartition(*order).sortWithinPartitions(*order).mapInArrow(_verify(similarity, least), "key bigint, links bigint, root bigint"), "links")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(found.where("key != root").select("key", "root"), "key", "root")
 
     judged = classes.join(links, "key", "left").join(groups.withColumnRenamed("node", "key"), "key", "left")
     judged = judged.select("key", "class", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "key").alias("component"))
-    first = judged.groupBy("component").agg(F.min("class").alias("first"))
-    judged = judged.join(first, "component").select("key", "class", "links", "component", "first")
+    # Most classes are alone in their component. The others are dealt out, as one component may hold very many of them.
+    judged = written(judged, "judged")
+    salt = F.pmod("key", F.lit(SALTS)).cast("int")
+    together = judged.join(groups.select(F.col("node").alias("key")), "key", "left_semi").withColumn("salt", salt)
+    first = together.groupBy("component", "salt").agg(F.min("class").alias("first")).groupBy("component").agg(F.min("first").alias("first"))
+    first = first.select("component", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    together = together.join(first, ["component", "salt"]).select("key", "class", "links", "component", "first")
+    alone = judged.join(groups.select(F.col("node").alias("key")), "key", "left_anti").select("key", "class", "links", "component", F.col("class").alias("first"))
+    judged = alone.unionAll(together)
     # Of several rows with the first id, the one with the smallest fingerprint stays.
-    per_doc = members.select("doc", "print", "key").distinct().join(judged, "key")
+    per_doc = written(members.select("doc", "print", "key").distinct().join(judged, "key"), "judged")
     key, own_doc, own_print = (free_name(docs.columns, n) for n in ("_fingerprint", "_doc", "_print"))
     stays = per_doc.where(F.col("doc").eqNullSafe(F.col("first"))).groupBy("component").agg(F.min("print").alias("stays"))
-    per_doc = per_doc.join(stays, "component").select(
+    spread = stays.select("component", "stays", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    per_doc = per_doc.withColumn("salt", F.pmod("print", F.lit(SALTS)).cast("int")).join(spread, ["component", "salt"]).select(
         F.col("doc").alias(own_doc), F.col("print").alias(own_print), F.col("class").alias(names[0]), F.col("links").alias(names[1]), F.col("first").alias(names[2]),
         (F.col("doc").eqNullSafe(F.col("first")) & (F.col("print") == F.col("stays"))).alias(names[3]),
     )

@@ -106,3 +106,12 @@ def test_the_pipeline_keeps_one_of_repeated_rows(spark, sf_dir):
     kept = corpus_pipeline.one_of_each_group(spark, df, sf_dir)
     assert kept.columns == df.columns
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted({r for r in rows if r[0] != 2}, key=repr)
+
+
+def test_the_screen_loses_no_more_than_the_recall_leaves():
+    from math import comb
+
+    for target in (0.99, 0.99999, 0.9999999):
+        least = jaccard.least_equal(target)
+        lost = sum(comb(64, m) * 0.8**m * 0.2 ** (64 - m) for m in range(least))
+        assert lost <= (1 - target) / 10 < lost + comb(64, least) * 0.8**least * 0.2 ** (64 - least)
