@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from classweave.functions import quoted
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import bound_batches, columns, free_name, release_memory, written
+from classweave.llm.frames import begin_task, bound_batches, columns, free_name, keeps, release_memory, written
 from classweave.llm.tokens import tokenizer_file
 
 #: Bytes of text that are aligned together; a longer text is aligned by itself.
@@ -201,6 +201,9 @@ def pair(first: str, second: str) -> Pair:
     return Pair(first, second)
 
 
+keeps("pair", pair.cache_clear)
+
+
 def overlaps(a_start: np.ndarray, a_text: np.ndarray, b_start: np.ndarray, b_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(i, j): all tokens of both sides that share bytes, each pair once. Starts rise from text to text.
 
@@ -293,6 +296,7 @@ def align_tokens(
     names = schema.names
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task("pair")
         codec = pair(tokenizer_file(first), tokenizer_file(second))
         block = TaskContext.get().partitionId() << 32
         pairs, slots, totals = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)

@@ -37,7 +37,7 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 #: Bytes of the batches that go to and from Python.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -59,6 +59,22 @@ def release_memory() -> None:
         pass
 
 
+#: What a worker keeps from task to task, by name, and how it lets go of it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, clear: Callable[[], None]) -> None:
+    """Say that this worker will keep something until `clear` is called."""
+    _KEPT[name] = clear
+
+
+def begin_task(*names: str) -> None:
+    """Let go of what tasks of other operators have left in this worker; what is named stays."""
+    for name, clear in _KEPT.items():
+        if name not in names:
+            clear()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: list[T.StructField], keep: list[str] | None = None) -> DataFrame:
     """Columns of `df` (all, or those in `keep`) and behind them the columns that `fn` makes from each Arrow batch.
 
@@ -73,6 +89,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array
     out_names = [*kept, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             made = fn(batch)
             if made is None:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
 from classweave.llm.components import components
-from classweave.llm.frames import bound_batches, columns, free_name, runs_of_groups, written
+from classweave.llm.frames import begin_task, bound_batches, columns, free_name, release_memory, runs_of_groups, written
 
 SHINGLE_WORDS = 5
 #: The similarity as a fraction, so that the comparison is exact.
@@ -245,6 +245,7 @@ def _screen(similarity: tuple[int, int], least: int):
                 a, b = _plausible(group, similarity, least)
                 if len(a):
                     yield from group.take(pa.array(np.union1d(a, b))).combine_chunks().to_batches()
+        release_memory()
 
     return run
 
@@ -271,6 +272,7 @@ def _verify(similarity: tuple[int, int], least: int):
             root = _roots(len(size), a, b)
             some = np.union1d(a, b)
             yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(links[some].astype(np.int64)), pa.array(keys[root[some]])], names=["key", "links", "root"])
+        release_memory()
 
     return run
 
@@ -303,10 +305,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([T.StructField("doc", id_type), T.StructField("print", T.LongType()), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             made = _sketches(batch.column(2))
             rows = made.pop("rows")
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *made.values()], names=schema.names)
+        release_memory()
 
     members = written(slim.mapInArrow(sketch, schema), "members")
     classes = written(members.groupBy("key", "n", "tokens").agg(F.count("*").alias("weight"), F.min("doc").alias("class")), "classes")
@@ -327,6 +331,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 values, begin = shingle_sets(data, offsets)
                 sets = [values[s:e].astype("<u8").tobytes() for s, e in zip(begin[:-1], begin[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(sets, pa.binary())], names=["key", "shingles"])
+        release_memory()
 
     sets = written(texts.mapInArrow(read_sets, "key bigint, shingles binary").dropDuplicates(["key"]), "sets")
     with_sets = screened.join(sets, "key").select(*_ENTRY, "shingles")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import map_batches, written
+from classweave.llm.frames import begin_task, map_batches, release_memory, written
 from classweave.llm.tokens import encoded_runs
 
 SEQUENCE_TOKENS = 1024
@@ -151,6 +151,7 @@ def pack(
     fields = [T.StructField(names[0], slim.schema["doc"].dataType)] + [T.StructField(n, T.LongType()) for n in names[1:]] + [T.StructField("ids", T.BinaryType())] * with_ids
 
     def pieces(batches):
+        begin_task("encoder")
         stream = None
 
         def frame(rows: list[tuple], kind: pa.DataType):
@@ -171,5 +172,6 @@ def pack(
                     yield frame(rows, kind)
         if stream and (rows := stream.rest()):
             yield frame(rows, kind)
+        release_memory()
 
     return laid_out.select("doc", "text").mapInArrow(pieces, T.StructType(fields))

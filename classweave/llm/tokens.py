@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from classweave.functions import quoted
 from classweave.llm import textbytes as tb
-from classweave.llm.frames import bound_batches, columns, free_name
+from classweave.llm.frames import begin_task, bound_batches, columns, free_name, keeps, release_memory
 from classweave.sources.staging import fresh_path
 
 #: Distinct pieces of text whose ids a worker keeps.
@@ -189,6 +189,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+keeps("encoder", encoder.cache_clear)
+
+
 def tokenizer_file(tokenizer: str) -> str:
     """The tokenizer's file on this machine: the path itself, or the place of a public tokenizer of that name."""
     if os.path.isabs(tokenizer):
@@ -232,6 +235,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     def blocks(batches):
         from classweave.llm import dac
 
+        begin_task("encoder")
         shard, block = TaskContext.get().partitionId(), 0
         held: list[bytes] = []
         owners: list[int | None] = []
@@ -257,6 +261,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                     count += len(ids) // 4
         if held:
             yield made()
+        release_memory()
 
     # Equal ids in different tasks would still be in order: the text is a second key.
     laid_out = slim.repartitionByRange(shards, "doc", F.xxhash64("text")).sortWithinPartitions("doc")
