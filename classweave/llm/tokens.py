@@ -22,8 +22,8 @@ from classweave.sources.staging import fresh_path
 
 #: Distinct pieces of text whose ids a worker keeps.
 CACHE_PIECES = 1_500_000
-#: Bytes of text that are tokenized together.
-RUN_BYTES = 4 << 20
+#: Bytes of text that are tokenized together: more than a batch has, so that a batch is one run.
+RUN_BYTES = 6 << 20
 #: Tokens in one block of the file; a longer document has a block of its own.
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
