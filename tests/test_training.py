@@ -19,7 +19,7 @@ def _fit(rows, estimator, **options):
     return cw.fit_pipeline(rows, estimator, target=TARGET, exclude=[KEY], **options)
 
 
-def test_default_parameters():
+def test_default_parameters(spark):
     def values(estimator, *names):
         return {n: estimator.getOrDefault(n) for n in names}
 
