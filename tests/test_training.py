@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import classweave as cw
-from workload import tables
+from workload import queries, tables
 
 KEY, TARGET = "o_orderkey", "target"
 SMALL = "/root/testdata/sf0.001"
@@ -148,3 +148,22 @@ def test_view_rounds_half_up_and_names_are_arguments(spark):
     assert {tuple(r) for r in cw.prediction_distribution(named, "c").collect()} == {(0, 1), (1, 1)}
     assert cw.prediction_sample(named, ["p"], 1).collect()[0].p == 0.1235
     assert cw.prediction_sample(named).count() == 2
+
+
+def test_train_lr_wide_trains_on_a_name_per_customer(spark, monkeypatch):
+    """All names of customers with orders are indexed and scored by, and none of them comes to the driver."""
+    collected = []
+    plain = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: collected.append(plain(self)) or collected[-1])
+    found = queries.train_lr_wide(spark, SMALL)
+    assert max(map(len, collected), default=0) <= 3
+    rows = plain(found)
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    names = orders.join(spark.read.parquet(f"{SMALL}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey"))
+    counts = {r.c_name: r["count"] for r in plain(names.groupBy("c_name").count())}
+    place = {n: float(i) for i, n in enumerate(sorted(counts, key=lambda n: (-counts[n], n)))}
+    assert len(place) > 50
+    assert {r[KEY]: r.name_index for r in rows} == {r[KEY]: place[r.c_name] for r in plain(names)}
+    assert len(rows) == orders.count() and all(r.same_score for r in rows)
+    # Two bands alone would give two scores.
+    assert len({r.probability for r in rows}) > 10

@@ -160,6 +160,57 @@ scored AS (
 SELECT o_orderkey, (p > 0.5)::DOUBLE AS prediction, round(p, 6) AS probability FROM scored"""
 
 
+# The same for three features: the index of a customer's name, the index of the band and the price, each less its mean and
+# in units of its standard deviation. A step solves four equations by the factors of their symmetric matrix.
+_RIDGE_BY_NAME = f"""
+WITH RECURSIVE {t.BANDED_SQL},
+named AS (
+  SELECT o_orderkey, c_name, price_band, o.o_totalprice AS price, target, w
+  FROM banded JOIN orders AS o USING (o_orderkey) JOIN customer ON o_custkey = c_custkey),
+{_index('named', 'c_name', 'c')}, {_index('named', 'price_band', 'b')},
+slots AS (
+  SELECT o_orderkey, (target = 'Yes')::DOUBLE AS y, w::DOUBLE AS w, c.idx AS name, b.idx AS band, price
+  FROM named JOIN c ON c_name = c.value JOIN b ON price_band = b.value),
+means AS (
+  SELECT sum(w) AS total, sum(w) - sum(w * w) / sum(w) AS freedom, sum(w * name) / sum(w) AS name,
+         sum(w * band) / sum(w) AS band, sum(w * price) / sum(w) AS price
+  FROM slots),
+deviations AS (
+  SELECT sqrt(sum(w * (s.name - m.name) ^ 2) / any_value(freedom)) AS name,
+         sqrt(sum(w * (s.band - m.band) ^ 2) / any_value(freedom)) AS band,
+         sqrt(sum(w * (s.price - m.price) ^ 2) / any_value(freedom)) AS price
+  FROM slots AS s, means AS m),
+units AS (
+  SELECT o_orderkey, s.name AS name_index, y, w / total AS w, (s.name - m.name) / d.name AS x1,
+         (s.band - m.band) / d.band AS x2, (s.price - m.price) / d.price AS x3
+  FROM slots AS s, means AS m, deviations AS d),
+newton AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3
+  UNION ALL
+  SELECT i + 1, b0 - s0, b1 - s1, b2 - s2, b3 - s3
+  FROM (
+    SELECT *, h01 / h00 AS l10, h02 / h00 AS l20, h03 / h00 AS l30,
+           h11 - l10 * h01 AS d1, h12 - l10 * h02 AS e12, h13 - l10 * h03 AS e13, e12 / d1 AS l21, e13 / d1 AS l31,
+           h22 - l20 * h02 - l21 * e12 AS d2, h23 - l20 * h03 - l21 * e13 AS e23, e23 / d2 AS l32,
+           h33 - l30 * h03 - l31 * e13 - l32 * e23 AS d3,
+           g1 - l10 * g0 AS z1, g2 - l20 * g0 - l21 * z1 AS z2, g3 - l30 * g0 - l31 * z1 - l32 * z2 AS z3,
+           z3 / d3 AS s3, z2 / d2 - l32 * s3 AS s2, z1 / d1 - l21 * s2 - l31 * s3 AS s1,
+           g0 / h00 - l10 * s1 - l20 * s2 - l30 * s3 AS s0
+    FROM (
+      SELECT i, b0, b1, b2, b3, sum(r) AS g0, sum(r * x1) + 0.01 * b1 AS g1, sum(r * x2) + 0.01 * b2 AS g2,
+             sum(r * x3) + 0.01 * b3 AS g3, sum(v) AS h00, sum(v * x1) AS h01, sum(v * x2) AS h02, sum(v * x3) AS h03,
+             sum(v * x1 * x1) + 0.01 AS h11, sum(v * x1 * x2) AS h12, sum(v * x1 * x3) AS h13,
+             sum(v * x2 * x2) + 0.01 AS h22, sum(v * x2 * x3) AS h23, sum(v * x3 * x3) + 0.01 AS h33
+      FROM (
+        SELECT newton.*, x1, x2, x3, 1 / (1 + exp(-b0 - b1 * x1 - b2 * x2 - b3 * x3)) AS p,
+               w * (p - y) AS r, w * p * (1 - p) AS v
+        FROM newton, units WHERE i < 25)
+      GROUP BY i, b0, b1, b2, b3))),
+scored AS (
+  SELECT o_orderkey, name_index, 1 / (1 + exp(-b0 - b1 * x1 - b2 * x2 - b3 * x3)) AS p FROM units, newton WHERE i = 25)
+SELECT o_orderkey, name_index, true AS same_score, (p > 0.5)::DOUBLE AS prediction, round(p, 2) AS probability FROM scored"""
+
+
 _RIVAL_METRICS = f"""{t.RIVAL_SCORES_SQL},
 folded AS (SELECT *, {t.fold_sql('o_orderkey', 10)} AS fold FROM rival_scores),
 {t.metrics_sql('folded', 'model, fold')}"""
@@ -350,7 +401,7 @@ SELECT o_orderkey, target, round("classWeight", 6) AS "classWeight", c_mktsegmen
     "train_lr": _trained(_RIDGE),
     "train_rf": _trained(_SHARE),
     "train_gbt": _trained(_boosted(3)),
-    "train_lr_wide": _trained(_RIDGE),
+    "train_lr_wide": _RIDGE_BY_NAME,
     "train_rf_wide": _STUMP_BY_SHARE,
     "cv_lr_wide": _cross_validated("lr", _RIDGE),
     "cv_lr_fold_weights": _cross_validated_fold_weights("lr", _RIDGE),
